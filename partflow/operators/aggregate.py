@@ -31,14 +31,12 @@ def pivot_months(df: DataFrame, keys: Sequence[str], months: Sequence[date], val
     columns.
     """
     labels = [label_of(m) for m in months]
-    wide = (
-        df.withColumn("_label", month_label(F.col(month)))
-        .groupBy(*keys).pivot("_label", labels).agg(F.sum(value))
-    )
-    return wide.select(
-        *keys,
-        *[trunc_int(F.coalesce(F.col(f"`{m}`"), F.lit(0))).alias(m) for m in labels],
-    )
+    # Whole numbers before the pivot keep its wide buffers small.
+    sums = df.groupBy(*keys, month_label(F.col(month)).alias("_label")).agg(
+        trunc_int(F.coalesce(F.sum(value), F.lit(0))).alias("_whole"))
+    wide = sums.groupBy(*keys).pivot("_label", labels).agg(F.max("_whole"))
+    return wide.selectExpr(
+        *[f"`{k}`" for k in keys], *[f"coalesce(`{m}`, 0) AS `{m}`" for m in labels])
 
 
 def static_pivot(df: DataFrame, keys: Sequence[str], on: str, values: Sequence[str],

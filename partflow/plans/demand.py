@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from partflow.config import (
     BOTH, DEMAND_VIEWS, MOTORCYCLES, SEGMENTS, TOTAL_SHEET, DemandView,
 )
-from partflow.functions.dates import label_of, last_months, shift_month
+from partflow.functions.dates import label_of, last_months, month_label, shift_month
 from partflow.functions.labels import MARKET_TAGS, MONTHS_PT, label
-from partflow.functions.numbers import share, trunc_int
+from partflow.functions.numbers import share, trunc_int, zero_if_null
 from partflow.operators.aggregate import pivot_months, row_shares, static_pivot
 from partflow.operators.project import slice_condition
 from partflow.operators.running import ranked_totals
@@ -89,15 +89,22 @@ def view_rows(measures: DataFrame, view: DemandView) -> DataFrame:
     sheets = (F.col("sheet") == TOTAL_SHEET) | F.col("org_vendas").isin(*view.center_orgs)
     return measures.where(
         (F.col("grain") == view.grain) & (F.col(f"{view.key}__n") > 0) & sheets
-    ).select("org_vendas", "sheet", "item", "mes", F.col(view.key).alias("valor"))
+    ).select("org_vendas", "sheet", "item", "mes",
+             trunc_int(zero_if_null(F.col(view.key))).alias("valor"))
 
 
 def view_table(rows: DataFrame, view: DemandView, anchor: date,
                extra: dict[str, str] | None = None) -> DataFrame:
     """Presentation of a view: file, sheet, item and one column per month."""
     ids = {"item": view.item_label, **(extra or {})}
-    wide = pivot_months(rows, ["org_vendas", "sheet", *ids], last_months(anchor, view.months), "valor")
     months = [label_of(m) for m in last_months(anchor, view.months)]
+    # The rows hold one value per month already, so a plain pivot is enough.
+    wide = (
+        rows.withColumn("_label", month_label(F.col("mes")))
+        .groupBy("org_vendas", "sheet", *ids).pivot("_label", months).agg(F.sum("valor"))
+        .selectExpr("org_vendas", "sheet", *ids,
+                    *[f"int(coalesce(`{m}`, 0)) AS `{m}`" for m in months])
+    )
     return wide.select(
         "org_vendas", file_label(F.col("org_vendas"), anchor, view.suffix).alias("file"), "sheet",
         *[F.col(c).alias(n) for c, n in ids.items()], *[F.col(f"`{m}`") for m in months])
@@ -113,7 +120,9 @@ def urgent_by_customer(customer_cube: DataFrame, anchor: date, orgs: Sequence[st
     view = DEMAND_VIEWS["zpug_cliente"]
     rows = customer_cube.where(F.col("org_vendas").isin(*orgs) & _view_condition(view)).select(
         "org_vendas", F.lit(TOTAL_SHEET).alias("sheet"), F.col("item_principal_cadeia").alias("item"),
-        "emissor_da_ordem", "mes", F.col("quantidade").alias("valor"))
+        "emissor_da_ordem", "mes", "quantidade",
+    ).groupBy("org_vendas", "sheet", "item", "emissor_da_ordem", "mes").agg(
+        trunc_int(zero_if_null(F.sum("quantidade"))).alias("valor"))
     return view_table(rows, view, anchor, {"emissor_da_ordem": "Cliente"})
 
 

@@ -8,7 +8,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partflow.registry.fixtures import FIXTURES, Inputs, with_views
+from partflow.registry.fixtures import FIXTURES, Inputs, for_duckdb, with_views
 from partflow.registry.twins import TWIN_VIEWS
 
 FAMILIES = ("scalars", "demand", "state", "quality", "forecast", "supersession", "calendar",
@@ -25,7 +25,7 @@ class Query:
         return self.build(Inputs(spark, folder))
 
     def twin(self) -> str | None:
-        return self.sql and with_views(self.sql, {**FIXTURES, **TWIN_VIEWS})
+        return self.sql and for_duckdb(with_views(self.sql, {**FIXTURES, **TWIN_VIEWS}))
 
 
 class Family(dict):

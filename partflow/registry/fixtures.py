@@ -1,7 +1,8 @@
 """Views that let the given tables play the planning inputs.
 
-Every text is plain SQL that Spark and DuckDB read alike, so a query and its twin start
-from the same rows.
+Every text is SQL that Spark and DuckDB read alike, so a query and its twin start from
+the same rows. ``{{each x in a, b}}`` repeats a row for the listed constants; that is the
+one clause each engine spells in its own way.
 """
 
 from __future__ import annotations
@@ -49,13 +50,14 @@ def _horizon_text(i: int) -> str:
     return (
         f"CASE WHEN (p_partkey + {i * 5} + k) % 29 = 0 THEN NULL WHEN (p_partkey + {i} + k) % 17 = 0 THEN ' ' "
         f"WHEN (p_partkey + {i}) % 13 = 0 THEN '0' ELSE concat("
-        f"CAST((p_partkey * 7 + {i * 13} + k * 5) % 41 - low AS STRING), "
+        f"CAST((p_partkey * 7 + {i * 13} + k * 5) % 41 - CASE kind WHEN 'Enrich' THEN 20 ELSE 4 END AS STRING), "
         f"CASE (p_partkey + {i}) % 2 WHEN 0 THEN '.25' ELSE '.5' END) END AS h{i}"
     )
 
 
-_ORGS = "(SELECT '0200' AS org UNION ALL SELECT '0500' AS org)"
-_CYCLE_ROWS = " UNION ALL ".join(f"SELECT '{c}' AS cycle, {k} AS k" for k, c in enumerate(CYCLES))
+_ORGS = "{{each org in '0200', '0500'}}"
+_CYCLE_NUMBERS = f"{{{{each k in {', '.join(str(k) for k in range(len(CYCLES)))}}}}}"
+_CYCLE = "CASE k " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(CYCLES)) + " END"
 
 FIXTURES: dict[str, str] = {
     "fx_sales": """
@@ -96,15 +98,13 @@ FIXTURES: dict[str, str] = {
           p_brand AS modelo_comercial_principal, p_type AS status_compra,
           CAST(p_size AS STRING) AS prazo_entrega_prevista_lead_time_firme,
           p_name AS descricao_curta_portugues, upper(p_name) AS descricao_curta_ingles
-        FROM part CROSS JOIN {_ORGS} s""",
+        FROM part {_ORGS}""",
     "fx_area": f"""
         SELECT lpad(CAST(c_custkey AS STRING), 10, '0') AS CLIENTE, org AS ORGV, channel AS CDST, sector AS SA,
           CASE WHEN c_nationkey % 7 = 0 THEN NULL WHEN c_nationkey % 11 = 0 THEN ' '
             WHEN org = '0200' THEN CASE c_nationkey % 3 WHEN 0 THEN '0203' WHEN 1 THEN '0209' ELSE '0232' END
             ELSE CASE c_nationkey % 2 WHEN 0 THEN '0503' ELSE '0505' END END AS CEN
-        FROM customer CROSS JOIN {_ORGS} s
-        CROSS JOIN (SELECT '01' AS channel UNION ALL SELECT '02' AS channel) h
-        CROSS JOIN (SELECT 'O' AS sector UNION ALL SELECT 'F' AS sector) t
+        FROM customer {_ORGS} {{{{each channel in '01', '02'}}}} {{{{each sector in 'O', 'F'}}}}
         WHERE c_custkey % 31 <> 0""",
     "fx_customer": """
         SELECT lpad(CAST(c_custkey AS STRING), 10, '0') AS CLIENTE, r_name AS PS, n_name AS LOCAL,
@@ -115,12 +115,11 @@ FIXTURES: dict[str, str] = {
     "fx_stock": f"""
         SELECT CASE WHEN p_partkey % 2 = 0 THEN '0200' ELSE '0500' END AS empresa,
           concat('M', CAST(p_partkey AS STRING), {SUFFIX}) AS material,
-          concat(CASE WHEN p_partkey % 2 = 0 THEN '020' ELSE '050' END, c.last) AS centro,
+          concat(CASE WHEN p_partkey % 2 = 0 THEN '020' ELSE '050' END, CASE c WHEN 1 THEN '5' ELSE '3' END)
+            AS centro,
           CASE p_type WHEN 'PROMO' THEN 'ZXXX' ELSE 'ZHAW' END AS tipo_de_material,
           {", ".join(f"{_number_text(j)} AS {c}" for j, c in enumerate(INVENTORY_QUANTITIES))}
-        FROM part CROSS JOIN (SELECT '3' AS last, 0 AS d UNION ALL SELECT '5' AS last, 0 AS d
-          UNION ALL SELECT '3' AS last, 1 AS d) c
-        WHERE c.d = 0 OR p_partkey % 9 = 0""",
+        FROM part {{{{each c in 0, 1, 2}}}} WHERE c < 2 OR p_partkey % 9 = 0""",
     "fx_bom": f"""
         SELECT CASE WHEN p_partkey % 2 = 0 THEN '0203' ELSE '0503' END AS centro,
           concat('M', CAST(p_partkey + 1 AS STRING), CASE WHEN (p_partkey + 1) % 17 = 0 THEN ' C' ELSE '' END)
@@ -134,19 +133,18 @@ FIXTURES: dict[str, str] = {
           concat('M', CAST(p_partkey + 2 AS STRING)) AS componente
         FROM part WHERE p_partkey % 6 = 0""",
     "fx_forecast": f"""
-        SELECT c.cycle AS forecast_cycle,
+        SELECT {_CYCLE} AS forecast_cycle,
           CASE WHEN (p_partkey + k) % 3 = 0 THEN 'Export - Parts' ELSE 'Domestic - Parts' END AS department,
-          CASE WHEN p_partkey % 37 = 0 THEN NULL ELSE t.kind END AS forecast_type,
+          CASE WHEN p_partkey % 37 = 0 THEN NULL ELSE kind END AS forecast_type,
           CASE WHEN p_partkey % 2 = 0 THEN '0200' ELSE '0500' END AS segment,
           CASE WHEN (p_partkey + k) % 3 = 0 THEN 'Export' ELSE 'Domestic' END AS market,
           concat('M', CAST(p_partkey AS STRING), {SUFFIX}) AS main_material,
           CASE p_partkey % 4 WHEN 0 THEN 'Supply - Parts - X' WHEN 1 THEN 'Supply' WHEN 2 THEN NULL
             ELSE 'Non - Forecastable' END AS forecast_classification,
           {", ".join(_horizon_text(i) for i in range(36))},
-          concat('forecast_', c.cycle, '.csv') AS _source_file_name,
+          concat('forecast_', {_CYCLE}, '.csv') AS _source_file_name,
           concat('load-', CAST(k AS STRING)) AS _load_id
-        FROM part CROSS JOIN ({_CYCLE_ROWS}) c
-        CROSS JOIN (SELECT 'Judgment' AS kind, 4 AS low UNION ALL SELECT 'Enrich' AS kind, 20 AS low) t""",
+        FROM part {_CYCLE_NUMBERS} {{{{each kind in 'Judgment', 'Enrich'}}}}""",
     "fx_lines": """
         SELECT CASE
           WHEN l_orderkey % 50 = 0 THEN '   '
@@ -201,6 +199,19 @@ def with_views(sql: str, views: dict[str, str]) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({views[n]})" for n in needed) + "\n" + sql
 
 
+_SCANS: dict[tuple[str, str, str], DataFrame] = {}
+
+EACH = re.compile(r"\{\{each (\w+) in ([^}]*)\}\}")
+
+
+def for_spark(sql: str) -> str:
+    return EACH.sub(r"LATERAL VIEW explode(array(\2)) AS \1", sql)
+
+
+def for_duckdb(sql: str) -> str:
+    return EACH.sub(r"CROSS JOIN (SELECT unnest([\2]) AS \1)", sql)
+
+
 class Inputs:
     """The fixture views as DataFrames over one data folder."""
 
@@ -208,10 +219,14 @@ class Inputs:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """The table's scan; its schema is read from the file footers once per session."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _SCANS:
+            _SCANS[key] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return _SCANS[key]
 
     def sql(self, text: str) -> DataFrame:
-        full = with_views(text, FIXTURES)
+        full = for_spark(with_views(text, FIXTURES))
         for name in TABLES:
             if re.search(rf"\b{name}\b", full):
                 self.table(name).createOrReplaceTempView(name)

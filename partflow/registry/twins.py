@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
+from partflow.config import INVENTORY_QUANTITIES, STOCK_PARTS
+
+
+def locale_number(c: str) -> str:
+    t = f"regexp_replace({c}, '[\\sR$]', '', 'g')"
+    return (
+        f"CASE WHEN {t} = '' THEN NULL WHEN {t} LIKE '%E%' THEN CAST(CAST({t} AS DOUBLE) AS DECIMAL(38,6)) "
+        f"WHEN {t} LIKE '%.%,%' OR ({t} LIKE '%,%' AND {t} NOT LIKE '%.%') OR regexp_full_match({t}, '\\d{{1,3}}(\\.\\d{{3}})+') "
+        f"THEN CAST(replace(replace({t}, '.', ''), ',', '.') AS DECIMAL(38,6)) "
+        f"ELSE CAST(replace({t}, ',', '') AS DECIMAL(38,6)) END"
+    )
+
+
 TWIN_VIEWS: dict[str, str] = {
     "ox_area": """
-        SELECT ltrim(cliente, '0') AS cliente, orgv, cdst, sa,
+        SELECT ltrim(cliente, '0') AS cliente, orgv AS orgv, cdst AS cdst, sa AS sa,
           CASE WHEN cen IS NULL OR trim(cen) = '' THEN CASE orgv WHEN '0200' THEN '0203' WHEN '0500' THEN '0503' END
             ELSE cen END AS cen FROM fx_area""",
     "ox_customer": """
@@ -46,4 +59,51 @@ TWIN_VIEWS: dict[str, str] = {
           CASE centro WHEN '0203' THEN 'Sumaré 2W' WHEN '0503' THEN 'Sumaré 4W' WHEN '0209' THEN 'Jaboatão 2W'
             WHEN '0505' THEN 'Jaboatão 4W' WHEN '0232' THEN 'Manaus 2W' END AS centro_nome
         FROM ox_sales""",
+    "ox_codes": """
+        SELECT *, CASE WHEN regexp_matches(material, '\\s+(N|C|NP)$') THEN regexp_replace(material, '\\s+(N|C|NP)$', '')
+          WHEN regexp_matches(material, '\\s+G$') AND (empresa = '0500'
+            OR (empresa = '0200' AND grupo_de_compradores <> '040')) THEN regexp_replace(material, '\\s+G$', '')
+          ELSE material END AS material_sem_cgn FROM fx_master""",
+    "ox_stock": "SELECT empresa, material, centro, tipo_de_material, "
+    + ", ".join(f"CAST(round({locale_number(c)}, 2) AS DECIMAL(18,2)) AS {c}" for c in INVENTORY_QUANTITIES)
+    + " FROM fx_stock",
+    "ox_inventory": f"""
+        SELECT DISTINCT centro, material, empresa, {", ".join(INVENTORY_QUANTITIES)},
+          CAST({" + ".join(f"coalesce({c}, 0)" for c in STOCK_PARTS)} AS DECIMAL(18,2)) AS estoque_total
+        FROM ox_stock WHERE tipo_de_material IN ('ZHAW', 'ZFER', 'ZRO1')""",
+    "ox_refined_all": f"""
+        SELECT CAST(f.forecast_cycle AS DATE) AS forecast_cycle,
+          regexp_replace(department, '^(Domestic|Export)\\s*-\\s*', '') AS department, forecast_type, segment, market,
+          main_material AS material, coalesce(c.item_principal_cadeia, main_material) AS main_material,
+          forecast_classification, CASE WHEN contains(forecast_classification, ' - ')
+            THEN regexp_extract(forecast_classification, '^.+? - (.+)$', 1) END AS forecast_classification_tag,
+          lag, CAST(CAST(forecast_cycle AS DATE) + to_months(lag) AS DATE) AS forecast_month,
+          CAST(CASE WHEN regexp_matches(texto, '^\\s*$') THEN '0' ELSE texto END AS DOUBLE) AS forecast_qty,
+          _load_id AS _raw_load_id
+        FROM (SELECT *, unnest([{", ".join(str(i) for i in range(36))}]) AS lag,
+            unnest([{", ".join(f"h{i}" for i in range(36))}]) AS texto FROM fx_forecast) f
+        LEFT JOIN ox_chain c ON f.segment = c.empresa AND f.main_material = c.material""",
+    "ox_refined": """
+        SELECT * FROM ox_refined_all WHERE NOT (forecast_type = 'Enrich' AND forecast_qty = 0) AND lag <= 11""",
+    "ox_edges": """
+        SELECT DISTINCT s.empresa, s.componente_item AS item_principal_cadeia_componente,
+          p.principal AS item_principal_cadeia_material_produzido
+        FROM (SELECT b.empresa, b.material, c.principal AS componente_item,
+            count(*) OVER (PARTITION BY b.empresa, b.material) AS n
+          FROM (SELECT left(centro, 2) || '00' AS empresa, material, componente FROM fx_bom
+            WHERE NOT regexp_matches(material, '\\s+(C|G|NP)$')) b
+          JOIN ox_main c ON b.empresa = c.empresa AND b.componente = c.material
+          WHERE c.tipo_de_material IN ('ZHAW', 'ZFER', 'ZRO1')) s
+        JOIN ox_main p ON s.empresa = p.empresa AND s.material = p.material
+        WHERE s.n = 1 AND NOT regexp_matches(s.componente_item, '\\s+N$')
+          AND p.grupo_de_compradores NOT IN ('040', '054')""",
+    "ox_depara": """
+        SELECT d.empresa, d.material, d.material_sem_cgn,
+          coalesce(m.principal, d.material_sem_cgn) AS item_principal_cadeia_material_sem_cgn,
+          coalesce(e.item_principal_cadeia_material_produzido, m.principal, d.material_sem_cgn)
+            AS item_principal_cadeia_material_final
+        FROM ox_codes d LEFT JOIN ox_main m ON d.empresa = m.empresa AND d.material_sem_cgn = m.material
+        LEFT JOIN ox_edges e ON d.empresa = e.empresa
+          AND coalesce(m.principal, d.material_sem_cgn) = e.item_principal_cadeia_componente
+        WHERE d.tipo_de_material IN ('ZHAW', 'ZFER', 'ZRO1')""",
 }
