@@ -52,12 +52,14 @@ def anti_unprocessed(inputs: Inputs) -> DataFrame:
     return forecast.forecast_refined(f.raw, f.chain, done)
 
 
-@QUERIES.query("""SELECT forecast_cycle, forecast_type, segment, market, material, forecast_classification, lag, forecast_qty
-    FROM ox_refined_all""")
+@QUERIES.query("""SELECT forecast_cycle, segment, CAST(lag AS INTEGER) AS lag, count(*) AS linhas,
+      count(forecast_qty) AS preenchidas, sum(forecast_qty) AS total FROM ox_refined_all GROUP BY ALL""")
 def unpivot_horizon(inputs: Inputs) -> DataFrame:
-    ids = ["forecast_cycle", "forecast_type", "segment", "market", "main_material", "forecast_classification"]
-    return forecast.unpivot_horizon(Forecasts(inputs).raw, ids, HORIZON).withColumnRenamed(
-        "main_material", "material")
+    """All 36 horizons in long form, summed up for the comparison."""
+    long = forecast.unpivot_horizon(Forecasts(inputs).raw, ["forecast_cycle", "segment"], HORIZON)
+    return long.groupBy("forecast_cycle", "segment", "lag").agg(
+        F.count(F.lit(1)).alias("linhas"), F.count("forecast_qty").alias("preenchidas"),
+        F.sum("forecast_qty").alias("total"))
 
 
 def prev_sql(by_channel: bool) -> str:
@@ -136,7 +138,7 @@ def forecast_negative_detail(inputs: Inputs) -> DataFrame:
 
 
 @QUERIES.query(f"""
-    WITH g AS (SELECT * FROM ({_GROUPS}) WHERE {_IN_WINDOW})
+    SELECT * FROM (WITH g AS (SELECT * FROM ({_GROUPS}) WHERE {_IN_WINDOW})
     SELECT s.forecast_cycle, s.rows_source, s.qty_source, k.rows_kept, k.qty_kept,
       coalesce(n.rows_removed, 0) AS rows_removed, coalesce(n.qty_removed, 0) AS qty_removed,
       round(s.qty_source - k.qty_kept - coalesce(n.qty_removed, 0), 3) AS diff_qty
@@ -145,7 +147,7 @@ def forecast_negative_detail(inputs: Inputs) -> DataFrame:
     FULL JOIN (SELECT forecast_cycle, count(*) AS rows_kept, sum(forecast_qty) AS qty_kept FROM g
         WHERE forecast_qty >= -1e-6 GROUP BY 1) k ON s.forecast_cycle = k.forecast_cycle
     LEFT JOIN (SELECT forecast_cycle, count(*) AS rows_removed, sum(forecast_qty) AS qty_removed FROM g
-        WHERE forecast_qty < -1e-6 GROUP BY 1) n ON s.forecast_cycle = n.forecast_cycle""")
+        WHERE forecast_qty < -1e-6 GROUP BY 1) n ON s.forecast_cycle = n.forecast_cycle)""")
 def reconcile(inputs: Inputs) -> DataFrame:
     refined = Forecasts(inputs).refined()
     window = forecast.cycle_window(refined, None, 7)

@@ -46,7 +46,7 @@ def sanitize_cells(df: DataFrame) -> DataFrame:
 
 def safe_sheet_name(c: Column) -> Column:
     bare = F.regexp_replace(F.coalesce(c, F.lit("None")), SHEET_NAME_FORBIDDEN, "-")
-    name = F.substring(F.trim(F.lit("'"), bare), 1, SHEET_NAME_LENGTH)
+    name = F.substring(F.trim(bare, F.lit("'")), 1, SHEET_NAME_LENGTH)
     return F.when(name == "", F.lit(DEFAULT_SHEET)).otherwise(name)
 
 

@@ -82,17 +82,12 @@ class TableFolder:
 
     def _write(self, df: DataFrame, version: int, mode: str, **options: str) -> None:
         if self.partition_by:
-            df = df.repartition(*[F.col(c) for c in self.partition_by], _spread(df, self.partition_by))
+            # Few files per partition; AQE splits a partition that is too large for one task.
+            df = df.hint("rebalance", *[F.col(c) for c in self.partition_by])
         df.write.mode(mode).options(**options).partitionBy(*self.partition_by).parquet(
             self.path(version))
 
 
-def _spread(df: DataFrame, partition_by: Sequence[str], files: int = 8):
-    """Splits every partition over a few tasks, so that a large one is not written by one."""
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in partition_by]
-    return F.pmod(F.xxhash64(*rest), F.lit(files))
-
-
 class BatchFolder:
     """Keyed state fed by numbered batches: ``root/batch=<n>`` and compacted ``root/upto=<n>``.
 
