@@ -54,7 +54,9 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g",
+        # The bench tables are small: keep all cores busy instead of merging small partitions.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"})
     spark.sparkContext.setLogLevel("ERROR")
     known = all_queries()
     run(known["demand_closed"].run(spark, folder))  # warm-up: JIT, code generation, footers

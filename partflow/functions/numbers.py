@@ -77,7 +77,7 @@ def zero_if_null(c: Column) -> Column:
 
 
 def blank_to_zero(c: Column) -> Column:
-    return F.when(c.rlike(r"^\s*$"), F.lit("0")).otherwise(c)
+    return F.regexp_replace(c, r"^\s*$", "0")
 
 
 def total_of(columns: Iterable[Column | str], type_name: str = "decimal(18,2)") -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from datetime import date
 
@@ -11,7 +12,7 @@ from pyspark.sql.types import StringType
 
 from partflow.config import AUDIT_COLUMNS, LINEAGE_COLUMNS, SEGMENTS
 from partflow.functions.codes import blank_to_null, is_blank
-from partflow.functions.dates import ERP_DATE_SHAPE, shift_month
+from partflow.functions.dates import shift_month
 from partflow.functions.names import normalized_names
 from partflow.functions.numbers import try_cast
 
@@ -29,6 +30,17 @@ def promote_header(df: DataFrame, header: Sequence[str], probe: int = 3) -> Data
     return named.where(~repeats)
 
 
+def line_pattern(layout: Sequence[str], header_mark: str, date_field: str) -> str:
+    """Shape of a usable line: every field in place, no header, a date in the date field.
+
+    One bar before the first and one after the last field belong to the report's frame;
+    a line that ends in a bar is always taken to have that frame.
+    """
+    fields = ["[^|]*"] * len(layout)
+    fields[layout.index(date_field)] = r" *\d{2}\.\d{2}\.\d{4} *"
+    return rf"^\|?+(?!{re.escape(header_mark)})" + r"\|".join(fields) + r"(?:\||(?<!\|))$"
+
+
 def parse_delimited(
     lines: DataFrame,
     layout: Sequence[str],
@@ -38,19 +50,16 @@ def parse_delimited(
 ) -> DataFrame:
     """Splits ``|``-delimited lines into trimmed fields.
 
-    One leading and one trailing bar belong to the frame of the report. Blank lines,
-    lines with another number of fields, headers and lines whose date field has no
-    date shape are left out. Other columns of the input are kept.
+    Blank lines, lines with another number of fields, headers and lines whose date field
+    has no date shape are left out: one pattern decides before anything is split. Other
+    columns of the input are kept.
     """
     kept = [c for c in lines.columns if c != line]
-    bare = F.regexp_replace(F.regexp_replace(F.col(line), r"^\|", ""), r"\|$", "")
-    fields = lines.where(F.trim(line) != "").select(*kept, F.split(bare, r"\|").alias("_f"))
-    at = {name: F.trim(F.get(F.col("_f"), F.lit(i))) for i, name in enumerate(layout)}
-    return fields.where(
-        (F.size("_f") == len(layout))
-        & ~F.startswith(F.get(F.col("_f"), F.lit(0)), F.lit(header_mark))
-        & at[date_field].rlike(ERP_DATE_SHAPE)
-    ).select(*kept, *[c.alias(n) for n, c in at.items()])
+    usable = lines.where(F.col(line).rlike(line_pattern(layout, header_mark, date_field)))
+    bare = F.regexp_replace(F.col(line), r"^\||\|$", "")
+    fields = usable.select(*kept, F.split(bare, r"\|").alias("_f"))
+    return fields.select(
+        *kept, *[F.trim(F.get(F.col("_f"), F.lit(i))).alias(n) for i, n in enumerate(layout)])
 
 
 def blanks_to_null(df: DataFrame) -> DataFrame:

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from partflow.config import SALES_FILE_PATTERN, SEGMENTS
 from partflow.functions.codes import is_blank
 from partflow.functions.hashing import payload_hash
+from partflow.functions.labels import label
 from partflow.functions.numbers import invalid_number
 from partflow.operators.aggregate import union_all
 from partflow.operators.project import invalid_keys
 from partflow.operators.state import decimal_migration_checks, scd2_state
 
+FILE_ORGS = {s.org: s.wheels for s in SEGMENTS.values()}
 VIOLATION = "rule string, subject string, detail string"
 
 
@@ -76,96 +78,106 @@ def named_files(files: DataFrame, pattern: str = SALES_FILE_PATTERN) -> DataFram
         return F.when(F.col("file").rlike(pattern),
                       F.regexp_extract("file", pattern, i)).alias(name)
 
-    return files.select("file", part(1, "period"), part(2, "org"), part(3, "seg"))
+    return files.select("*", part(1, "period"), part(2, "org"), part(3, "seg"))
 
 
-def gate_file_name(named: DataFrame) -> DataFrame:
-    return named.where(F.col("period").isNull()).select(
-        *violation("file_name", F.col("file"), "name does not match the pattern"))
+Rule = tuple[Column, str, Column]
 
 
-def gate_org(named: DataFrame, orgs: Mapping[str, str] | None = None) -> DataFrame:
-    """Organisation known, and its segment as expected."""
-    orgs = orgs or {s.org: s.wheels for s in SEGMENTS.values()}
-    expected = F.lit(None).cast("string")
-    for org, seg in orgs.items():
-        expected = F.when(F.col("org") == org, seg).otherwise(expected)
-    wrong = named.where(F.col("period").isNotNull()).where(~expected.eqNullSafe(F.col("seg")))
-    return wrong.select(*violation(
-        "file_org", F.col("file"),
-        F.when(expected.isNull(), F.lit("unknown organisation"))
-        .otherwise(F.concat(F.lit("segment should be "), expected))))
-
-
-def known_files(named: DataFrame, stats: DataFrame, orgs: Sequence[str] | None = None) -> DataFrame:
-    orgs = list(orgs or SEGMENTS)
-    return named.where(F.col("org").isin(*orgs)).join(stats, "file", "left")
-
-
-def gate_rows(files: DataFrame) -> DataFrame:
-    return files.where(F.coalesce(F.col("rows"), F.lit(0)) == 0).select(
-        *violation("file_empty", F.col("file"), "no valid row after parsing"))
+def rule_file_name() -> Rule:
+    return F.col("period").isNull(), "file_name", F.lit("name does not match the pattern")
 
 
-def gate_period(files: DataFrame) -> DataFrame:
-    """No row without a date, and all dates in the month of the name."""
-    filled = files.where(F.col("rows") > 0)
-    empty = filled.where(F.col("null_dates") > 0).select(
-        *violation("file_null_dates", F.col("file"), F.col("null_dates")))
-    outside = ~(F.col("min_period").eqNullSafe(F.col("period"))
-                & F.col("max_period").eqNullSafe(F.col("period")))
-    return empty.unionByName(filled.where(outside).select(*violation(
-        "file_period", F.col("file"),
-        F.concat_ws(" to ", F.col("min_period"), F.col("max_period")))))
-
+def rule_org(orgs: Mapping[str, str]) -> Rule:
+    """Organisation known, and its segment as expected."""
+    expected = label(F.col("org"), orgs)
+    failed = F.col("period").isNotNull() & ~expected.eqNullSafe(F.col("seg"))
+    detail = F.when(expected.isNull(), F.lit("unknown organisation")).otherwise(
+        F.concat(F.lit("segment should be "), expected))
+    return failed, "file_org", detail
 
-def gate_content_org(files: DataFrame) -> DataFrame:
-    """The rows carry exactly the organisation of the name; rows without one do not count."""
-    matches = F.col("min_org").eqNullSafe(F.col("org")) & F.col("max_org").eqNullSafe(F.col("org"))
-    return files.where((F.col("rows") > 0) & ~matches).select(*violation(
-        "file_content_org", F.col("file"), F.concat_ws(" to ", F.col("min_org"), F.col("max_org"))))
 
+def rules_content(orgs: Mapping[str, str]) -> list[Rule]:
+    """Rules over the rows of files with a known organisation.
 
-def gate_one_file(named: DataFrame) -> DataFrame:
+    At least one row; no row without a date; all dates in the month of the name; the
+    organisation of the name and no other (rows without one do not count).
+    """
+    known = F.col("org").isin(*orgs)
+    filled = known & (F.col("rows") > 0)
+    period = (F.col("min_period").eqNullSafe(F.col("period"))
+              & F.col("max_period").eqNullSafe(F.col("period")))
+    org = F.col("min_org").eqNullSafe(F.col("org")) & F.col("max_org").eqNullSafe(F.col("org"))
+    return [
+        (known & (F.coalesce("rows", F.lit(0)) == 0), "file_empty", F.lit("no valid row after parsing")),
+        (filled & (F.col("null_dates") > 0), "file_null_dates", F.col("null_dates").cast("string")),
+        (filled & ~period, "file_period", F.concat_ws(" to ", "min_period", "max_period")),
+        (filled & ~org, "file_content_org", F.concat_ws(" to ", "min_org", "max_org")),
+    ]
+
+
+def apply_rules(rows: DataFrame, rules: Sequence[Rule], subject: Column) -> DataFrame:
+    """All violations of row rules in one pass over the rows."""
+    found = F.array_compact(F.array(*[
+        F.when(failed, F.struct(F.lit(name).alias("rule"), subject.cast("string").alias("subject"),
+                                detail.alias("detail")))
+        for failed, name, detail in rules]))
+    return rows.select(F.explode(found).alias("v")).select("v.*")
+
+
+def gate_file_content(named: DataFrame, orgs: Mapping[str, str] = FILE_ORGS) -> DataFrame:
+    """The rules of each single file, over named files with their statistics."""
+    return apply_rules(named, [rule_file_name(), rule_org(orgs), *rules_content(orgs)], F.col("file"))
+
+
+def arrivals(named: DataFrame, orgs: Mapping[str, str] = FILE_ORGS) -> DataFrame:
+    """Files per period and expected organisation; 0 where an organisation is missing."""
     return (
-        named.where(F.col("period").isNotNull()).groupBy("period", "org")
-        .agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select(*violation("file_repeated", F.concat_ws(" ", "period", "org"), F.col("n")))
+        named.where(F.col("org").isin(*orgs)).groupBy("period")
+        .agg(*[F.count_if(F.col("org") == o).alias(o) for o in orgs])
+        .select("period", F.explode(F.array(*[
+            F.struct(F.lit(o).alias("org"), F.col(f"`{o}`").alias("n")) for o in orgs])).alias("a"))
+        .select("period", "a.org", "a.n")
     )
 
 
-def gate_missing_org(named: DataFrame, loaded: DataFrame | None = None,
-                     orgs: Sequence[str] | None = None) -> DataFrame:
-    """Every organisation of a period comes with it or is loaded already.
+def gate_file_set(named: DataFrame, loaded: DataFrame | None = None,
+                  orgs: Mapping[str, str] = FILE_ORGS) -> DataFrame:
+    """One file per period and organisation, and every organisation of a period present.
 
+    An organisation that is loaded already for the period does not count as missing.
     ``loaded`` holds the sales rows in place; only their months and organisations count.
     """
-    orgs = list(orgs or SEGMENTS)
-    present = named.where(F.col("org").isin(*orgs)).select("period", "org").distinct()
-    wanted = present.select("period").distinct().select(
-        "period", F.explode(F.array(*[F.lit(o) for o in orgs])).alias("org"))
-    missing = wanted.join(present, ["period", "org"], "left_anti")
+    counts = arrivals(named, orgs)
+    missing = F.col("n") == 0
     if loaded is not None:
         months = loaded.select(
-            F.date_format("data", "yyyy-MM").alias("period"), F.col("org_vendas").alias("org")
-        ).distinct()
-        missing = missing.join(months, ["period", "org"], "left_anti")
-    return missing.select(*violation(
-        "file_missing", F.concat_ws(" ", "period", "org"), "organisation did not arrive"))
-
-
-def sales_file_gates(files: DataFrame, stats: DataFrame, loaded: DataFrame | None = None,
-                     orgs: Mapping[str, str] | None = None) -> DataFrame:
-    """All file rules at once. ``files`` lists the arriving files, one ``file`` per row."""
-    orgs = orgs or {s.org: s.wheels for s in SEGMENTS.values()}
-    named = named_files(files)
-    known = known_files(named, stats, list(orgs))
-    return union_all([
-        gate_file_name(named), gate_org(named, orgs), gate_rows(known), gate_period(known),
-        gate_content_org(known),
-        gate_one_file(named.where(F.col("org").isin(*orgs))),
-        gate_missing_org(named, loaded, list(orgs)),
-    ])
+            F.trunc("data", "month").alias("_month"), F.col("org_vendas").alias("org"),
+        ).distinct().select(
+            F.date_format("_month", "yyyy-MM").alias("period"), "org", F.lit(True).alias("_loaded"))
+        counts = counts.join(months, ["period", "org"], "left")
+        missing = missing & F.col("_loaded").isNull()
+    return apply_rules(counts, [
+        (F.col("n") > 1, "file_repeated", F.col("n").cast("string")),
+        (missing, "file_missing", F.lit("organisation did not arrive")),
+    ], F.concat_ws(" ", "period", "org"))
+
+
+def gate_missing_org(named: DataFrame, loaded: DataFrame | None = None,
+                     orgs: Mapping[str, str] = FILE_ORGS) -> DataFrame:
+    return gate_file_set(named, loaded, orgs).where("rule = 'file_missing'")
+
+
+def sales_file_gates(stats: DataFrame, files: DataFrame | None = None,
+                     loaded: DataFrame | None = None,
+                     orgs: Mapping[str, str] = FILE_ORGS) -> DataFrame:
+    """All file rules. ``files`` lists the arriving files when some may have no rows."""
+    if files is None:
+        with_stats = names = named_files(stats)
+    else:
+        names = named_files(files.select("file"))
+        with_stats = names.join(stats, "file", "left")
+    return union_all([gate_file_content(with_stats, orgs), gate_file_set(names, loaded, orgs)])
 
 
 # --- tables ------------------------------------------------------------------------
@@ -208,14 +220,21 @@ def gate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def gate_numeric(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Texts that are no number or do not fit; one row per value."""
-    cells = df.select(
-        joined_keys(keys).alias("_key"),
-        F.explode(F.array(*[
-            F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("text"),
-                     invalid_number(F.col(c)).alias("bad")) for c in columns
-        ])).alias("cell"))
-    return cells.where("cell.bad").select(*violation(
-        "number", F.concat_ws(".", F.col("_key"), F.col("cell.name")), F.col("cell.text")))
+    return apply_rules(df, [rule_number(c) for c in columns], joined_keys(keys))
+
+
+def rule_number(column: str) -> Rule:
+    text = F.col(column).cast("string")
+    return invalid_number(text), "number", F.concat_ws(": ", F.lit(column), text)
+
+
+def gate_cells(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Key and number rules in one pass."""
+    empty = F.lit(False)
+    for key in keys:
+        empty = empty | is_blank(F.col(key).cast("string"))
+    return apply_rules(df, [(empty, "key", F.lit("empty key part")), *map(rule_number, columns)],
+                       joined_keys(keys))
 
 
 def gate_conflict(df: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from partflow.config import (
 from partflow.functions.numbers import locale_decimal, round_half_up, total_of
 from partflow.operators.project import consumer_view, in_domain
 from partflow.operators.quality import (
-    enforce, gate_columns, gate_conflict, gate_keys, gate_not_empty, gate_numeric,
+    enforce, gate_cells, gate_columns, gate_conflict, gate_not_empty,
 )
 from partflow.operators.state import dedupe_latest
 
@@ -43,8 +43,7 @@ def inventory_snapshot(master: DataFrame, reference: date) -> DataFrame:
     source = inventory_source(master)
     enforce(
         gate_not_empty(source, "inventory"),
-        gate_keys(source, INVENTORY_KEYS),
-        gate_numeric(source, INVENTORY_KEYS, INVENTORY_QUANTITIES),
+        gate_cells(source, INVENTORY_KEYS, INVENTORY_QUANTITIES),
         gate_conflict(inventory_numbers(source), INVENTORY_KEYS, INVENTORY_QUANTITIES),
     )
     return inventory_rows(master, reference)

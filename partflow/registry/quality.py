@@ -71,9 +71,7 @@ def _missing(loaded: str = "") -> str:
       GROUP BY period, org HAVING count(*) > 1
     UNION ALL {_missing()}""")
 def gate_files(inputs: Inputs) -> DataFrame:
-    rows = inputs.sql(_FILED)
-    files = rows.select(F.col("_source_file_name").alias("file")).distinct()
-    return quality.sales_file_gates(files, quality.file_stats(rows))
+    return quality.sales_file_gates(quality.file_stats(inputs.sql(_FILED)))
 
 
 @QUERIES.query(_missing("""AND NOT EXISTS (SELECT 1 FROM fx_sales s WHERE s.data < DATE '1999-01-01'
@@ -93,7 +91,7 @@ def gate_keys(inputs: Inputs) -> DataFrame:
 
 
 @QUERIES.query("""
-    SELECT 'number' AS rule, p_partkey || '.texto' AS subject, texto AS detail FROM fx_numbers
+    SELECT 'number' AS rule, CAST(p_partkey AS VARCHAR) AS subject, 'texto: ' || texto AS detail FROM fx_numbers
     WHERE texto IN ('abc', '12,30-', '99999999999999999,00')""")
 def gate_numeric(inputs: Inputs) -> DataFrame:
     return quality.gate_numeric(inputs.view("fx_numbers"), ["p_partkey"], ["texto"])

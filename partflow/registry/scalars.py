@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partflow.config import STOCK_PARTS
+from partflow.config import LINEAGE_COLUMNS, STOCK_PARTS
 from partflow.functions import codes, dates, hashing, labels, numbers
 from partflow.operators.project import blanks_to_null, normalize_columns
 from partflow.plans import customers, materials, sales
 from partflow.registry.base import Family
 from partflow.registry.fixtures import Inputs
+from partflow.session import scratch_path
+from partflow.sources.readers import read_lines
 
 QUERIES = Family()
 
@@ -259,7 +261,10 @@ def stock_total(inputs: Inputs) -> DataFrame:
         lambda x: trim(x)) AS f FROM fx_lines WHERE trim(value) <> '')
     WHERE len(f) = 18 AND f[1] NOT LIKE 'Doc.%' AND regexp_full_match(f[2], '\\d{2}\\.\\d{2}\\.\\d{4}')""")
 def sales_parse(inputs: Inputs) -> DataFrame:
-    return sales.parse_sales(inputs.view("fx_lines"))
+    """The lines are written as text files, then read and parsed."""
+    path = scratch_path(inputs.spark, "lines")
+    inputs.view("fx_lines").write.text(path)
+    return sales.parse_sales(read_lines(inputs.spark, path)).drop(*LINEAGE_COLUMNS)
 
 
 @QUERIES.query("""

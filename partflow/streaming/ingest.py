@@ -46,7 +46,7 @@ def check_sales_files(lines: DataFrame, loaded: DataFrame | None = None,
                       parsed: DataFrame | None = None) -> None:
     """Raises when any file of the set breaks a rule."""
     parsed = parse_sales(lines) if parsed is None else parsed
-    enforce(sales_file_gates(files_of(lines), file_stats(parsed), loaded))
+    enforce(sales_file_gates(file_stats(parsed), files_of(lines), loaded))
 
 
 def sales_batches(state: BatchFolder, load_id: str, user: str, now: Column | None = None) -> BatchFunction:
