@@ -15,6 +15,11 @@ from partflow.config import SEGMENTS
 from partflow.operators.state import dedupe_latest, upsert
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the complete folders below a path."""
     jvm = spark._jvm

@@ -12,7 +12,7 @@ from partflow.functions.dates import local_timestamp
 from partflow.operators.quality import enforce, file_stats, sales_file_gates
 from partflow.operators.state import dedupe_latest
 from partflow.plans.sales import parse_sales, standardize_sales
-from partflow.sinks.tables import BatchFolder, TableFolder
+from partflow.sinks.tables import BatchFolder, TableFolder, path_exists
 from partflow.sources.readers import read_lines, read_lines_stream
 
 BatchFunction = Callable[[DataFrame, int], None]
@@ -49,7 +49,13 @@ def check_sales_files(lines: DataFrame, loaded: DataFrame | None = None,
     enforce(sales_file_gates(file_stats(parsed), files_of(lines), loaded))
 
 
-def sales_batches(state: BatchFolder, load_id: str, user: str, now: Column | None = None) -> BatchFunction:
+def manifest_folder(spark: SparkSession, root: str) -> BatchFolder:
+    """Processed files with their modification times, stored batch by batch like the rows."""
+    return BatchFolder(spark, f"{root}/processed_files", ["file"])
+
+
+def sales_batches(state: BatchFolder, manifest: BatchFolder, load_id: str, user: str,
+                  now: Column | None = None) -> BatchFunction:
     """Parse, standardise, check, dedupe and store one batch, or nothing of it."""
     def process(batch: DataFrame, batch_id: int) -> None:
         moment = local_timestamp() if now is None else now
@@ -58,6 +64,8 @@ def sales_batches(state: BatchFolder, load_id: str, user: str, now: Column | Non
             rows = standardize_sales(lines, load_id, moment, user)
             check_sales_files(lines, state.read(), rows)
             state.write_batch(dedupe_latest(rows, state.keys, NEWEST), batch_id)
+            manifest.write_batch(lines.groupBy(F.col("_source_file_name").alias("file")).agg(
+                F.max("_source_file_modification_time").alias("modified")), batch_id)
         finally:
             lines.unpersist()
 
@@ -66,9 +74,15 @@ def sales_batches(state: BatchFolder, load_id: str, user: str, now: Column | Non
 
 def ingest_sales(spark: SparkSession, folder: str, root: str, load_id: str, user: str,
                  now: Column | None = None) -> BatchFolder:
-    """Streams the sales files of a folder into the keyed state below ``root``."""
+    """Streams the sales files of a folder into the keyed state below ``root``.
+
+    The pending files are checked before the stream plans a batch: a planned batch keeps
+    its files, so one that cannot pass would block the stream for good.
+    """
     state = BatchFolder(spark, f"{root}/raw_sales_order", SALES_KEYS)
-    run_available(read_lines_stream(spark, folder), sales_batches(state, load_id, user, now),
+    manifest = manifest_folder(spark, root)
+    preflight(spark, folder, manifest.read(), state.read())
+    run_available(read_lines_stream(spark, folder), sales_batches(state, manifest, load_id, user, now),
                   f"{root}/_checkpoint/raw_sales_order")
     return state
 
@@ -112,18 +126,15 @@ def ingest_new_files(spark: SparkSession, folder: str, root: str, load_id: str,
                      now: Column | None = None) -> list[str]:
     """Batch twin of the stream that also takes files sent again under the same name.
 
-    The manifest of processed files is derived from the stored rows' lineage.
+    A root is fed either by the stream or by this function, since both number batches.
     """
+    if path_exists(spark, f"{root}/_checkpoint/raw_sales_order"):
+        raise ValueError(f"{root} is fed by a stream")
     state = BatchFolder(spark, f"{root}/raw_sales_order", SALES_KEYS)
-    manifest_table = TableFolder(spark, f"{root}/processed_files")
-    manifest = manifest_table.read() if manifest_table.exists() else None
-    pending = pending_files(spark, folder, manifest)
-    found = pending.select("path", "file", "modified").collect()
-    if not found:
-        return []
-    lines = read_lines(spark, [r.path for r in found])
-    next_batch = max(state.batches(), default=-1) + 1
-    sales_batches(state, load_id, user, now)(lines, next_batch)
-    manifest_table.append(spark.createDataFrame(
-        [(r.file, r.modified) for r in found], "file string, modified timestamp"))
+    manifest = manifest_folder(spark, root)
+    found = pending_files(spark, folder, manifest.read()).select("path", "file").collect()
+    if found:
+        batch_id = max(state.batches(), default=-1) + 1
+        process = sales_batches(state, manifest, load_id, user, now)
+        process(read_lines(spark, [r.path for r in found]), batch_id)
     return sorted(r.file for r in found)
