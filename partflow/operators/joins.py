@@ -41,21 +41,50 @@ def lookup_join(
     key) spread over ``salts`` tasks; AQE splits what is still uneven.
     The lookup's key columns are not kept.
     """
-    dim_types = dict(dim.dtypes)
-    keys = {f"_lookup_{i}": d for i, d in enumerate(on.values())}
-    values = [c for c in dim.columns if c not in on.values()]
-    side = dim.select(*[F.col(d).alias(k) for k, d in keys.items()], *[F.col(f"`{v}`") for v in values])
-    equal = [F.col(f).cast(dim_types[d]) == F.col(k)
-             for (f, d), k in zip(on.items(), keys)]
-    if fits_broadcast(side):
-        joined = fact.join(F.broadcast(side), reduce(Column.__and__, equal), how)
-        return joined.drop(*keys)
-    salted = fact.withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(salts)))
-    copies = side.withColumn("_lookup_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
-    equal.append(F.col("_salt") == F.col("_lookup_salt"))
-    return salted.join(copies, reduce(Column.__and__, equal), how).drop(
-        "_salt", "_lookup_salt", *keys)
+    return lookup_joins(fact, [(dim, on)], how, salts)
+
+
+def lookup_joins(
+    fact: DataFrame,
+    lookups: Sequence[tuple[DataFrame, Mapping[str, str]]],
+    how: str = "left",
+    salts: int = DEFAULT_SALTS,
+) -> DataFrame:
+    """Several lookups in a row. They share one salt.
+
+    Put a lookup whose keys are part of the next one's keys first: the fact then stays
+    where the first join has put it (``spark.sql.requireAllClusterKeysForCoPartition``
+    off, as in ``session.SETTINGS``), and only the second lookup moves.
+    """
+    salted = False
+    for n, (dim, on) in enumerate(lookups):
+        types = dict(dim.dtypes)
+        keys = {f"_k{n}_{i}": d for i, d in enumerate(on.values())}
+        side = dim.select(
+            *[F.col(f"`{d}`").alias(k) for k, d in keys.items()],
+            *[F.col(f"`{c}`") for c in dim.columns if c not in on.values()])
+        equal = [F.col(f).cast(types[d]) == F.col(k) for (f, d), k in zip(on.items(), keys)]
+        if fits_broadcast(side):
+            fact = fact.join(F.broadcast(side), reduce(Column.__and__, equal), how)
+        else:
+            if not salted:
+                columns = [F.col(f"`{c}`") for c in fact.columns]
+                fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
+                salted = True
+            side = side.withColumn(f"_s{n}", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
+            equal.append(F.col("_salt") == F.col(f"_s{n}"))
+            fact = fact.join(side, reduce(Column.__and__, equal), how).drop(f"_s{n}")
+        fact = fact.drop(*keys)
+    return fact.drop("_salt") if salted else fact
+
+
+def few_rows(df: DataFrame, limit: int = 10_000) -> DataFrame | None:
+    """The rows as a literal table when there are at most ``limit`` of them, else None.
+
+    Joins against a literal table are broadcast; the check reads one row too many at most.
+    """
+    rows = df.limit(limit + 1).collect()
+    return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= limit else None
 
 
 def full_merge(left: DataFrame, right: DataFrame, keys: Sequence[str], fill: float = 0) -> DataFrame:
@@ -76,12 +105,8 @@ def unprocessed(raw: DataFrame, done: DataFrame | None, raw_id: str, done_id: st
     return raw.join(loads, F.col(raw_id) == F.col("_done"), "left_anti")
 
 
-def rows_in(df: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(keys_of.select(*keys).distinct(), list(keys), "left_semi")
-
-
 def rows_not_in(df: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(keys_of.select(*keys).distinct(), list(keys), "left_anti")
+    return df.join(keys_of.select(*keys), list(keys), "left_anti")
 
 
 def detail_of(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:

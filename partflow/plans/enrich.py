@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from partflow.functions.dates import month_start, shift_month
 from partflow.functions.labels import CENTER_LABELS, MARKET_LABELS, SEGMENT_LABELS, label
 from partflow.functions.numbers import trunc_int
-from partflow.operators.joins import lookup_join
+from partflow.operators.joins import lookup_join, lookup_joins
 from partflow.operators.project import apply_mapping, closed_month_window
 
 AREA_KEYS = {"emissor_da_ordem": "cliente", "org_vendas": "orgv", "canal_dist": "cdst",
@@ -49,22 +49,35 @@ def enrich_chain(rows: DataFrame, chain: DataFrame, material: str = "material",
     return joined.withColumn(name, F.coalesce("_main", material)).drop("_main")
 
 
+CUSTOMER_COLUMNS = ("razao_social", "estado", "pais")
+
+
+def area_lookup(area: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    return area.select(*AREA_KEYS.values(), F.col("cen").alias("centro_original")), AREA_KEYS
+
+
+def customer_lookup(customer: DataFrame, columns: Sequence[str] = CUSTOMER_COLUMNS
+                    ) -> tuple[DataFrame, dict[str, str]]:
+    return customer.select("cliente", *columns), {"emissor_da_ordem": "cliente"}
+
+
 def enrich_area(rows: DataFrame, area: DataFrame) -> DataFrame:
-    """Adds the centre that serves the customer. Area keys must be unique."""
-    lookup = area.select(*AREA_KEYS.values(), F.col("cen").alias("centro_original"))
-    return lookup_join(rows, lookup, AREA_KEYS)
+    """Adds the centre that serves the customer."""
+    return lookup_joins(rows, [area_lookup(area)])
 
 
 def enrich_customer(rows: DataFrame, customer: DataFrame,
-                    columns: Sequence[str] = ("razao_social", "estado", "pais")) -> DataFrame:
-    return lookup_join(rows, customer.select("cliente", *columns), {"emissor_da_ordem": "cliente"})
+                    columns: Sequence[str] = CUSTOMER_COLUMNS) -> DataFrame:
+    return lookup_joins(rows, [customer_lookup(customer, columns)])
 
 
 def demand_base(sales: DataFrame, chain: DataFrame, area: DataFrame, customer: DataFrame,
                 months: int = 60, anchor: date | None = None) -> DataFrame:
     """The analytical base: one typed, labelled row per order item of the window."""
     rows = closed_month_window(sales, "data", months, anchor)
-    rows = enrich_customer(enrich_area(enrich_chain(rows, chain), area), customer)
+    rows = enrich_chain(rows, chain)
+    # The customer key is part of the area key, so both lookups share one shuffle of the rows.
+    rows = lookup_joins(rows, [customer_lookup(customer), area_lookup(area)])
     rows = rows.withColumns({
         "quantidade": trunc_int(F.col("quantidade")),
         "segmento": label(F.col("org_vendas"), SEGMENT_LABELS),

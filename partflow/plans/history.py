@@ -15,9 +15,10 @@ from partflow.functions.dates import repair_date
 from partflow.functions.hashing import row_hash
 from partflow.operators.project import consumer_view, in_domain
 from partflow.operators.quality import (
-    enforce, gate_chronology, gate_columns, gate_divergence, gate_keys, gate_loaded,
+    GateError, enforce, gate_chronology, gate_columns, gate_divergence, gate_keys, gate_loaded,
 )
-from partflow.operators.state import open_versions, scd2_apply, scd2_start
+from partflow.operators.state import open_versions, scd2_apply, scd2_changes, scd2_start
+from partflow.sinks.tables import HistoryFolder
 
 
 def history_rows(master: DataFrame) -> DataFrame:
@@ -40,21 +41,49 @@ def history_stage(rows: DataFrame) -> DataFrame:
     ).select(*HISTORY_KEYS, *HISTORY_TRACKED, "row_hash")
 
 
-def load_history(history: DataFrame | None, master: DataFrame, reference: date,
-                 audit: Mapping[str, Column] | None = None) -> DataFrame:
-    """Checks one snapshot and applies it; the result is the whole new state."""
+def checked_stage(current: DataFrame | None, master: DataFrame, reference: date,
+                  audit: Mapping[str, Column] | None = None) -> DataFrame:
+    """The snapshot as new versions, after all gates."""
     enforce(gate_columns(master, [*HISTORY_KEYS, "centro", "tipo_de_material", LEAD_TIME_SOURCE]))
     rows = history_rows(master)
     gates = [gate_keys(rows, HISTORY_KEYS), gate_divergence(rows, HISTORY_KEYS)]
-    if history is not None:
-        gates += [gate_chronology(history, reference), gate_loaded(history, reference)]
+    if current is not None:
+        gates += [gate_chronology(current, reference), gate_loaded(current, reference)]
     enforce(*gates)
-    audit = dict(audit or {})
-    stage = open_versions(history_stage(rows), scd2_start(history, reference)).withColumns(audit)
+    stage = open_versions(history_stage(rows), scd2_start(current, reference))
+    return stage.withColumns(dict(audit or {}))
+
+
+def ended_audit(audit: Mapping[str, Column] | None) -> dict[str, Column]:
+    """Audit values an ended version takes; it keeps the time of its own ingestion."""
+    return {c: v for c, v in (audit or {}).items() if c != "_ingested_at"}
+
+
+def load_history(history: DataFrame | None, master: DataFrame, reference: date,
+                 audit: Mapping[str, Column] | None = None) -> DataFrame:
+    """Checks one snapshot and applies it; the result is the whole new state."""
+    stage = checked_stage(history, master, reference, audit)
     if history is None:
         return stage
-    ended = {c: v for c, v in audit.items() if c != "_ingested_at"}
-    return scd2_apply(history, stage, HISTORY_KEYS, reference, closed_audit=ended)
+    return scd2_apply(history, stage, HISTORY_KEYS, reference, closed_audit=ended_audit(audit))
+
+
+def load_history_folder(folder: HistoryFolder, master: DataFrame, reference: date,
+                        audit: Mapping[str, Column] | None = None) -> None:
+    """Loads one snapshot into stored history; ended versions of earlier months are not read.
+
+    The month of a load is its place in the folder, so a month that has only ended
+    versions cannot be loaded twice either.
+    """
+    done = folder.months()
+    if done and done[-1] >= int(f"{reference:%Y%m}"):
+        raise GateError([("chronology", f"{reference:%Y-%m}", f"{done[-1]} is loaded")])
+    current = folder.current()
+    stage = checked_stage(current, master, reference, audit)
+    if current is not None:
+        stage = scd2_changes(current, stage, HISTORY_KEYS, reference,
+                             closed_audit=ended_audit(audit))[1]
+    folder.write(stage, reference)
 
 
 def history_view(history: DataFrame) -> DataFrame:

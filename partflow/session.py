@@ -13,6 +13,8 @@ SETTINGS = {
     # Split hot join partitions even where that costs one more shuffle downstream.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A fact partitioned by a part of the join keys need not be shuffled again.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

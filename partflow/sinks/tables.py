@@ -7,6 +7,7 @@ carries the writer's success mark, so a failed or running write is never seen.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,12 +42,13 @@ class TableFolder:
     """One table below ``root``: ``root/v=<n>``.
 
     ``partition_by`` gives partition columns with their types; codes such as ``0200``
-    would otherwise be read back as numbers.
+    would otherwise be read back as numbers. ``evolving`` tables are read with the union
+    of all their files' columns, which costs a look at every file.
     """
 
     def __init__(self, spark: SparkSession, root: str,
-                 partition_by: Mapping[str, str] | None = None):
-        self.spark, self.root = spark, root.rstrip("/")
+                 partition_by: Mapping[str, str] | None = None, evolving: bool = False):
+        self.spark, self.root, self.evolving = spark, root.rstrip("/"), evolving
         self.partition_by = dict(partition_by or {})
 
     def version(self) -> int | None:
@@ -63,8 +65,7 @@ class TableFolder:
         version = self.version() if version is None else version
         if version is None:
             raise FileNotFoundError(f"no complete version below {self.root}")
-        reader = self.spark.read.option("mergeSchema", True)
-        found = reader.parquet(self.path(version))
+        found = self.spark.read.option("mergeSchema", self.evolving).parquet(self.path(version))
         if not self.partition_by:
             return found
         typed = ", ".join(f"`{n}` {self.partition_by.get(n, t)}" for n, t in found.dtypes)
@@ -76,7 +77,7 @@ class TableFolder:
         self._write(df, 0 if latest is None else latest + 1, "overwrite")
 
     def append(self, df: DataFrame) -> None:
-        """Adds rows; new columns are allowed and read as NULL in the older rows."""
+        """Adds rows; in an evolving table new columns are NULL in the older rows."""
         self._write(df, self.version() or 0, "append")
 
     def replace_scopes(self, df: DataFrame) -> None:
@@ -127,7 +128,7 @@ class BatchFolder:
         if not batches:
             return None
         paths = [f"{self.root}/batch={b}" for b in batches]
-        rows = self.spark.read.option("basePath", self.root).option("mergeSchema", True).parquet(*paths)
+        rows = self.spark.read.option("basePath", self.root).parquet(*paths)
         return dedupe_latest(rows, self.keys, ["batch"]).drop("batch")
 
     def compact(self) -> None:
@@ -138,6 +139,45 @@ class BatchFolder:
             state.write.mode("overwrite").parquet(f"{self.root}/upto={batches[-1]}")
 
 
+class HistoryFolder:
+    """A type-2 history: current versions in ``root/current``, ended ones in ``root/closed``.
+
+    A snapshot rewrites the current versions only and adds those it has ended under its
+    month. Ended versions count once the current versions of their month are complete,
+    so a load that breaks off in between has no effect and can be run again.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def months(self) -> list[int]:
+        return numbered(self.spark, f"{self.root}/current", "month=")
+
+    def current(self) -> DataFrame | None:
+        months = self.months()
+        return self.spark.read.parquet(f"{self.root}/current/month={months[-1]}") if months else None
+
+    def read(self) -> DataFrame | None:
+        """All versions; None before the first load."""
+        current = self.current()
+        if current is None:
+            return None
+        loaded = set(self.months())
+        closed = [f"{self.root}/closed/month={m}"
+                  for m in numbered(self.spark, f"{self.root}/closed", "month=") if m in loaded]
+        return current.unionByName(self.spark.read.parquet(*closed)) if closed else current
+
+    def write(self, touched: DataFrame, reference: date) -> None:
+        """Stores what a snapshot has kept, opened and ended."""
+        month = f"month={reference:%Y%m}"
+        rows = touched.persist()
+        try:
+            rows.where("NOT is_current").write.mode("overwrite").parquet(f"{self.root}/closed/{month}")
+            rows.where("is_current").write.mode("overwrite").parquet(f"{self.root}/current/{month}")
+        finally:
+            rows.unpersist()
+
+
 def publish_segments(
     spark: SparkSession,
     root: str,

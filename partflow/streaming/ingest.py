@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from partflow.config import SALES_KEYS
 from partflow.functions.dates import local_timestamp
-from partflow.operators.quality import enforce, file_stats, sales_file_gates
+from partflow.operators.quality import GateError, enforce, file_stats, sales_file_gates
 from partflow.operators.state import dedupe_latest
 from partflow.plans.sales import parse_sales, standardize_sales
 from partflow.sinks.tables import BatchFolder, TableFolder, path_exists
@@ -44,9 +44,18 @@ def files_of(rows: DataFrame) -> DataFrame:
 
 def check_sales_files(lines: DataFrame, loaded: DataFrame | None = None,
                       parsed: DataFrame | None = None) -> None:
-    """Raises when any file of the set breaks a rule."""
-    parsed = parse_sales(lines) if parsed is None else parsed
-    enforce(sales_file_gates(file_stats(parsed), files_of(lines), loaded))
+    """Raises when any file of the set breaks a rule.
+
+    The rows in place are read only when an organisation has not arrived.
+    """
+    stats = file_stats(parse_sales(lines) if parsed is None else parsed)
+    files = files_of(lines)
+    try:
+        enforce(sales_file_gates(stats, files))
+    except GateError as error:
+        if loaded is None or any(rule != "file_missing" for rule, _, _ in error.violations):
+            raise
+        enforce(sales_file_gates(stats, files, loaded))
 
 
 def manifest_folder(spark: SparkSession, root: str) -> BatchFolder:

@@ -131,7 +131,7 @@ def test_two_files_for_one_period(spark):
 
 
 def test_table_folder(spark, tmp_path):
-    table = TableFolder(spark, str(tmp_path / "t"), {"mes": "date", "empresa": "string"})
+    table = TableFolder(spark, str(tmp_path / "t"), {"mes": "date", "empresa": "string"}, evolving=True)
     rows = spark.sql("SELECT DATE '2026-10-01' AS mes, '0200' AS empresa, 1 AS q UNION ALL "
                      "SELECT DATE '2026-10-01', '0500', 2 UNION ALL SELECT DATE '2026-11-01', '0200', 3")
     table.replace(rows)
