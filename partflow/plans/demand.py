@@ -127,10 +127,7 @@ def urgent_by_customer(customer_cube: DataFrame, anchor: date, orgs: Sequence[st
 
 
 def closing(cube: DataFrame, anchor: date, orgs: Sequence[str] = BOTH) -> dict[str, DataFrame]:
-    """All views that need no customer, read from one aggregation of the cube.
-
-    Persist the cube's measures or publish them first when several views are written.
-    """
+    """All views that need no customer, read from one persisted aggregation of the cube."""
     views = [v for v in DEMAND_VIEWS.values() if not v.by_customer]
     measures = demand_measures(cube, views, orgs).persist()
     return {v.key: view_table(view_rows(measures, v), v, anchor) for v in views}
@@ -177,9 +174,15 @@ def _shares(rows: DataFrame, on: Column, values: Sequence[str]) -> DataFrame:
     return row_shares(whole, values, value_prefix="DMD_", share_prefix="%_")
 
 
+MAX_CODES = 200
+
+
 def _present(rows: DataFrame, value: Column) -> list[str]:
-    """The few codes that occur, in name order."""
-    return sorted(r[0] for r in rows.select(value).distinct().collect())
+    """The few codes that occur, in name order; each becomes two columns."""
+    found = rows.select(value).distinct().limit(MAX_CODES + 1).collect()
+    if len(found) > MAX_CODES:
+        raise ValueError(f"more than {MAX_CODES} codes would become columns")
+    return sorted(r[0] for r in found)
 
 
 def distribution(cube: DataFrame, org: str, anchor: date, centers: Sequence[str] | None = None,

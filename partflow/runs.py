@@ -37,14 +37,15 @@ def run_closing(spark: SparkSession, root: str, sales: DataFrame, chain: DataFra
     measures.replace(demand.demand_measures(cube, views, orgs))
     names = []
 
-    def publish(key: str, table: DataFrame) -> None:
-        names.extend(publish_segments(spark, root, f"{PREFIX}{key}", table, mode))
+    def publish(key: str, table: DataFrame, segments: Sequence[str] = orgs) -> None:
+        names.extend(publish_segments(spark, root, f"{PREFIX}{key}", table, mode, segments))
 
     for view in views:
         rows = demand.view_rows(measures.read(), view)
         publish(view.key, demand.view_table(rows, view, anchor))
         if view.key == "linha":
-            publish("linha_abc", demand.abc_curve(rows.where(F.col("org_vendas") == MOTORCYCLES), anchor))
+            ranked = rows.where(F.col("org_vendas") == MOTORCYCLES)
+            publish("linha_abc", demand.abc_curve(ranked, anchor), [MOTORCYCLES])
     urgent = DEMAND_VIEWS["zpug_cliente"]
     customers = enrich.customer_cube(sales, chain, anchor, urgent.months, urgent.only_type)
     publish(urgent.key, demand.urgent_by_customer(customers, anchor, orgs))

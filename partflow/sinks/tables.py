@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.config import SEGMENTS
+from partflow.config import BOTH, SEGMENTS
 from partflow.operators.state import dedupe_latest, upsert
 
 
@@ -184,6 +184,7 @@ def publish_segments(
     name: str,
     df: DataFrame,
     mode: str = "multi_tabela",
+    orgs: Sequence[str] = BOTH,
 ) -> list[str]:
     """Writes a view with an ``org_vendas`` column per segment or as one table.
 
@@ -198,7 +199,7 @@ def publish_segments(
             df.withColumn("segmento", tag).drop("org_vendas"))
         return [name]
     names = []
-    for segment in SEGMENTS.values():
+    for segment in (SEGMENTS[org] for org in orgs):
         part = df.where(F.col("org_vendas") == segment.org).drop("org_vendas")
         names.append(f"{name}_{segment.tag}")
         TableFolder(spark, f"{root}/{names[-1]}").replace(part)
