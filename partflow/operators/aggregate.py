@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partflow.functions.dates import label_of, month_label, month_start
+from partflow.functions.dates import label_of, month_start
 from partflow.functions.numbers import percent, total_of, trunc_int
 
 
@@ -27,16 +27,27 @@ def pivot_months(df: DataFrame, keys: Sequence[str], months: Sequence[date], val
                  month: str = "mes") -> DataFrame:
     """One integer column per month, 0 where a month has no row.
 
-    The months are given, so no extra job looks for them and every sheet has the same
-    columns.
+    The sums are cut to whole numbers per month, before they are spread.
     """
-    labels = [label_of(m) for m in months]
-    # Whole numbers before the pivot keep its wide buffers small.
-    sums = df.groupBy(*keys, month_label(F.col(month)).alias("_label")).agg(
+    sums = df.groupBy(*keys, month_start(F.col(month)).alias("_month")).agg(
         trunc_int(F.coalesce(F.sum(value), F.lit(0))).alias("_whole"))
-    wide = sums.groupBy(*keys).pivot("_label", labels).agg(F.max("_whole"))
-    return wide.selectExpr(
-        *[f"`{k}`" for k in keys], *[f"coalesce(`{m}`, 0) AS `{m}`" for m in labels])
+    return spread_months(sums, keys, months, "_whole", "_month")
+
+
+def spread_months(df: DataFrame, keys: Sequence[str], months: Sequence[date], value: str,
+                  month: str = "mes") -> DataFrame:
+    """Spreads one row per key and month over one column per month, 0 where there is none.
+
+    The months are given, so no extra job looks for them and every sheet has the same
+    columns. One aggregation compares month numbers, which is cheaper than a pivot's
+    second pass over wide buffers.
+    """
+    first = months[0].year * 12 + months[0].month
+    number = F.year(month) * 12 + F.month(month) - F.lit(first)
+    columns = [(m.year * 12 + m.month - first, label_of(m)) for m in months]
+    return df.withColumn("_number", number).groupBy(*keys).agg(*[
+        F.expr(f"coalesce(max(if(_number = {n}, `{value}`, NULL)), 0) AS `{name}`")
+        for n, name in columns])
 
 
 def static_pivot(df: DataFrame, keys: Sequence[str], on: str, values: Sequence[str],

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from partflow.config import (
     BOTH, DEMAND_VIEWS, MOTORCYCLES, SEGMENTS, TOTAL_SHEET, DemandView,
 )
-from partflow.functions.dates import label_of, last_months, month_label, shift_month
+from partflow.functions.dates import label_of, last_months, shift_month
 from partflow.functions.labels import MARKET_TAGS, MONTHS_PT, label
 from partflow.functions.numbers import share, trunc_int, zero_if_null
-from partflow.operators.aggregate import pivot_months, row_shares, static_pivot
+from partflow.operators.aggregate import row_shares, spread_months, static_pivot
 from partflow.operators.project import slice_condition
 from partflow.operators.running import ranked_totals
 
@@ -97,14 +97,8 @@ def view_table(rows: DataFrame, view: DemandView, anchor: date,
                extra: dict[str, str] | None = None) -> DataFrame:
     """Presentation of a view: file, sheet, item and one column per month."""
     ids = {"item": view.item_label, **(extra or {})}
-    months = [label_of(m) for m in last_months(anchor, view.months)]
-    # The rows hold one value per month already, so a plain pivot is enough.
-    wide = (
-        rows.withColumn("_label", month_label(F.col("mes")))
-        .groupBy("org_vendas", "sheet", *ids).pivot("_label", months).agg(F.sum("valor"))
-        .selectExpr("org_vendas", "sheet", *ids,
-                    *[f"int(coalesce(`{m}`, 0)) AS `{m}`" for m in months])
-    )
+    wide = spread_months(rows, ["org_vendas", "sheet", *ids], last_months(anchor, view.months), "valor")
+    months = wide.columns[2 + len(ids):]
     return wide.select(
         "org_vendas", file_label(F.col("org_vendas"), anchor, view.suffix).alias("file"), "sheet",
         *[F.col(c).alias(n) for c, n in ids.items()], *[F.col(f"`{m}`") for m in months])
@@ -142,7 +136,7 @@ def abc_curve(line_rows: DataFrame, anchor: date,
     """
     months = last_months(anchor, ABC_MONTHS)
     labels = [label_of(m) for m in months]
-    wide = pivot_months(line_rows, ["org_vendas", "sheet", "item"], months, "valor")
+    wide = spread_months(line_rows, ["org_vendas", "sheet", "item"], months, "valor")
     total = F.lit(0)
     for name in labels:
         total = total + F.col(f"`{name}`")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from partflow.functions.dates import month_start, shift_month
 from partflow.functions.labels import CENTER_LABELS, MARKET_LABELS, SEGMENT_LABELS, label
 from partflow.functions.numbers import trunc_int
-from partflow.operators.joins import lookup_join, lookup_joins
+from partflow.operators.joins import fits_broadcast, lookup_join, lookup_joins
 from partflow.operators.project import apply_mapping, closed_month_window
 
 AREA_KEYS = {"emissor_da_ordem": "cliente", "org_vendas": "orgv", "canal_dist": "cdst",
@@ -87,35 +87,46 @@ def demand_base(sales: DataFrame, chain: DataFrame, area: DataFrame, customer: D
     return apply_mapping(rows, BASE_MAPPING)
 
 
+MEASURES = ("quantidade", "linhas", "registros")
+
+
+def _monthly(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sums of sales rows: quantity, rows with a quantity, rows."""
+    return rows.groupBy(*keys, month_start(F.col("data")).alias("mes")).agg(
+        F.sum("quantidade").alias("quantidade"), F.count("quantidade").alias("linhas"),
+        F.count(F.lit(1)).alias("registros"))
+
+
+def _resummed(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return sums.groupBy(*keys, "mes").agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
 def demand_cube(sales: DataFrame, chain: DataFrame, area: DataFrame, anchor: date,
                 months: int = 60) -> DataFrame:
     """Monthly sums that every demand view is read from.
 
-    Sales are summed to the keys of the lookups before they meet them. A lookup row
-    multiplies a sum exactly as it would multiply its rows, and the joins see the sums
-    only. Measures: ``quantidade``, ``linhas`` (rows with a quantity), ``registros`` (rows).
+    An area table that fits a broadcast is looked up on the map side and the sales are
+    shuffled once, already summed. Otherwise the sales are summed to the keys of the
+    lookup first: a lookup row multiplies a sum exactly as it would multiply its rows,
+    and the join sees the sums only. Measures: ``quantidade``, ``linhas`` (rows with a
+    quantity), ``registros`` (rows).
     """
     window = sales.where(F.col("data") >= F.lit(shift_month(anchor, 1 - months)))
-    per_customer = window.groupBy(
-        "org_vendas", "canal_dist", "tipo_ov", "setor_ativ", "emissor_da_ordem", "material",
-        month_start(F.col("data")).alias("mes"),
-    ).agg(F.sum("quantidade").alias("quantidade"), F.count("quantidade").alias("linhas"),
-          F.count(F.lit(1)).alias("registros"))
-    per_center = enrich_area(per_customer, area).groupBy(
-        "org_vendas", "canal_dist", "tipo_ov", "centro_original", "material", "mes",
-    ).agg(*[F.sum(m).alias(m) for m in ("quantidade", "linhas", "registros")])
+    keys = ["org_vendas", "canal_dist", "tipo_ov", "centro_original", "material"]
+    if fits_broadcast(area_lookup(area)[0]):
+        per_center = _monthly(enrich_area(window, area), keys)
+    else:
+        per_customer = _monthly(window, [
+            "org_vendas", "canal_dist", "tipo_ov", "setor_ativ", "emissor_da_ordem", "material"])
+        per_center = _resummed(enrich_area(per_customer, area), keys)
     return enrich_chain(per_center, chain)
 
 
 def customer_cube(sales: DataFrame, chain: DataFrame, anchor: date, months: int = 12,
                   only_type: str | None = None) -> DataFrame:
-    """Monthly sums per customer and chain item."""
+    """Monthly sums per customer and material, with the material's chain item."""
     window = sales.where(F.col("data") >= F.lit(shift_month(anchor, 1 - months)))
     if only_type is not None:
         window = window.where(F.col("tipo_ov") == only_type)
-    sums = window.groupBy(
-        "org_vendas", "canal_dist", "tipo_ov", "emissor_da_ordem", "material",
-        month_start(F.col("data")).alias("mes"),
-    ).agg(F.sum("quantidade").alias("quantidade"), F.count("quantidade").alias("linhas"),
-          F.count(F.lit(1)).alias("registros"))
-    return enrich_chain(sums, chain)
+    return enrich_chain(_monthly(window, [
+        "org_vendas", "canal_dist", "tipo_ov", "emissor_da_ordem", "material"]), chain)

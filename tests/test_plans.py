@@ -100,7 +100,10 @@ def test_sheets_add_up_to_total(spark, data):
 
 
 def test_lookup_fan_out_multiplies_sums(spark):
-    """Summing before the join gives what summing after it gives, repeated lookup keys included."""
+    """Summing before the join gives what summing after it gives, repeated lookup keys included.
+
+    The area is broadcast under the first limit and joined on sums under the second.
+    """
     sales = spark.createDataFrame(
         [("0200", "01", "ZNOR", "04", 7, "M", date(2001, 8, 1), Decimal("2.000")),
          ("0200", "01", "ZNOR", "04", 7, "M", date(2001, 8, 3), Decimal("3.000"))],
@@ -109,8 +112,14 @@ def test_lookup_fan_out_multiplies_sums(spark):
     area = spark.createDataFrame([("7", "0200", "01", "04", "0203")] * 2,
                                  "cliente string, orgv string, cdst string, sa string, cen string")
     chain = spark.createDataFrame([("0200", "M", "P")], "empresa string, material string, item_principal_cadeia string")
-    row = enrich.demand_cube(sales, chain, area, date(2001, 8, 1)).first()
-    assert (row.item_principal_cadeia, row.quantidade, row.registros) == ("P", Decimal("10.000"), 4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in (limit, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            row = enrich.demand_cube(sales, chain, area, date(2001, 8, 1)).first()
+            assert (row.item_principal_cadeia, row.quantidade, row.registros) == ("P", Decimal("10.000"), 4)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
 def test_distribution_by_hand(spark):
