@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from partflow.llm import decontamination, mixing
+from partflow.llm import decontamination, mixing, simhash
 from partflow.llm.common import table
 from partflow.llm.sql import TWINS
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +22,14 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
                         decontamination.item_digest(F.col("item_ids")).alias("items_sha256"), "contaminated")
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
+    "op3_simhash": op3_simhash,
 }
 
 
