@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from partflow.llm import decontamination, mixing, simhash
+from partflow.llm import chat, decontamination, mixing, private, simhash, tokens
 from partflow.llm.common import table
 from partflow.llm.sql import TWINS
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +26,26 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_private(spark: SparkSession, folder: str) -> DataFrame:
+    return private.find_private(table(spark, folder, "documents"))
+
+
+def op6_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, folder, "documents"))
+
+
+def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = chat.with_probe(spark, table(spark, folder, "conversations"))
+    return chat.digest_chats(chat.format_chats(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
+    "op4_private": op4_private,
+    "op6_tokens": op6_tokens,
+    "op7_chat": op7_chat,
 }
 
 
