@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from partflow.llm import chat, decontamination, mixing, private, simhash, tokens
+from partflow.llm import chat, decontamination, mixing, neighbours, private, simhash, tokens, toxicity
 from partflow.llm.common import table
 from partflow.llm.sql import TWINS
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +39,14 @@ def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest_chats(chat.format_chats(rows))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search_fiftieths(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
@@ -46,6 +54,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_private": op4_private,
     "op6_tokens": op6_tokens,
     "op7_chat": op7_chat,
+    "op9_toxicity": op9_toxicity,
+    "op10_neighbours": op10_neighbours,
 }
 
 
