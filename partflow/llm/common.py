@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from partflow.session import scratch_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +52,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def hex_digest(text: Column) -> Column:
     return F.sha2(text, 256)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: later plans know its size and lose no work with an executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

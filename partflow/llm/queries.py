@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from partflow.llm import chat, decontamination, mixing, neighbours, private, simhash, tokens, toxicity
+from partflow.llm import chat, decontamination, lines, mixing, neighbours, passages, private, simhash, tokens, toxicity
 from partflow.llm.common import table
 from partflow.llm.sql import TWINS
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +30,10 @@ def op4_private(spark: SparkSession, folder: str) -> DataFrame:
     return private.find_private(table(spark, folder, "documents"))
 
 
+def op5_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.digest_lines(table(spark, folder, "documents"))
+
+
 def op6_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(table(spark, folder, "documents"))
 
@@ -39,6 +43,10 @@ def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest_chats(chat.format_chats(rows))
 
 
+def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -52,8 +60,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
     "op4_private": op4_private,
+    "op5_lines": op5_lines,
     "op6_tokens": op6_tokens,
     "op7_chat": op7_chat,
+    "op8_passages": op8_passages,
     "op9_toxicity": op9_toxicity,
     "op10_neighbours": op10_neighbours,
 }
