@@ -32,7 +32,7 @@ class VantageTree:
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray, leaf: int = LEAF) -> None:
         self.vectors, self.ids, self.leaf = vectors, ids, leaf
-        self.norms = np.sqrt(np.einsum("pd,pd->p", vectors, vectors))
+        self.norms = np.sqrt(in_order(vectors * vectors))
         self.units = vectors / self.norms[:, None]
         self.root = self.build(np.argsort(ids, kind="stable"))
 
@@ -48,10 +48,11 @@ class VantageTree:
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int, factor: float = FACTOR) -> tuple[np.ndarray, np.ndarray]:
         """Scores and ids of the ``k`` nearest of every query, best first; missing ones score -inf."""
-        norms = np.sqrt(np.einsum("qd,qd->q", queries, queries))
+        norms = np.sqrt(in_order(queries * queries))
         units = queries / norms[:, None]
         best = np.full((len(queries), k), -np.inf)
         found = np.full((len(queries), k), np.iinfo(np.int64).max)
+        rows_at = np.zeros((len(queries), k), np.int64)
 
         def reach(active: np.ndarray) -> np.ndarray:
             worst = best[active, -1]
@@ -67,7 +68,9 @@ class VantageTree:
                 scores[own[active][:, None] == self.ids[rows][None, :]] = -np.inf
                 all_scores = np.concatenate((best[active], scores), axis=1)
                 all_ids = np.concatenate((found[active], np.broadcast_to(self.ids[rows], scores.shape)), axis=1)
+                all_rows = np.concatenate((rows_at[active], np.broadcast_to(rows, scores.shape)), axis=1)
                 order = np.lexsort((all_ids, -all_scores))[:, :k]
+                rows_at[active] = np.take_along_axis(all_rows, order, 1)
                 best[active] = np.take_along_axis(all_scores, order, 1)
                 found[active] = np.take_along_axis(all_ids, order, 1)
                 return
@@ -80,9 +83,18 @@ class VantageTree:
             visit(near, active[~inside & ((away - radius) * factor <= reach(active) + SLACK)])
 
         visit(self.root, np.arange(len(queries)))
+        # The scores as they are handed out, their terms summed one after the other.
+        for query, place in np.argwhere(np.isfinite(best)):
+            row = rows_at[query, place]
+            best[query, place] = in_order(queries[query] * self.vectors[row]) / (norms[query] * self.norms[row])
         return best, found
 
 
+def in_order(terms: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, term by term."""
+    return np.cumsum(terms, axis=-1)[..., -1]
+
+
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distances of unit vectors."""
     return np.sqrt(np.maximum(0.0, 2 - 2 * np.einsum("qd,pd->qp", a, b)))
