@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from partflow.functions.dates import label_of, month_start
 from partflow.functions.numbers import percent, total_of, trunc_int
+from partflow.operators.joins import null_safe, null_safe_side
 
 
 def sum_by_month(df: DataFrame, keys: Sequence[str], day: str, qty: str,
@@ -153,9 +154,10 @@ def keep_one_to_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def fan_out_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows whose keys occur more than once."""
+    """All rows whose keys occur more than once; NULL is a key like any other."""
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return df.join(repeated.select(*keys), list(keys), "left_semi")
+    side = null_safe_side(repeated, keys)
+    return df.join(side, null_safe(df, side, keys), "left_semi")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

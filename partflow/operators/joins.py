@@ -1,4 +1,4 @@
-"""Joins. A side is broadcast only when its planned size is within the session's limit."""
+"""Joins. Spark broadcasts a side only while its size is within the session's limit."""
 
 from __future__ import annotations
 
@@ -8,55 +8,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 16
+from partflow.session import settle
 
-
-def planned_bytes(df: DataFrame) -> int:
-    """Size of the result as the optimizer knows it from the files it reads."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()
-    digits = text.rstrip("bkmg")
-    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[len(digits):][:1], 1)
-    return int(digits) * unit
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    return planned_bytes(df) <= broadcast_limit(df)
-
-
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Mapping[str, str],
-    how: str = "left",
-    salts: int = DEFAULT_SALTS,
-) -> DataFrame:
+def lookup_join(fact: DataFrame, dim: DataFrame, on: Mapping[str, str], how: str = "left") -> DataFrame:
     """Join a fact to a lookup on ``{fact column: lookup column}``.
 
-    A lookup within the broadcast limit spares the fact its shuffle. A larger one is
-    joined on the keys plus a salt, so that the rows of one hot key (or of the NULL
-    key) spread over ``salts`` tasks; AQE splits what is still uneven.
-    The lookup's key columns are not kept.
+    The lookup's key columns are not kept. Only joins led by the fact: ``left`` and ``inner``.
     """
-    return lookup_joins(fact, [(dim, on)], how, salts)
+    return lookup_joins(fact, [(dim, on)], how)
 
 
 def lookup_joins(
     fact: DataFrame,
     lookups: Sequence[tuple[DataFrame, Mapping[str, str]]],
     how: str = "left",
-    salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
-    """Several lookups in a row. They share one salt.
+    """Several lookups in a row.
 
-    Put a lookup whose keys are part of the next one's keys first: the fact then stays
-    where the first join has put it (``spark.sql.requireAllClusterKeysForCoPartition``
-    off, as in ``session.SETTINGS``), and only the second lookup moves.
+    Spark broadcasts a lookup whose size, planned or met at run time, is within the session's limit; beyond it
+    adaptive execution splits the partition of a hot or NULL key (``session.SETTINGS``). Put a lookup whose
+    keys are part of the next one's keys first: the fact then stays where the first join has put it
+    (``spark.sql.requireAllClusterKeysForCoPartition`` off), and only the second lookup moves.
     """
-    salted = False
+    if how not in ("left", "inner"):
+        raise ValueError("a lookup join is left or inner")
     for n, (dim, on) in enumerate(lookups):
         types = dict(dim.dtypes)
         keys = {f"_k{n}_{i}": d for i, d in enumerate(on.values())}
@@ -64,27 +39,8 @@ def lookup_joins(
             *[F.col(f"`{d}`").alias(k) for k, d in keys.items()],
             *[F.col(f"`{c}`") for c in dim.columns if c not in on.values()])
         equal = [F.col(f).cast(types[d]) == F.col(k) for (f, d), k in zip(on.items(), keys)]
-        if fits_broadcast(side):
-            fact = fact.join(F.broadcast(side), reduce(Column.__and__, equal), how)
-        else:
-            if not salted:
-                columns = [F.col(f"`{c}`") for c in fact.columns]
-                fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
-                salted = True
-            side = side.withColumn(f"_s{n}", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
-            equal.append(F.col("_salt") == F.col(f"_s{n}"))
-            fact = fact.join(side, reduce(Column.__and__, equal), how).drop(f"_s{n}")
-        fact = fact.drop(*keys)
-    return fact.drop("_salt") if salted else fact
-
-
-def few_rows(df: DataFrame, limit: int = 10_000) -> DataFrame | None:
-    """The rows as a literal table when there are at most ``limit`` of them, else None.
-
-    Joins against a literal table are broadcast; the check reads one row too many at most.
-    """
-    rows = df.limit(limit + 1).collect()
-    return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= limit else None
+        fact = fact.join(side, reduce(Column.__and__, equal), how).drop(*keys)
+    return fact
 
 
 def full_merge(left: DataFrame, right: DataFrame, keys: Sequence[str], fill: float = 0) -> DataFrame:
@@ -109,9 +65,23 @@ def rows_not_in(df: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataF
     return df.join(keys_of.select(*keys), list(keys), "left_anti")
 
 
-def detail_of(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows of the given groups, with the columns the groups carry."""
-    return df.join(groups, list(keys))
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equality on keys of which some may be NULL; the right side has them as ``_key0`` and on."""
+    return reduce(Column.__and__, [left[k].eqNullSafe(right[f"_key{n}"]) for n, k in enumerate(keys)])
+
+
+def null_safe_side(df: DataFrame, keys: Sequence[str], *others: str) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_key{n}") for n, k in enumerate(keys)], *others)
+
+
+#: Scopes up to this many are sent to every executor (a scope takes some 50 bytes: 5 MB at most).
+BROADCAST_SCOPES = 100_000
+
+
+def scope_rows(scopes: DataFrame) -> DataFrame:
+    """Distinct scopes, marked for a broadcast while they are few: the table that holds them need not move."""
+    found = settle(scopes.distinct())
+    return F.broadcast(found) if found.count() <= BROADCAST_SCOPES else found
 
 
 def latest_only(df: DataFrame, column: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Quality gates.
 
 A gate returns the violations as rows ``(rule, subject, detail)``; ``enforce`` raises when
-there are any. Only a small sample of them reaches the driver.
+there are any. All of them are stored; only counts and the first ones reach the driver.
 """
 
 from __future__ import annotations
@@ -18,19 +18,28 @@ from partflow.functions.hashing import payload_hash
 from partflow.functions.labels import label
 from partflow.functions.numbers import invalid_number
 from partflow.operators.aggregate import union_all
+from partflow.operators.joins import null_safe, null_safe_side, scope_rows
 from partflow.operators.project import invalid_keys
 from partflow.operators.state import decimal_migration_checks, scd2_state
+from partflow.session import scratch_path
 
 FILE_ORGS = {s.org: s.wheels for s in SEGMENTS.values()}
 VIOLATION = "rule string, subject string, detail string"
 
 
 class GateError(ValueError):
-    """Raised when a gate finds violations; nothing may be written after it."""
+    """Raised when a gate finds violations; nothing may be written after it.
 
-    def __init__(self, violations: Sequence[tuple[str, str, str]]):
-        self.violations = list(violations)
-        super().__init__("; ".join(f"{r}: {s} ({d})" for r, s, d in self.violations))
+    ``violations`` are the first ones in order, ``counts`` how many each rule has, and ``path`` the folder
+    (Parquet) that holds all of them.
+    """
+
+    def __init__(self, violations: Sequence[tuple[str, str, str]], counts: Mapping[str, int] | None = None,
+                 path: str | None = None):
+        self.violations, self.counts, self.path = list(violations), dict(counts or {}), path
+        listed = "; ".join(f"{r}: {s} ({d})" for r, s, d in self.violations)
+        more = sum(self.counts.values()) - len(self.violations)
+        super().__init__(listed + (f"; {more} more in {path}" if more > 0 else ""))
 
 
 def violation(rule: str, subject: Column | str, detail: Column | str = "") -> list[Column]:
@@ -44,10 +53,17 @@ def joined_keys(keys: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
 
 
-def enforce(*gates: DataFrame, sample: int = 10) -> None:
-    found = union_all(gates).limit(sample).collect()
-    if found:
-        raise GateError([tuple(r) for r in found])
+def enforce(*gates: DataFrame, sample: int = 100) -> None:
+    """Raises when a gate has violations: all are stored, counted by rule, and the first ones listed."""
+    found = union_all(gates)
+    if found.isEmpty():
+        return
+    path = scratch_path(found.sparkSession, "violations")
+    found.write.parquet(path)
+    stored = found.sparkSession.read.parquet(path)
+    counts = {row["rule"]: row["count"] for row in stored.groupBy("rule").count().collect()}
+    first = stored.orderBy("rule", "subject", "detail").limit(sample).collect()
+    raise GateError([tuple(row) for row in first], counts, path)
 
 
 def one_row(spark: SparkSession, rule: str, subject: str, detail: str, failed: bool) -> DataFrame:
@@ -359,7 +375,8 @@ def lag_profile(df: DataFrame) -> DataFrame:
 
 def scope_count(df: DataFrame, batch: DataFrame, scopes: Sequence[str]) -> DataFrame:
     """Rows per scope, for the scopes of a batch."""
-    inside = df.join(batch.select(*scopes).distinct(), list(scopes), "left_semi")
+    found = scope_rows(null_safe_side(batch, scopes))
+    inside = df.join(found, null_safe(df, found, scopes), "left_semi")
     return inside.groupBy(*scopes).agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from partflow.operators.joins import null_safe, null_safe_side
 from partflow.session import settle
 
 
@@ -48,8 +49,11 @@ def ranked_totals(
         F.sum(value).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         .alias("_run"),
     )
-    return local.join(offsets, [*groups, "_chunk"]).select(
-        *df.columns,
+    # A group may be NULL, and so may any part of it.
+    at = [*groups, "_chunk"]
+    offsets = null_safe_side(offsets, at, "_sum_before", "_rows_before", "total")
+    return local.join(offsets, null_safe(local, offsets, at)).select(
+        *[local[c] for c in df.columns],
         (F.col("_row") + F.col("_rows_before")).cast("int").alias("rank"),
         (F.col("_run") + F.col("_sum_before")).alias("running"),
         "total",

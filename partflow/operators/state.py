@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from partflow.functions.dates import shift_month
 from partflow.functions.hashing import row_hash
 from partflow.functions.numbers import round_half_even
-from partflow.operators.joins import few_rows, rows_not_in
+from partflow.operators.joins import null_safe, null_safe_side, rows_not_in, scope_rows
 
 # Fixed value: start of the first known version.
 HISTORY_START = datetime(1900, 1, 1)
@@ -39,12 +39,11 @@ def upsert(old: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
 def replace_scopes(old: DataFrame, batch: DataFrame, scopes: Sequence[str]) -> DataFrame:
     """All rows of the scopes that occur in the batch are replaced; other scopes stay.
 
-    A batch covers few scopes as a rule. They are then compared as literals and the old
-    rows stay where they are; otherwise the scopes are joined.
+    A batch covers few scopes as a rule: they are broadcast, and the old rows stay where they are.
+    A scope that is NULL, in whole or in part, is a scope too.
     """
-    found = batch.select(*scopes).distinct()
-    listed = few_rows(found)
-    return rows_not_in(old, found if listed is None else listed, scopes).unionByName(batch)
+    found = scope_rows(null_safe_side(batch, scopes))
+    return old.join(found, null_safe(old, found, scopes), "left_anti").unionByName(batch)
 
 
 def delete_period(df: DataFrame, day: str, year: int, month: int) -> DataFrame:

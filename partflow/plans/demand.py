@@ -168,34 +168,31 @@ def _shares(rows: DataFrame, on: Column, values: Sequence[str]) -> DataFrame:
     return row_shares(whole, values, value_prefix="DMD_", share_prefix="%_")
 
 
-MAX_CODES = 200
-
-
-def _present(rows: DataFrame, value: Column) -> list[str]:
-    """The few codes that occur, in name order; each becomes two columns."""
-    found = rows.select(value).distinct().limit(MAX_CODES + 1).collect()
-    if len(found) > MAX_CODES:
-        raise ValueError(f"more than {MAX_CODES} codes would become columns")
-    return sorted(r[0] for r in found)
+def _known(value: Column, names: Sequence[str], what: str) -> Column:
+    """The code, which has to be one that becomes a column; NULL passes."""
+    return F.when(value.isNull() | value.isin(*names), value).otherwise(
+        F.raise_error(F.concat(F.lit(f"no column for {what} "), value)))
 
 
 def distribution(cube: DataFrame, org: str, anchor: date, centers: Sequence[str] | None = None,
-                 unassigned: str = "bucket") -> DataFrame:
+                 unassigned: str = "bucket", markets: Sequence[str] = ("ME", "MI")) -> DataFrame:
     """Share of centres (6 months) and of markets (12 months) in an item's demand.
 
     Sales without a centre form the column ``null`` and count in the total
-    (``unassigned="bucket"``) or are left out (``"drop"``). The centres that occur are
-    looked up unless given.
+    (``unassigned="bucket"``) or are left out (``"drop"``). The columns are the segment's
+    centres and the two markets unless others are given; a code that has no column is an error.
     """
-    rows = cube.where(F.col("org_vendas") == org)
+    rows = cube.where((F.col("org_vendas") == org) & (F.col("mes") < F.lit(shift_month(anchor, 1))))
     recent = rows.where(F.col("mes") >= F.lit(shift_month(anchor, 1 - CENTER_MONTHS)))
     if unassigned == "drop":
         recent = recent.where(F.col("centro_original").isNotNull())
     center = F.coalesce(F.col("centro_original"), F.lit("null"))
     year = rows.where(F.col("mes") >= F.lit(shift_month(anchor, 1 - MARKET_MONTHS)))
     market = F.coalesce(label(F.col("canal_dist"), MARKET_TAGS, F.col("canal_dist")), F.lit("null"))
-    center_names = list(centers) if centers is not None else _present(recent, center)
-    market_names = _present(year, market)
+    if centers is None:
+        centers = [*SEGMENTS[org].centers, *(["null"] if unassigned == "bucket" else [])]
+    center_names, market_names = list(centers), list(markets)
+    center, market = _known(center, center_names, "centre"), _known(market, [*market_names, "null"], "market")
     merged = _shares(recent, center, center_names).join(
         _shares(year, market, market_names), "item_principal_cadeia", "full").fillna(0)
     ordered = [f"{p}{c}" for names in (center_names, market_names) for p in ("DMD_", "%_")

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from partflow.functions.dates import month_start, shift_month
 from partflow.functions.labels import CENTER_LABELS, MARKET_LABELS, SEGMENT_LABELS, label
 from partflow.functions.numbers import trunc_int
-from partflow.operators.joins import fits_broadcast, lookup_join, lookup_joins
+from partflow.operators.joins import lookup_join, lookup_joins
 from partflow.operators.project import apply_mapping, closed_month_window
 
+# The keys of a customer's sales area.
 AREA_KEYS = {"emissor_da_ordem": "cliente", "org_vendas": "orgv", "canal_dist": "cdst",
              "setor_ativ": "sa"}
-CHAIN_KEYS = {"material": "material", "org_vendas": "empresa"}
 
 # Names and types of the analytical base, in output order.
 BASE_MAPPING = {
@@ -49,6 +49,7 @@ def enrich_chain(rows: DataFrame, chain: DataFrame, material: str = "material",
     return joined.withColumn(name, F.coalesce("_main", material)).drop("_main")
 
 
+# What the base shows of a customer.
 CUSTOMER_COLUMNS = ("razao_social", "estado", "pais")
 
 
@@ -74,7 +75,7 @@ def enrich_customer(rows: DataFrame, customer: DataFrame,
 def demand_base(sales: DataFrame, chain: DataFrame, area: DataFrame, customer: DataFrame,
                 months: int = 60, anchor: date | None = None) -> DataFrame:
     """The analytical base: one typed, labelled row per order item of the window."""
-    rows = closed_month_window(sales, "data", months, anchor)
+    rows = closed_month_window(sales, "data", months, anchor, half_open=True)
     rows = enrich_chain(rows, chain)
     # The customer key is part of the area key, so both lookups share one shuffle of the rows.
     rows = lookup_joins(rows, [customer_lookup(customer), area_lookup(area)])
@@ -87,6 +88,12 @@ def demand_base(sales: DataFrame, chain: DataFrame, area: DataFrame, customer: D
     return apply_mapping(rows, BASE_MAPPING)
 
 
+def up_to_month(sales: DataFrame, anchor: date, months: int) -> DataFrame:
+    """The months that end with the anchor's."""
+    day = F.col("data")
+    return sales.where((day >= F.lit(shift_month(anchor, 1 - months))) & (day < F.lit(shift_month(anchor, 1))))
+
+
 MEASURES = ("quantidade", "linhas", "registros")
 
 
@@ -105,27 +112,22 @@ def demand_cube(sales: DataFrame, chain: DataFrame, area: DataFrame, anchor: dat
                 months: int = 60) -> DataFrame:
     """Monthly sums that every demand view is read from.
 
-    An area table that fits a broadcast is looked up on the map side and the sales are
-    shuffled once, already summed. Otherwise the sales are summed to the keys of the
-    lookup first: a lookup row multiplies a sum exactly as it would multiply its rows,
-    and the join sees the sums only. Measures: ``quantidade``, ``linhas`` (rows with a
-    quantity), ``registros`` (rows).
+    The sales are summed to the keys of the lookup first: a lookup row multiplies a sum
+    exactly as it would multiply its rows, and the join sees the sums only. Sales after
+    the anchor's month are not part of a closing. Measures: ``quantidade``, ``linhas``
+    (rows with a quantity), ``registros`` (rows).
     """
-    window = sales.where(F.col("data") >= F.lit(shift_month(anchor, 1 - months)))
+    window = up_to_month(sales, anchor, months)
     keys = ["org_vendas", "canal_dist", "tipo_ov", "centro_original", "material"]
-    if fits_broadcast(area_lookup(area)[0]):
-        per_center = _monthly(enrich_area(window, area), keys)
-    else:
-        per_customer = _monthly(window, [
-            "org_vendas", "canal_dist", "tipo_ov", "setor_ativ", "emissor_da_ordem", "material"])
-        per_center = _resummed(enrich_area(per_customer, area), keys)
-    return enrich_chain(per_center, chain)
+    per_customer = _monthly(window, [
+        "org_vendas", "canal_dist", "tipo_ov", "setor_ativ", "emissor_da_ordem", "material"])
+    return enrich_chain(_resummed(enrich_area(per_customer, area), keys), chain)
 
 
 def customer_cube(sales: DataFrame, chain: DataFrame, anchor: date, months: int = 12,
                   only_type: str | None = None) -> DataFrame:
     """Monthly sums per customer and material, with the material's chain item."""
-    window = sales.where(F.col("data") >= F.lit(shift_month(anchor, 1 - months)))
+    window = up_to_month(sales, anchor, months)
     if only_type is not None:
         window = window.where(F.col("tipo_ov") == only_type)
     return enrich_chain(_monthly(window, [

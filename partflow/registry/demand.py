@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partflow.config import BOTH, CARS, DEMAND_VIEWS, MOTORCYCLES, SEGMENTS, DemandView
-from partflow.functions.dates import label_of, last_months
+from partflow.functions.dates import label_of, last_months, shift_month
 from partflow.operators.aggregate import max_of
 from partflow.operators.project import latest_cycle
 from partflow.plans import customers, demand, enrich, materials
@@ -157,7 +159,10 @@ def _half_up(value: str) -> str:
     return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)"
 
 
-def _shares_sql(months: int, on: str, names: dict[str, str]) -> str:
+PAST = shift_month(ANCHOR, -6)
+
+
+def _shares_sql(months: int, on: str, names: dict[str, str], anchor: date) -> str:
     columns = ", ".join(
         f"CAST(trunc(coalesce(sum(quantidade) FILTER (WHERE {on} = '{code}'), 0)) AS INTEGER) AS \"{name}\""
         for code, name in names.items())
@@ -167,21 +172,21 @@ def _shares_sql(months: int, on: str, names: dict[str, str]) -> str:
         + f' ELSE 0.0 END AS "pct_{n}"' for n in names.values())
     return f"""SELECT *, {percents} FROM (SELECT *, CAST({total} AS BIGINT) AS total FROM (
         SELECT item_principal_cadeia AS item, {columns} FROM ox_sales
-        WHERE org_vendas = '{{org}}' AND mes >= (SELECT m - INTERVAL {months - 1} MONTH FROM ox_anchor)
+        WHERE org_vendas = '{{org}}' AND mes BETWEEN DATE '{shift_month(anchor, 1 - months)}' AND DATE '{anchor}'
         GROUP BY item_principal_cadeia))"""
 
 
-def distribution_sql(org: str) -> str:
+def distribution_sql(org: str, anchor: date = ANCHOR, month: str = "Ago") -> str:
     segment = SEGMENTS[org]
     centers = {c: c for c in (*segment.centers, "null")}
     markets = {"02": "ME", "01": "MI"}
-    a = _shares_sql(6, "coalesce(centro_original, 'null')", centers).format(org=org)
-    b = _shares_sql(12, "canal_dist", markets).format(org=org)
+    a = _shares_sql(6, "coalesce(centro_original, 'null')", centers, anchor).format(org=org)
+    b = _shares_sql(12, "canal_dist", markets, anchor).format(org=org)
     columns = []
     for side, names in (("a", centers.values()), ("b", markets.values())):
         columns += [f'coalesce({side}."{n}", 0) AS "DMD_{n}"' for n in names]
         columns += [f'coalesce({side}."pct_{n}", 0.0) AS "%_{n}"' for n in names]
-    return f"""SELECT '{segment.tag} 2001 Ago Distribuição' AS file, 'TTL' AS sheet,
+    return f"""SELECT '{segment.tag} 2001 {month} Distribuição' AS file, 'TTL' AS sheet,
         coalesce(a.item, b.item) AS "Item Principal Cadeia", {", ".join(columns)}
         FROM ({a}) a FULL JOIN ({b}) b ON a.item = b.item"""
 
@@ -198,6 +203,30 @@ def demand_distribution_cars(inputs: Inputs) -> DataFrame:
     return demand.distribution(c.cube(12), CARS, c.anchor)
 
 
+@QUERIES.query(distribution_sql(MOTORCYCLES, PAST, "Fev"))
+def demand_distribution_past(inputs: Inputs) -> DataFrame:
+    """A month closed again later: sales after it are not part of it."""
+    c = Closing(inputs)
+    cube = enrich.demand_cube(c.sales, c.chain, c.area, PAST, 12)
+    return demand.distribution(cube, MOTORCYCLES, PAST)
+
+
+_PAST_ROWS = f"(SELECT * FROM ox_sales WHERE mes <= DATE '{PAST}')"
+
+
+@QUERIES.query(f"""
+    SELECT org_vendas, sheet, item, mes, CAST(sum(quantidade) AS DECIMAL(38,3)) AS valor
+    FROM ({sheet_rows(DEMAND_VIEWS["fechada"]).replace("FROM ox_sales", f"FROM {_PAST_ROWS}")})
+    WHERE mes > DATE '{shift_month(PAST, -24)}' GROUP BY 1, 2, 3, 4""")
+def demand_closed_past(inputs: Inputs) -> DataFrame:
+    c = Closing(inputs)
+    view = DEMAND_VIEWS["fechada"]
+    cube = enrich.demand_cube(c.sales, c.chain, c.area, PAST, 24)
+    measures = demand.demand_measures(cube, [view])
+    return measures.where((F.col("fechada__n") > 0) & ((F.col("sheet") == "TTL") | F.col("org_vendas").isin(*view.center_orgs))).select(
+        "org_vendas", "sheet", "item", "mes", F.col("fechada").cast("decimal(38,3)").alias("valor"))
+
+
 @QUERIES.query("SELECT m AS ciclo FROM ox_anchor")
 def demand_latest_month(inputs: Inputs) -> DataFrame:
     return latest_cycle(inputs.view("fx_sales"), "data")

@@ -131,6 +131,34 @@ def rank_tiebreak(inputs: Inputs) -> DataFrame:
     return running_share(inputs).where("rank <= 25").select("org_vendas", "material", "rank")
 
 
+@QUERIES.query("""
+    SELECT tipo_ov, material, linhas,
+      CAST(row_number() OVER w AS INTEGER) AS "rank", CAST(sum(linhas) OVER w AS BIGINT) AS running,
+      CAST(sum(linhas) OVER (PARTITION BY tipo_ov) AS BIGINT) AS total
+    FROM (SELECT tipo_ov, material, count(*) AS linhas FROM fx_sales GROUP BY 1, 2)
+    WINDOW w AS (PARTITION BY tipo_ov ORDER BY linhas DESC, material ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def running_share_null(inputs: Inputs) -> DataFrame:
+    """The order type is NULL for a fifth of the sales: a group like the others."""
+    counts = inputs.view("fx_sales").groupBy("tipo_ov", "material").agg(F.count(F.lit(1)).alias("linhas"))
+    return running.ranked_totals(counts, ["tipo_ov"], "linhas", ["material"])
+
+
+@QUERIES.query("""
+    SELECT tipo_ov, org_vendas, material, quantidade FROM fx_sales
+    QUALIFY count(*) OVER (PARTITION BY tipo_ov, org_vendas, material) > 1""")
+def fan_out_null(inputs: Inputs) -> DataFrame:
+    rows = inputs.view("fx_sales").select("tipo_ov", "org_vendas", "material", "quantidade")
+    return aggregate.fan_out_rows(rows, ["tipo_ov", "org_vendas", "material"])
+
+
+@QUERIES.query("""
+    SELECT tipo_ov, org_vendas, material, quantidade FROM fx_sales
+    QUALIFY count(*) OVER (PARTITION BY tipo_ov, org_vendas, material) = 1""")
+def one_to_one_null(inputs: Inputs) -> DataFrame:
+    rows = inputs.view("fx_sales").select("tipo_ov", "org_vendas", "material", "quantidade")
+    return aggregate.keep_one_to_one(rows, ["tipo_ov", "org_vendas", "material"])
+
+
 @QUERIES.query("""
     SELECT numero_ov, item, material, quantidade FROM fx_sales
     QUALIFY count(*) OVER (PARTITION BY numero_ov, item) = 1""")

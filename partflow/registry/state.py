@@ -69,6 +69,19 @@ def replace_scopes(inputs: Inputs) -> DataFrame:
     return state.replace_scopes(old, batch, ["mes", "org_vendas"])
 
 
+@QUERIES.query("""
+    SELECT tipo_ov, org_vendas, numero_ov, item, quantidade FROM fx_sales
+    WHERE NOT (org_vendas = '0200' AND (tipo_ov IS NULL OR tipo_ov = 'ZPUG'))
+    UNION ALL SELECT tipo_ov, org_vendas, numero_ov, item, CAST(0 AS DECIMAL(18,3)) FROM fx_sales
+    WHERE org_vendas = '0200' AND (tipo_ov IS NULL OR tipo_ov = 'ZPUG') AND quantidade > 10""")
+def replace_scopes_null(inputs: Inputs) -> DataFrame:
+    """A scope with a NULL part is replaced like any other."""
+    old = inputs.view("fx_sales").select("tipo_ov", "org_vendas", "numero_ov", "item", "quantidade")
+    batch = old.where("org_vendas = '0200' AND (tipo_ov IS NULL OR tipo_ov = 'ZPUG') AND quantidade > 10")
+    batch = batch.withColumn("quantidade", F.lit(0).cast("decimal(18,3)"))
+    return state.replace_scopes(old, batch, ["tipo_ov", "org_vendas"])
+
+
 @QUERIES.query("SELECT * FROM fx_sales WHERE NOT (year(data) = 2001 AND month(data) = 7)")
 def delete_period(inputs: Inputs) -> DataFrame:
     return state.delete_period(inputs.view("fx_sales"), "data", 2001, 7)

@@ -61,14 +61,17 @@ def run_closing(spark: SparkSession, root: str, sales: DataFrame, chain: DataFra
 
 
 def run_delivery(spark: SparkSession, root: str, names: Sequence[str], target: str,
-                 sheets: bool = True) -> None:
-    """Delivers the tables of a closing as sheet folders or as plain CSV."""
+                 sheets: bool = True, fit_worksheet: bool = False) -> dict[str, DataFrame]:
+    """Delivers the tables of a closing as sheet folders or as plain CSV; returns their sheet names."""
+    listed = {}
     for name in names:
         table = TableFolder(spark, f"{root}/{name}").read()
         if sheets:
-            export_sheets(table, f"{target}/{name}")
+            order = ("rank",) if "rank" in table.columns else ()
+            listed[name] = export_sheets(table, f"{target}/{name}", order=order, fit_worksheet=fit_worksheet)
         else:
             export_csv(table, f"{target}/{name}.csv")
+    return listed
 
 
 def run_master(spark: SparkSession, root: str, master: DataFrame, bom: DataFrame | None = None,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -12,7 +12,9 @@ from partflow.config import (
     DEFAULT_SHEET, SHEET_MAX_CELLS, SHEET_MAX_ROWS, SHEET_NAME_LENGTH, TOTAL_SHEET,
 )
 from partflow.operators.aggregate import union_all
+from partflow.operators.joins import null_safe, null_safe_side
 from partflow.operators.quality import enforce, violation
+from partflow.session import settle
 
 # Characters a worksheet cell or name must not hold, and formula starters.
 CONTROL_CHARACTERS = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]"
@@ -27,10 +29,6 @@ def export_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = Fal
         "encoding", "UTF-8").csv(path)
 
 
-def export_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
-
-
 def safe_cell(c: Column) -> Column:
     """Text without control characters, with an apostrophe before a formula starter."""
     clean = F.regexp_replace(c, CONTROL_CHARACTERS, "")
@@ -53,25 +51,25 @@ def safe_sheet_name(c: Column) -> Column:
 def safe_sheet_names(sheets: DataFrame) -> DataFrame:
     """A valid, unique name per (file, sheet), the total sheet first.
 
-    Names that collide after the clean-up get ``_2``, ``_3`` … in sheet order.
+    Names are given in sheet order; one that is taken gets the first of ``_2``, ``_3`` … that is free.
     """
     pairs = sheets.select("file", "sheet").distinct().withColumn(
         "nome", safe_sheet_name(F.col("sheet")))
     # One row per worksheet; a workbook has few of them.
-    order = sheet_order(F.col("sheet"))
-    same = Window.partitionBy("file", "nome").orderBy(*order)
-    stem = F.substring("nome", 1, SHEET_NAME_LENGTH - 3)
-    numbered = pairs.withColumn("_again", F.row_number().over(same) > 1).withColumn("_stem", stem)
-    again = Window.partitionBy("file", "_stem", "_again").orderBy(*order)
-    suffixed = F.concat_ws("_", F.col("_stem"), (F.row_number().over(again) + 1).cast("string"))
-    position = F.row_number().over(Window.partitionBy("file").orderBy(*order))
-    return numbered.select(
-        "file", "sheet", F.when(F.col("_again"), suffixed).otherwise(F.col("nome")).alias("nome"),
-        position.alias("posicao"))
+    book = pairs.groupBy("file").agg(F.sort_array(F.collect_list(F.struct(
+        F.coalesce(F.upper("sheet") != TOTAL_SHEET, F.lit(True)).alias("rest"), "sheet", "nome"))).alias("sheets"))
 
+    def free_name(taken: Column, name: Column) -> Column:
+        numbered = F.transform(F.sequence(F.lit(2), F.size(taken) + 2), lambda n: F.concat(
+            F.substr(name, F.lit(1), F.least(F.lit(SHEET_NAME_LENGTH - 3), F.lit(SHEET_NAME_LENGTH - 1) - F.length(n.cast("string")))), F.lit("_"), n.cast("string")))
+        free = F.filter(F.concat(F.array(name), numbered), lambda c: ~F.exists(taken, lambda t: t["nome"] == c))
+        return F.get(free, F.lit(0))
 
-def sheet_order(sheet: Column) -> list[Column]:
-    return [(F.upper(sheet) != TOTAL_SHEET).asc(), sheet.asc()]
+    none = F.array().cast("array<struct<sheet:string,nome:string>>")
+    named = F.aggregate("sheets", none, lambda taken, row: F.concat(taken, F.array(F.struct(
+        row["sheet"].alias("sheet"), free_name(taken, row["nome"]).alias("nome")))))
+    return book.select("file", F.posexplode(named).alias("place", "row")).select(
+        "file", "row.sheet", "row.nome", (F.col("place") + 1).alias("posicao"))
 
 
 def row_limit(columns: int) -> int:
@@ -112,20 +110,25 @@ def export_plan(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_all(parts)
 
 
-def export_sheets(df: DataFrame, path: str, sep: str = ",") -> DataFrame:
+def export_sheets(df: DataFrame, path: str, sep: str = ",", order: tuple[str, ...] = (),
+                  fit_worksheet: bool = False) -> DataFrame:
     """Delivers rows with ``file`` and ``sheet`` columns as ``path/file=…/sheet=…`` CSV folders.
 
-    Sizes and names are checked first, cells are cleaned, the control columns become the
-    folders. Returns the sheet names with their position in the workbook.
+    Folders have the safe sheet names, cells are cleaned, and rows go by ``order`` within a sheet. A large sheet
+    is split over tasks and files. ``fit_worksheet`` refuses sheets that a workbook could not hold.
+    Returns the sheet names with their position in the workbook.
     """
-    enforce(gate_sheet_size(df), gate_file_paths(df))
-    control = df.select("file", "sheet").distinct()
-    names = safe_sheet_names(control)
-    control_first = df.select("file", "sheet", *[c for c in df.columns if c not in ("file", "sheet")])
-    body = control_first.select("file", "sheet", *[
-        safe_cell(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, StringType)
-        else F.col(f"`{f.name}`") for f in control_first.schema.fields[2:]])
-    # The sheet gate bounds every folder, so one task per sheet is enough.
-    body.repartition("file", "sheet").write.mode("overwrite").option("header", True).option(
-        "sep", sep).partitionBy("file", "sheet").csv(path)
+    enforce(gate_file_paths(df), *([gate_sheet_size(df)] if fit_worksheet else []))
+    names = settle(safe_sheet_names(df.select("file", "sheet").distinct()))
+    keys = null_safe_side(names, ["file", "sheet"], "nome")
+    columns = [c for c in df.columns if c not in ("file", "sheet")]
+    body = df.join(keys, null_safe(df, keys, ["file", "sheet"])).select("file", F.col("nome").alias("sheet"), *[
+        safe_cell(F.col(f"`{c}`")).alias(c) if isinstance(df.schema[c].dataType, StringType) else F.col(f"`{c}`")
+        for c in columns])
+    if order:
+        # Ranges keep the order over the files of a sheet, too.
+        body = body.repartitionByRange("file", "sheet", *order).sortWithinPartitions("file", "sheet", *order)
+    else:
+        body = body.hint("rebalance", F.col("file"), F.col("sheet"))
+    body.write.mode("overwrite").option("header", True).option("sep", sep).partitionBy("file", "sheet").csv(path)
     return names

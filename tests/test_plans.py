@@ -4,15 +4,16 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import Window
+from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 
 from partflow.config import DEMAND_VIEWS, HISTORY_TRACKED, MOTORCYCLES
-from partflow.operators import aggregate, joins, project, running, state
+from partflow.operators import aggregate, joins, project, quality, running, state
 from partflow.operators.quality import GateError, enforce, gate_chronology, gate_loaded
 from partflow.plans import calendar, demand, enrich, forecast, history, inventory, supersession
 from partflow.registry.demand import Closing
 from partflow.registry.fixtures import Inputs
+from partflow.sinks import export
 
 
 def rows(df):
@@ -59,23 +60,63 @@ def test_ranked_totals_equal_plain_window_under_skew(spark):
 # --- joins -----------------------------------------------------------------------------
 
 
-def test_salted_lookup_equals_plain_join(spark):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_lookup_equals_plain_join(spark, threshold):
     fact = spark.range(2000).select(
         "id", F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "hot")
         .otherwise((F.col("id") % 50).cast("string")).alias("k"))
-    dim = spark.createDataFrame([("hot", "H"), ("5", "five"), ("8", "eight"), ("8", "again")], "code string, v string")
+    dim = spark.createDataFrame([("hot", "H"), ("5", "five"), ("8", "eight"), ("8", "again"), ("none", "x")], "code string, v string")
     plain = rows(fact.join(dim, fact.k == dim.code, "left").select("id", "k", "v"))
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        joined = joins.lookup_join(fact, dim, {"k": "code"}, salts=5)
-        assert "_salt" in joined._jdf.queryExecution().analyzed().toString()
-        assert rows(joined.select("id", "k", "v")) == plain
-        inner = joins.lookup_join(fact, dim, {"k": "code"}, how="inner", salts=5)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        joined = joins.lookup_join(fact, dim, {"k": "code"})
+        assert joined.columns == ["id", "k", "v"] and rows(joined) == plain
+        inner = joins.lookup_join(fact, dim, {"k": "code"}, how="inner")
         assert inner.count() == sum(1 for r in plain if r[2] is not None)
+        for how in ("full", "right"):
+            with pytest.raises(ValueError):
+                joins.lookup_join(fact, dim, {"k": "code"}, how=how)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    assert rows(joins.lookup_join(fact, dim, {"k": "code"}).select("id", "k", "v")) == plain
+
+
+def test_null_keys_and_scopes(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4), ("b", 5)], "k string, v int")
+    assert rows(aggregate.fan_out_rows(df, ["k"])) == rows(df.where("k is null or k = 'b'"))
+    assert rows(aggregate.keep_one_to_one(df, ["k"])) == [("a", 3)]
+    batch = spark.createDataFrame([(None, 9), ("b", 8)], "k string, v int")
+    assert rows(state.replace_scopes(df, batch, ["k"])) == rows(spark.createDataFrame([("a", 3), (None, 9), ("b", 8)], df.schema))
+    ranked = running.ranked_totals(df, ["k"], "v", ["v"])
+    assert sorted(map(str, ranked.select("k", "v", "rank", "running", "total").collect())) == sorted(map(str, [
+        Row(k=None, v=2, rank=1, running=2, total=3), Row(k=None, v=1, rank=2, running=3, total=3),
+        Row(k="a", v=3, rank=1, running=3, total=3), Row(k="b", v=5, rank=1, running=5, total=9),
+        Row(k="b", v=4, rank=2, running=9, total=9)]))
+
+
+def test_past_anchor_leaves_later_sales_out(spark, data):
+    closing = Closing(Inputs(spark, data))
+    past = date(closing.anchor.year - 1, 3, 1)
+    limit = closing.sales.where(F.col("data") < F.lit(date(past.year, 4, 1)))
+    whole, cut = (enrich.demand_cube(sales, closing.chain, closing.area, past, 12) for sales in (closing.sales, limit))
+    assert rows(whole) == rows(cut) and whole.schema == cut.schema
+    assert rows(demand.distribution(whole, "0200", past)) == rows(demand.distribution(
+        closing.cube(), "0200", past)) and whole.count() > 0
+
+
+def test_all_violations_are_told(spark):
+    bad = spark.range(300).select(*quality.violation("r", F.lpad(F.col("id").cast("string"), 3, "0"), "x"))
+    with pytest.raises(GateError) as caught:
+        quality.enforce(bad, bad.where("false"))
+    assert caught.value.counts == {"r": 300} and [v[1] for v in caught.value.violations] == [f"{n:03}" for n in range(100)]
+    assert spark.read.parquet(caught.value.path).count() == 300
+
+
+def test_sheet_names_never_repeat(spark):
+    raw = ["B:", "B*", "B-_2", "B?", "ttl", None, "", "'"] + [f"{'x' * 40}{n}" for n in range(120)]
+    names = export.safe_sheet_names(spark.createDataFrame([("f", name) for name in raw], "file string, sheet string")).collect()
+    assert len({r.nome for r in names}) == len(raw) and all(0 < len(r.nome) <= 31 for r in names)
+    assert sorted(r.posicao for r in names) == list(range(1, len(raw) + 1)) and min(names, key=lambda r: r.posicao).sheet == "ttl"
 
 
 def test_one_to_one_and_fan_out_split_the_rows(spark):
