@@ -14,10 +14,14 @@ def try_cast(c: Column, type_name: str) -> Column:
 
 
 def erp_number(c: Column, type_name: str = "decimal(18,3)") -> Column:
-    """``1.234,500`` is 1234.5 and ``12,000-`` is -12: dot groups, comma decimal, minus last."""
+    """``1.234,500`` is 1234.5 and ``12,000-`` is -12: dot groups, comma decimal, minus last.
+
+    The notation has no exponents: a text with one is no number.
+    """
     digits = F.translate(F.translate(F.trim(c), ".", ""), ",", ".")
     negative = F.concat(F.lit("-"), F.substring(digits, F.lit(1), F.length(digits) - 1))
-    return try_cast(F.when(F.endswith(digits, F.lit("-")), negative).otherwise(digits), type_name)
+    signed = F.when(F.endswith(digits, F.lit("-")), negative).otherwise(digits)
+    return try_cast(F.when(~F.upper(digits).contains("E"), signed), type_name)
 
 
 # Number notations in order of precedence. Each entry gives the
@@ -30,6 +34,7 @@ NOTATIONS = (
     (r"^-?\d+,\d+$", "", ","),
     (r"^-?\d+(\.\d+)?$", "", ""),
 )
+# Fixed value: what stands around the digits of an amount.
 CURRENCY_NOISE = "[\\s\\u00A0R$]"
 
 

@@ -120,13 +120,6 @@ def urgent_by_customer(customer_cube: DataFrame, anchor: date, orgs: Sequence[st
     return view_table(rows, view, anchor, {"emissor_da_ordem": "Cliente"})
 
 
-def closing(cube: DataFrame, anchor: date, orgs: Sequence[str] = BOTH) -> dict[str, DataFrame]:
-    """All views that need no customer, read from one persisted aggregation of the cube."""
-    views = [v for v in DEMAND_VIEWS.values() if not v.by_customer]
-    measures = demand_measures(cube, views, orgs).persist()
-    return {v.key: view_table(view_rows(measures, v), v, anchor) for v in views}
-
-
 def abc_curve(line_rows: DataFrame, anchor: date,
               cuts: Sequence[tuple[str, float]] = ABC_CUTS) -> DataFrame:
     """Classes of line demand per sheet over the last six months.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow.config import (
@@ -165,9 +165,9 @@ DETAIL_COLUMNS = (
 )
 
 
-def forecast_negative_detail(refined: DataFrame, negatives: DataFrame,
+def forecast_negative_detail(refined: DataFrame, limit: float = NEGATIVE_LIMIT,
                              extra: Sequence[str] = ()) -> DataFrame:
-    """The source rows behind each negative group."""
-    groups = negatives.withColumnRenamed("forecast_qty", "forecast_qty_total_grupo")
-    return refined.join(groups, list(FORECAST_GROUP)).select(
-        *FORECAST_GROUP, *DETAIL_COLUMNS, *extra)
+    """The source rows behind each negative group, in one pass; a group is a handful of lags."""
+    total = F.sum("forecast_qty").over(Window.partitionBy(*FORECAST_GROUP))
+    return refined.withColumn("forecast_qty_total_grupo", total).where(
+        F.col("forecast_qty_total_grupo") < limit).select(*FORECAST_GROUP, *DETAIL_COLUMNS, *extra)

@@ -1,4 +1,4 @@
-"""Calendar queries over the days on which orders were placed."""
+"""Calendar queries over the days from the first to the last order."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from partflow.plans import calendar
 from partflow.registry.base import Family
 from partflow.registry.fixtures import Inputs
+from partflow.sources.readers import date_spine
 
 QUERIES = Family()
 
@@ -40,11 +41,14 @@ _CALENDAR = f"""
       strftime(data, '%Y-%m') AS ano_mes, CAST(week(data) AS INTEGER) AS semana_ano, {_KI} AS ki_numero,
       CAST({_KI} AS VARCHAR) || 'ki' AS ki, isodow(data) >= 6 AS fim_semana, data_feriado IS NOT NULL AS feriado,
       nome_feriado, NOT (isodow(data) >= 6 OR data_feriado IS NOT NULL) AS dia_util
-    FROM (SELECT DISTINCT data FROM fx_sales) LEFT JOIN ({_holiday_sql()}) ON data = data_feriado"""
+    FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS data
+      FROM (SELECT min(data) AS lo, max(data) AS hi FROM fx_sales)) LEFT JOIN ({_holiday_sql()}) ON data = data_feriado"""
 
 
 def order_days(inputs: Inputs) -> DataFrame:
-    return inputs.view("fx_sales").select("data").distinct()
+    """Every day from the first to the last order."""
+    first, last = inputs.view("fx_sales").agg(F.min("data"), F.max("data")).first()
+    return date_spine(inputs.spark, first, last)
 
 
 def order_calendar(inputs: Inputs) -> DataFrame:

@@ -133,8 +133,7 @@ def forecast_negatives(inputs: Inputs) -> DataFrame:
       AND r.material = g.material AND r.forecast_month = g.forecast_month
     WHERE g.forecast_qty < -1e-6""")
 def forecast_negative_detail(inputs: Inputs) -> DataFrame:
-    refined = Forecasts(inputs).refined()
-    return forecast.forecast_negative_detail(refined, forecast.forecast_negatives(refined))
+    return forecast.forecast_negative_detail(Forecasts(inputs).refined())
 
 
 @QUERIES.query(f"""

@@ -18,13 +18,12 @@ QUERIES = Family()
 
 
 @QUERIES.query("""
-    SELECT p_partkey, TRY_CAST(CASE WHEN right(trim(texto), 1) = '-'
+    SELECT p_partkey, TRY_CAST(CASE WHEN regexp_matches(texto, '[Ee]') THEN NULL WHEN right(trim(texto), 1) = '-'
       THEN '-' || replace(replace(left(trim(texto), length(trim(texto)) - 1), '.', ''), ',', '.')
       ELSE replace(replace(trim(texto), '.', ''), ',', '.') END AS DECIMAL(18,3)) AS valor
-    FROM fx_numbers WHERE texto IS NULL OR texto NOT LIKE '%E+%'""")
+    FROM fx_numbers""")
 def number_erp(inputs: Inputs) -> DataFrame:
-    rows = inputs.view("fx_numbers").where("texto IS NULL OR texto NOT LIKE '%E+%'")
-    return rows.select("p_partkey", numbers.erp_number(F.col("texto")).alias("valor"))
+    return inputs.view("fx_numbers").select("p_partkey", numbers.erp_number(F.col("texto")).alias("valor"))
 
 
 _LOCALE = """

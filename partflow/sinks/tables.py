@@ -1,7 +1,9 @@
 """Table folders on shared storage, written with Spark's own file writers.
 
-A full replacement goes to a new version folder. Readers take the newest version that
-carries the writer's success mark, so a failed or running write is never seen.
+A full replacement goes to a new version folder, an append to a folder of its own. Readers take the newest
+version and its appends that carry the writer's success mark, so a failed or running write of these is never
+seen. A scoped replacement overwrites partitions of the version in place: Spark moves them in when its job
+commits, one after the other, and a reader at that moment can see some old and some new ones.
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partflow.config import BOTH, SEGMENTS
-from partflow.operators.state import dedupe_latest, upsert
+from partflow.operators.aggregate import union_all
+from partflow.operators.state import dedupe_latest, replace_scopes, upsert
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -39,7 +42,7 @@ def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
 
 
 class TableFolder:
-    """One table below ``root``: ``root/v=<n>``.
+    """One table below ``root``: ``root/v=<n>``, its appends ``root/v<n>_add=<k>``.
 
     ``partition_by`` gives partition columns with their types; codes such as ``0200``
     would otherwise be read back as numbers. ``evolving`` tables are read with the union
@@ -65,33 +68,51 @@ class TableFolder:
         version = self.version() if version is None else version
         if version is None:
             raise FileNotFoundError(f"no complete version below {self.root}")
-        found = self.spark.read.option("mergeSchema", self.evolving).parquet(self.path(version))
+        paths = [self.path(version), *(f"{self.root}/v{version}_add={n}" for n in self.appends(version))]
+        return union_all([self._read(path) for path in paths])
+
+    def appends(self, version: int) -> list[int]:
+        return numbered(self.spark, self.root, f"v{version}_add=")
+
+    def _read(self, path: str) -> DataFrame:
+        found = self.spark.read.option("mergeSchema", self.evolving).parquet(path)
         if not self.partition_by:
             return found
         typed = ", ".join(f"`{n}` {self.partition_by.get(n, t)}" for n, t in found.dtypes)
-        return self.spark.read.schema(typed).parquet(self.path(version))
+        return self.spark.read.schema(typed).parquet(path)
 
     def replace(self, df: DataFrame) -> None:
         """Whole table, any schema. The former version stays readable for running queries."""
         latest = self.version()
-        self._write(df, 0 if latest is None else latest + 1, "overwrite")
+        self._write(df, self.path(0 if latest is None else latest + 1), "overwrite")
 
     def append(self, df: DataFrame) -> None:
         """Adds rows; in an evolving table new columns are NULL in the older rows."""
-        self._write(df, self.version() or 0, "append")
+        version = self.version()
+        if version is None:
+            self.replace(df)
+        else:
+            added = self.appends(version)
+            self._write(df, f"{self.root}/v{version}_add={added[-1] + 1 if added else 0}", "overwrite")
 
     def replace_scopes(self, df: DataFrame) -> None:
-        """Replaces only the partitions that occur in ``df``; the others are not read at all."""
+        """Replaces only the partitions that occur in ``df``; the others are not read at all.
+
+        A version with appends is written anew, since an append may hold rows of any partition.
+        """
         if not self.partition_by:
             raise ValueError("a scoped replacement needs partition columns")
-        self._write(df, self.version() or 0, "overwrite", partitionOverwriteMode="dynamic")
+        version = self.version()
+        if version is not None and self.appends(version):
+            self.replace(replace_scopes(self.read(), df, list(self.partition_by)))
+        else:
+            self._write(df, self.path(version or 0), "overwrite", partitionOverwriteMode="dynamic")
 
-    def _write(self, df: DataFrame, version: int, mode: str, **options: str) -> None:
+    def _write(self, df: DataFrame, path: str, mode: str, **options: str) -> None:
         if self.partition_by:
             # Few files per partition; AQE splits a partition that is too large for one task.
             df = df.hint("rebalance", *[F.col(c) for c in self.partition_by])
-        df.write.mode(mode).options(**options).partitionBy(*self.partition_by).parquet(
-            self.path(version))
+        df.write.mode(mode).options(**options).partitionBy(*self.partition_by).parquet(path)
 
 
 class BatchFolder:
@@ -124,6 +145,19 @@ class BatchFolder:
         old = self.spark.read.parquet(f"{self.root}/upto={base}")
         return old if recent is None else upsert(old, recent, self.keys)
 
+    def rows(self) -> DataFrame | None:
+        """All stored rows, older ones of a key included: enough to tell what has arrived, without a shuffle."""
+        base = self.compacted()
+        newer = [b for b in self.batches() if base is None or b > base]
+        parts = [self.spark.read.parquet(f"{self.root}/upto={base}")] if base is not None else []
+        parts += [self.spark.read.parquet(f"{self.root}/batch={b}") for b in newer]
+        return union_all(parts) if parts else None
+
+    def pending(self) -> int:
+        """Batches that a read has to resolve."""
+        base = self.compacted()
+        return sum(base is None or b > base for b in self.batches())
+
     def _recent(self, batches: Sequence[int]) -> DataFrame | None:
         if not batches:
             return None

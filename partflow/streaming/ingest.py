@@ -18,6 +18,8 @@ from partflow.sources.readers import read_lines, read_lines_stream
 BatchFunction = Callable[[DataFrame, int], None]
 
 # A re-sent file is newer, so its rows win; the file name and the content settle ties.
+#: A run that leaves so many batches behind settles them.
+COMPACT_AFTER = 16
 NEWEST = ("_source_file_modification_time", "_source_file_name")
 
 
@@ -71,7 +73,7 @@ def sales_batches(state: BatchFolder, manifest: BatchFolder, load_id: str, user:
         lines = batch.persist()
         try:
             rows = standardize_sales(lines, load_id, moment, user)
-            check_sales_files(lines, state.read(), rows)
+            check_sales_files(lines, state.rows(), rows)
             state.write_batch(dedupe_latest(rows, state.keys, NEWEST), batch_id)
             manifest.write_batch(lines.groupBy(F.col("_source_file_name").alias("file")).agg(
                 F.max("_source_file_modification_time").alias("modified")), batch_id)
@@ -90,9 +92,12 @@ def ingest_sales(spark: SparkSession, folder: str, root: str, load_id: str, user
     """
     state = BatchFolder(spark, f"{root}/raw_sales_order", SALES_KEYS)
     manifest = manifest_folder(spark, root)
-    preflight(spark, folder, manifest.read(), state.read())
+    preflight(spark, folder, manifest.read(), state.rows())
     run_available(read_lines_stream(spark, folder), sales_batches(state, manifest, load_id, user, now),
                   f"{root}/_checkpoint/raw_sales_order")
+    for kept in (state, manifest):
+        if kept.pending() >= COMPACT_AFTER:
+            kept.compact()
     return state
 
 
