@@ -60,8 +60,13 @@ def fits_decimal(c: Column, precision: int = 18, scale: int = 2) -> Column:
 
 def invalid_number(c: Column, precision: int = 18, scale: int = 2) -> Column:
     """A non-blank text that is no number, or one that does not fit the decimal."""
-    filled = F.coalesce(F.trim(c.cast("string")) != "", F.lit(False))
-    return filled & ~fits_decimal(locale_decimal(c), precision, scale)
+    return unfit_number(c, locale_decimal(c), precision, scale)
+
+
+def unfit_number(text: Column, value: Column, precision: int = 18, scale: int = 2) -> Column:
+    """As ``invalid_number``, for a text whose value is known."""
+    filled = F.coalesce(F.trim(text.cast("string")) != "", F.lit(False))
+    return filled & ~fits_decimal(value, precision, scale)
 
 
 def round_half_up(c: Column, precision: int = 18, scale: int = 2) -> Column:

@@ -251,13 +251,14 @@ def rule_number(column: str) -> Rule:
     return invalid_number(text), "number", F.concat_ws(": ", F.lit(column), text)
 
 
-def gate_cells(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Key and number rules in one pass."""
+def gate_cells(df: DataFrame, keys: Sequence[str], bad: str) -> DataFrame:
+    """Key parts that are empty, and the cells that the parser has put into the list ``bad``."""
     empty = F.lit(False)
     for key in keys:
         empty = empty | is_blank(F.col(key).cast("string"))
-    return apply_rules(df, [(empty, "key", F.lit("empty key part")), *map(rule_number, columns)],
-                       joined_keys(keys))
+    keyed = df.where(empty).select(*violation("key", joined_keys(keys), "empty key part"))
+    cells = df.where(F.size(bad) > 0).select(joined_keys(keys).alias("_keys"), F.explode(bad).alias("_cell"))
+    return keyed.unionByName(cells.select(*violation("number", F.col("_keys"), F.col("_cell"))))
 
 
 def gate_conflict(df: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataFrame:

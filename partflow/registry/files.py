@@ -11,7 +11,7 @@ from partflow.registry.fixtures import ANCHOR, Inputs
 from partflow.session import scratch_path
 from partflow.sinks import export
 from partflow.sinks.tables import BatchFolder, TableFolder
-from partflow.sources.readers import read_tabular_strings
+from partflow.sources.readers import read_lines_stream, read_tabular_strings
 from partflow.streaming.ingest import run_available, upsert_batches
 
 QUERIES = Family()
@@ -32,6 +32,37 @@ def stream_upsert(inputs: Inputs) -> DataFrame:
     return state.read()
 
 
+@QUERIES.query("SELECT DISTINCT value, true AS com_arquivo FROM fx_lines WHERE trim(value) <> ''")
+def stream_lines(inputs: Inputs) -> DataFrame:
+    """Text files as a stream of several batches with their lineage, and a second run that finds nothing new."""
+    spark, root = inputs.spark, scratch_path(inputs.spark, "stream_lines")
+    inputs.view("fx_lines").repartition(3).write.option("lineSep", "\n").mode("overwrite").text(f"{root}/in")
+    state = BatchFolder(spark, f"{root}/state", ["value"])
+    for _ in range(2):
+        lines = read_lines_stream(spark, f"{root}/in", files_per_batch=1).where("trim(value) <> ''")
+        run_available(lines.select("value", "_source_file_name"), upsert_batches(state, ["_source_file_name"]), f"{root}/checkpoint")
+    if len(state.batches()) < 2:
+        raise ValueError("the stream should come in several batches")
+    state.compact()
+    return state.read().select("value", F.col("_source_file_name").isNotNull().alias("com_arquivo"))
+
+
+@QUERIES.query("""
+    SELECT material, CAST(sum(quantidade) AS DECIMAL(38,3)) AS quantidade, count(*) AS linhas FROM (
+      SELECT material, quantidade FROM fx_sales UNION ALL
+      SELECT material, quantidade FROM fx_sales WHERE tipo_ov = 'ZPUG' UNION ALL
+      SELECT material, quantidade FROM fx_sales WHERE tipo_ov = 'ZESP') GROUP BY 1""")
+def table_appends(inputs: Inputs) -> DataFrame:
+    """A replaced table with two appends, the second with one more column."""
+    table = TableFolder(inputs.spark, scratch_path(inputs.spark, "appends"))
+    rows = inputs.view("fx_sales").select("material", "quantidade", "tipo_ov")
+    table.replace(rows)
+    table.append(rows.where("tipo_ov = 'ZPUG'"))
+    table.append(rows.where("tipo_ov = 'ZESP'").withColumn("extra", F.lit(1)))
+    return table.read().groupBy("material").agg(
+        F.sum("quantidade").cast("decimal(38,3)").alias("quantidade"), F.count(F.lit(1)).alias("linhas"))
+
+
 @QUERIES.query("""
     SELECT 'clientes' AS tabela, 'C-' || PS AS file, RG AS sheet FROM fx_customer GROUP BY ALL
     UNION ALL SELECT 'areas', 'areas', NULL FROM (SELECT 1 FROM fx_area LIMIT 1)""")

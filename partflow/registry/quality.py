@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partflow.config import INVENTORY_KEYS
+from partflow.config import INVENTORY_KEYS, INVENTORY_QUANTITIES
 from partflow.operators import quality
 from partflow.plans import inventory
 from partflow.registry.base import Family
@@ -209,12 +209,13 @@ def inventory_snapshot(inputs: Inputs) -> DataFrame:
     return inventory.inventory_snapshot(inputs.view("fx_stock"), ANCHOR)
 
 
+_SUMS = ", ".join(f"CAST(sum(round({locale_number(c)}, 2)) AS DECIMAL(38,2)) AS {c}" for c in INVENTORY_QUANTITIES)
+
+
 @QUERIES.query(f"""
-    SELECT empresa || '|' || material || '|' || centro AS chave, count(*) AS linhas,
-      CAST(sum(round({locale_number("estoque_bloqueado")}, 2)) AS DECIMAL(38,2)) AS bloqueado
-    FROM fx_stock GROUP BY 1""")
+    SELECT empresa || '|' || material || '|' || centro AS chave, count(*) AS linhas, {_SUMS} FROM fx_stock GROUP BY 1""")
 def inventory_numbers(inputs: Inputs) -> DataFrame:
     rows = inventory.inventory_numbers(inputs.view("fx_stock"))
     return rows.groupBy(quality.joined_keys(INVENTORY_KEYS).alias("chave")).agg(
         F.count(F.lit(1)).alias("linhas"),
-        F.sum("estoque_bloqueado").cast("decimal(38,2)").alias("bloqueado"))
+        *[F.sum(c).cast("decimal(38,2)").alias(c) for c in INVENTORY_QUANTITIES])
