@@ -14,6 +14,7 @@ item; rows that repeat a doc_id are rows of their own; an empty benchmark hits n
 from __future__ import annotations
 
 from partflow.llm.common import ascii_lower, hex_digest, let, split_words
+from partflow.session import settle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +47,10 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Places of item windows by distinct text: text_key, hits (sorted ranges of words), item_ids (sorted strings)."""
-    windows = item_windows(benchmark, window).persist()
-    try:
-        few = windows.count() <= BROADCAST_WINDOWS
-        # At most ``window`` lengths; nearly always one.
-        lengths = sorted(row["length"] for row in windows.select("length").distinct().collect())
-    finally:
-        windows.unpersist()
+    windows = settle(item_windows(benchmark, window))
+    few = windows.count() <= BROADCAST_WINDOWS
+    # At most ``window`` lengths; nearly always one.
+    lengths = sorted(row["length"] for row in windows.select("length").distinct().collect())
     texts = docs.where(F.col("text").isNotNull()).select(F.md5("text").alias("text_key"), words_of(F.col("text")).alias("words"))
     found = None
     for length in lengths or [window]:
@@ -74,10 +72,11 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
         found = hits if found is None else found.unionByName(hits)
     # Equal texts give equal rows: they merge before the shuffle.
     found = found.dropDuplicates(["text_key", "at", "length"])
-    return found.groupBy("text_key").agg(
+    # Settled, so that the join with the documents can split the copies of one text.
+    return settle(found.groupBy("text_key").agg(
         F.sort_array(F.collect_list(F.struct("at", (F.col("at") + F.col("length")).alias("end")))).alias("hits"),
         F.sort_array(F.transform(F.array_distinct(F.flatten(F.collect_list("item_ids"))),
-                                 lambda item: item.cast("string"))).alias("item_ids"))
+                                 lambda item: item.cast("string"))).alias("item_ids")))
 
 
 def hit_words(hits: Column) -> Column:
@@ -97,9 +96,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     rows = docs.select("doc_id", F.md5("text").alias("text_key"), F.size(
         words_of(F.col("text"))).cast("long").alias("n_words"))
     n_hit = F.coalesce(hit_words(F.col("hits")), F.lit(0)).cast("long")
+    item_ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     return rows.join(hits, "text_key", "left").withColumn("n_hit", n_hit).select(
-        "doc_id", "n_words", "n_hit", F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "hits",
+        "doc_id", "n_words", "n_hit", F.size(item_ids).cast("long").alias("n_items"), item_ids.alias("item_ids"), "hits",
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
