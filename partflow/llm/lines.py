@@ -32,6 +32,8 @@ from pyspark.sql import types as T
 from xxhash import xxh3_128_digest
 
 BITS_APART, BLOCKS, SIMILARITY, STARS = 3, 5, 0.8, 2
+#: Values that have company are sent to every executor up to this many (60 bytes each); beyond, they are joined by a shuffle.
+BROADCAST_VALUES = 200_000
 WORD, DIGIT = re.compile(r"\w+"), re.compile(r"\d")
 
 
@@ -68,46 +70,59 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def buckets(values: DataFrame) -> DataFrame:
-    """A row for every value and pair of blocks."""
+    """A row for every value and pair of blocks: bucket (the pair and its bits, side by side), id and mark."""
     edges = [64 * nth // BLOCKS for nth in range(BLOCKS + 1)]
+    widths = [high - low for low, high in zip(edges, edges[1:], strict=False)]
     whole = BLOCKS - BITS_APART
 
-    def block(nth: int) -> Column:
-        return F.shiftrightunsigned("mark", edges[nth]).bitwiseAND(F.lit((1 << (edges[nth + 1] - edges[nth])) - 1))
+    def bucket(nth: int, chosen: tuple[int, ...]) -> Column:
+        bits = F.lit(nth).cast("long")
+        for block in chosen:
+            part = F.shiftrightunsigned("mark", edges[block]).bitwiseAND(F.lit((1 << widths[block]) - 1))
+            bits = F.shiftleft(bits, widths[block]).bitwiseOR(part)
+        return bits
 
-    keys = [F.xxhash64(F.lit(nth), *map(block, chosen)) for nth, chosen in enumerate(combinations(range(BLOCKS), whole))]
-    return values.select(F.explode(F.array(*keys)).alias("bucket"), "key", "mark", "size")
+    keys = [bucket(nth, chosen) for nth, chosen in enumerate(combinations(range(BLOCKS), whole))]
+    return values.select(F.explode(F.array(*keys)).alias("bucket"), "id", "mark")
 
 
-def alike(a: str, b: str) -> Column:
-    """Close enough by SimHash, and by length for the edit similarity."""
-    apart = F.bit_count(F.col(f"{a}mark").bitwiseXOR(F.col(f"{b}mark")))
-    sizes = F.col(f"{a}size"), F.col(f"{b}size")
-    return (apart <= BITS_APART) & (F.least(*sizes) >= SIMILARITY * F.greatest(*sizes))
+def shared_buckets(dealt: DataFrame) -> DataFrame:
+    """Buckets with two values or more, but for those of two that are too far apart."""
+    counted = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("mark").alias("apart"))
+    return counted.where((F.col("n") > 2) | ((F.col("n") == 2) & (F.bit_count("apart") <= BITS_APART))).select("bucket")
 
 
-def star_pairs(members: DataFrame, nth: int) -> DataFrame:
-    """Every member of a bucket with one member of it, where they are alike."""
-    seeded = members.withColumn("seeded", F.xxhash64("key", F.lit(nth)))
-    tops = seeded.groupBy("bucket").agg(F.min("seeded").alias("seeded"))
-    heads = seeded.join(tops, ["bucket", "seeded"]).select(
-        "bucket", F.col("key").alias("b_key"), F.col("mark").alias("b_mark"), F.col("size").alias("b_size"))
-    rows = members.select("bucket", F.col("key").alias("a_key"), F.col("mark").alias("a_mark"), F.col("size").alias("a_size"))
-    return rows.join(heads, "bucket").where((F.col("a_key") != F.col("b_key")) & alike("a_", "b_")).select(
-        F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b")).distinct()
+def near(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= BITS_APART
+
+
+def star_pairs(members: DataFrame) -> DataFrame:
+    """Every member of a bucket with STARS seeded members of it, where they are near."""
+    seeded = [F.min(F.struct(F.xxhash64("id", F.lit(nth)).alias("seeded"), "id", "mark")) for nth in range(STARS)]
+    heads = members.groupBy("bucket").agg(F.array(*seeded).alias("heads"))
+    heads = stored(heads, "line-heads")
+    met = members.join(heads, "bucket").select("id", "mark", F.explode("heads").alias("head"))
+    return met.where((F.col("id") != F.col("head.id")) & near(F.col("mark"), F.col("head.mark"))).select(
+        F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")).distinct()
 
 
 def cross_pairs(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members of a bucket that are alike and in different groups."""
-    placed = members.join(groups, members["key"] == groups["node"], "left").select(
-        "bucket", "key", "mark", "size", F.coalesce("component", "key").alias("component"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    left = placed.join(mixed.select("bucket"), "bucket", "left_semi")
-    rows = left.select("bucket", *[F.col(name).alias(f"a_{name}") for name in ("key", "mark", "size", "component")])
-    others = left.select("bucket", *[F.col(name).alias(f"b_{name}") for name in ("key", "mark", "size", "component")])
-    apart = (F.col("a_key") < F.col("b_key")) & (F.col("a_component") != F.col("b_component"))
-    return rows.join(others, "bucket").where(apart & alike("a_", "b_")).select(
-        F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct()
+    """Members of a bucket that are near and in different groups."""
+    known = groups.select(F.xxhash64("node").alias("id"), F.xxhash64("component").alias("component"))
+    placed = members.join(known, "id", "left").select("bucket", "id", "mark", F.coalesce("component", "id").alias("component"))
+    placed = stored(placed, "line-placed")
+    mixed = stored(placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                   .where("low <> high").select("bucket"), "line-mixed")
+    left = placed.join(mixed, "bucket")
+    rows, others = (left.select("bucket", *[F.col(name).alias(f"{side}_{name}") for name in ("id", "mark", "component")])
+                    for side in "xy")
+    apart = (F.col("x_id") < F.col("y_id")) & (F.col("x_component") != F.col("y_component"))
+    return rows.join(others, "bucket").where(apart & near(F.col("x_mark"), F.col("y_mark"))).select(
+        F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
+
+
+def few(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_VALUES else rows
 
 
 def line_values(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -124,32 +139,34 @@ def line_values(docs: DataFrame, places: DataFrame) -> DataFrame:
     return lines.mapInArrow(spell, "key binary, value string").dropDuplicates(["key"])
 
 
-def verified(docs: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of keys whose values have edit similarity SIMILARITY or more."""
+def verified(docs: DataFrame, found: DataFrame, values: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of keys whose values have edit similarity SIMILARITY or more, of pairs of ids."""
     pairs = stored(pairs, "line-pairs")
-    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    # Any occurrence will do: all have the same value.
-    places = stored(found.join(wanted, "key", "left_semi").groupBy("key").agg(
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    # Any occurrence will do: all have the same value. Two values of one id are both looked at.
+    named = stored(values.join(wanted, "id").select("id", "key", "size"), "line-named")
+    places = stored(found.join(few(named).select("key"), "key", "left_semi").groupBy("key").agg(
         F.first(F.struct("doc_id", "tag", "place")).alias("at")).select("key", "at.*"), "line-places")
-    values = settle(line_values(docs, places))
-    with_a = pairs.join(values.select(F.col("key").alias("a"), F.col("value").alias("x")), "a")
-    both = with_a.join(values.select(F.col("key").alias("b"), F.col("value").alias("y")), "b")
-    distance = F.expr(f"levenshtein(x, y, cast(floor({round(1 - SIMILARITY, 6)} * greatest(length(x), length(y))) as int))")
-    return both.where(distance >= 0).select("a", "b")
+    texts = settle(line_values(docs, few(places)).join(named, "key"))
+    left, right = (texts.select(F.col("id").alias(side), *[F.col(name).alias(f"{side}_{name}") for name in ("key", "size", "value")])
+                   for side in "ab")
+    both = pairs.join(left, "a").join(right, "b").where(
+        F.least("a_size", "b_size") >= SIMILARITY * F.greatest("a_size", "b_size"))
+    limit = f"cast(floor({round(1 - SIMILARITY, 6)} * greatest(length(a_value), length(b_value))) as int)"
+    return both.where(F.expr(f"levenshtein(a_value, b_value, {limit})") >= 0).select(
+        F.col("a_key").alias("a"), F.col("b_key").alias("b"))
 
 
 def line_groups(docs: DataFrame, found: DataFrame) -> DataFrame:
     """node and component: the group of every line value that is linked to another one."""
-    values = found.groupBy("key").agg(F.first("mark").alias("mark"), F.first("size").alias("size"))
+    values = stored(found.groupBy("key").agg(F.first("mark").alias("mark"), F.first("size").alias("size")).withColumn(
+        "id", F.xxhash64("key")), "line-values")
     dealt = buckets(values)
-    shared = stored(dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "line-buckets")
+    shared = stored(shared_buckets(dealt), "line-buckets")
     members = stored(dealt.join(shared, "bucket"), "line-members")
-    stars = star_pairs(members, 0)
-    for nth in range(1, STARS):
-        stars = stars.unionByName(star_pairs(members, nth))
-    linked = settle(verified(docs, found, stars.distinct()))
+    linked = settle(verified(docs, found, values, star_pairs(members)))
     groups = components(linked, "a", "b")
-    rest = verified(docs, found, cross_pairs(members, groups))
+    rest = verified(docs, found, values, cross_pairs(members, groups))
     return components(linked.unionByName(rest), "a", "b")
 
 
@@ -180,7 +197,7 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
     out = joined.withColumn("__text", text)
     columns = [F.col("__text").alias("text") if name == "text" else F.length("__text").cast(docs.schema[name].dataType).alias(name)
                if name == "n_chars" else F.col(f"`{name}`") for name in docs.columns]
-    return out.select(*columns, F.coalesce(F.size("__places"), F.lit(0)).cast("long").alias("__dropped"))
+    return out.select(*columns, F.when(F.col("__places").isNull(), 0).otherwise(F.size("__places")).cast("long").alias("__dropped"))
 
 
 def digest_lines(docs: DataFrame) -> DataFrame:
