@@ -2,7 +2,7 @@
 
 A line is lower-cased and reduced to its words, with every digit as 0; a line without words stays as it is,
 and a blank one is left alone. Lines that are equal then are one value however often they occur. A value has a
-SimHash of its words; values that share two of five blocks of it are candidates (three differing bits
+SimHash of its distinct words; values that share two of five blocks of it are candidates (three differing bits
 leave two blocks whole), and candidates within three bits whose edit similarity is at least 0.8 are linked.
 Of each connected group of lines the first occurrence by doc_id (NULL last), then place, stays.
 
@@ -43,6 +43,11 @@ def normal(line: str) -> str:
     return DIGIT.sub("0", words) if words else line.strip()
 
 
+def mark_of(value: str) -> int:
+    """SimHash of the distinct words: counted as often as they occur, the common words of a language would make long lines alike."""
+    return fingerprint(" ".join(set(value.split())).encode(), 1)
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """A row per line that is not blank: doc_id, tag, place, key (128 bits of its value), mark (SimHash), size."""
     rows = docs.select("doc_id", text_tag(F.col("text")).alias("tag"), "text").where(F.col("text").isNotNull())
@@ -55,11 +60,10 @@ def occurrences(docs: DataFrame) -> DataFrame:
             for owner, text in enumerate(batch.column(2).to_pylist()):
                 for place, line in enumerate(text.split("\n")):
                     if value := normal(line):
-                        spelled = value.encode()
                         owners.append(owner)
                         places.append(place)
-                        keys.append(xxh3_128_digest(spelled))
-                        marks.append(fingerprint(spelled, 1))
+                        keys.append(xxh3_128_digest(value.encode()))
+                        marks.append(mark_of(value))
                         sizes.append(len(value))
             at = pa.array(owners, pa.int32())
             yield pa.RecordBatch.from_arrays(

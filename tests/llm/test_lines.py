@@ -4,7 +4,6 @@ import random
 
 from llm_texts import prose
 from partflow.llm import lines
-from partflow.llm.simhash import fingerprint
 
 
 def edits(a, b):
@@ -25,7 +24,7 @@ def brute(rows):
             if value := lines.normal(line):
                 values.setdefault(value, []).append((doc_id is None, doc_id, place, text))
     spelled = list(values)
-    marks = [fingerprint(value.encode(), 1) & (1 << 64) - 1 for value in spelled]
+    marks = [lines.mark_of(value) & (1 << 64) - 1 for value in spelled]
     parent, links = list(range(len(spelled))), 0
 
     def find(node):
