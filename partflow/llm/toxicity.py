@@ -2,13 +2,14 @@
 
 Learning takes a bounded sample of labelled rows (the rows of smallest seeded hash, at most MAX_LABELS),
 goes through it EPOCHS times in one task, and leaves a sparse table of weights: every coordinate has a rate
-of its own, and L1 keeps most of them at zero. Scoring broadcasts the weights (at most 2 ** BITS of them)
+of its own, and L1 keeps most of them at zero. The bias is outside L1, starts from the smoothed share of label 1
+and is never above zero, so that a text without a learned word is not toxic. Scoring broadcasts the weights (at most 2 ** BITS of them)
 and reads every whole text once, in Arrow batches, without a shuffle.
 
 Defined results: NULL counts as empty; an empty text scores as the bias alone; labels without doc_id or
 toxic are not learned from; of several labels of a doc_id the larger counts, and of several documents under a
-labelled doc_id all are learned from; with no labels every score is 0.5 or less and nothing is
-predicted toxic; rows that repeat a doc_id are scored each; ``keep_clean`` keeps all columns of ``docs``.
+labelled doc_id all are learned from; a score above one half is predicted toxic: one half is no evidence, so with
+no labels every score is 0.5 and nothing is predicted toxic, nor is a text without a learned word under any labels; rows that repeat a doc_id are scored each; ``keep_clean`` keeps all columns of ``docs``.
 """
 
 from __future__ import annotations
@@ -47,16 +48,24 @@ def features(text: str | None, bits: int = BITS) -> np.ndarray:
 
 
 class Ftrl:
-    """FTRL-proximal: per-coordinate rates, weights kept at zero until their gradients outgrow L1."""
+    """FTRL-proximal: per-coordinate rates, weights kept at zero until their gradients outgrow L1.
 
-    def __init__(self, size: int, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> None:
+    With ``share``, the last weight is a bias: it starts from that share of label 1, without L1 and L2, and is at most zero.
+    """
+
+    def __init__(self, size: int, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2,
+                 share: float | None = None) -> None:
         self.z, self.n = np.zeros(size), np.zeros(size)
-        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
+        self.l1, self.l2, self.most = np.full(size, l1), np.full(size, l2), np.full(size, np.inf)
+        self.alpha, self.beta = alpha, beta
+        if share is not None:
+            self.l1[-1] = self.l2[-1] = self.most[-1] = 0.0
+            self.z[-1] = -np.log(share / (1 - share)) * beta / alpha
 
     def weights(self, at: np.ndarray | slice) -> np.ndarray:
         z, n = self.z[at], self.n[at]
-        shrunk = np.sign(z) * np.maximum(np.abs(z) - self.l1, 0.0)
-        return -shrunk / ((self.beta + np.sqrt(n)) / self.alpha + self.l2)
+        shrunk = np.sign(z) * np.maximum(np.abs(z) - self.l1[at], 0.0)
+        return np.minimum(-shrunk / ((self.beta + np.sqrt(n)) / self.alpha + self.l2[at]), self.most[at])
 
     def learn(self, at: np.ndarray, label: int) -> None:
         weights = self.weights(at)
@@ -89,7 +98,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELS, epochs: int
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(np.append(features(text, bits), np.int32(size)), int(label)) for batch in batches
                 for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-        model = Ftrl(size + 1)
+        model = Ftrl(size + 1, share=(1 + sum(label > 0 for _, label in rows)) / (2 + len(rows)))
         for _ in range(epochs):
             for at, label in rows:
                 model.learn(at, label)
@@ -122,12 +131,12 @@ def score(docs: DataFrame, weights: DataFrame, bits: int = BITS) -> DataFrame:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, score and predicted (1 from a score of one half)."""
+    """Per row of ``docs``: doc_id, held_out, score and predicted (1 from a score above one half)."""
     scored = score(docs.select("doc_id", "text"), fit(docs, labels))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
-                         (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+                         (F.col("__score") > 0.5).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows predicted toxic."""
-    return score(docs, fit(docs, labels)).where(F.col("__score") < 0.5).drop("__score")
+    return score(docs, fit(docs, labels)).where(F.col("__score") <= 0.5).drop("__score")

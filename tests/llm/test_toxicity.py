@@ -37,6 +37,21 @@ def test_no_labels(spark, odd_docs, odd_rows):
     assert toxicity.score_toxicity(odd_docs.where("false"), labels).count() == 0
 
 
+def test_without_evidence_nothing_is_toxic(spark, make_docs):
+    words = ["apple", "pear", "plum", "fig"]
+    rows = [(n, f"{words[n % 4]} {words[n // 4 % 4]} {words[n // 16]}", "s") for n in range(60)]
+    rows += [(100, "", "s"), (101, None, "s"), (102, "ganz andere sprache", "s")]
+    docs = make_docs(rows)
+    few = [n for n in range(60) if crc32(str(n).encode()) % 5][:3]
+    for labels in ([], [(few[0], 0, 1)], [(n, 0, 1) for n in few], [(few[0], 0, 1), (few[1], 0, 0)],
+                   [(n, 0, n % 2) for n in range(60)], [(n, 0, 1) for n in range(60)]):
+        frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        predicted = {row.doc_id: row.predicted for row in toxicity.score_toxicity(docs, frame).collect()}
+        kept = {row.doc_id for row in toxicity.keep_clean(docs, frame).collect()}
+        assert kept == {doc_id for doc_id, toxic in predicted.items() if not toxic}
+        assert kept >= ({doc_id for doc_id, _, _ in rows} if len(labels) <= 3 else {100, 101, 102})
+
+
 def test_weights_are_sparse_and_repeat(spark, data):
     docs, labels = (spark.read.parquet(f"{data}/{name}.parquet") for name in ("documents", "labels"))
     first, second = (sorted(map(tuple, toxicity.fit(docs, labels).collect())) for _ in range(2))
