@@ -1,8 +1,8 @@
 """Line deduplication across documents: equal and nearly equal lines are kept once.
 
-A line is lower-cased and reduced to its words, with every digit as 0; a line without words stays as it is,
-and a blank one is left alone. Lines that are equal then are one value however often they occur. A value has a
-SimHash of its distinct words; values that share two of five blocks of it are candidates (three differing bits
+A line is lower-cased, runs of white space are one blank, and a blank line is left alone. Lines that are equal then,
+with their digits and signs, are one value however often they occur. A value has a SimHash of its distinct words,
+with every digit as 0 where so few are digits that other ones leave the lines similar; values that share two of five blocks of it are candidates (three differing bits
 leave two blocks whole), and candidates within three bits whose edit similarity is at least 0.8 are linked.
 Of each connected group of lines the first occurrence by doc_id (NULL last), then place, stays.
 
@@ -39,13 +39,17 @@ WORD, DIGIT = re.compile(r"\w+"), re.compile(r"\d")
 
 def normal(line: str) -> str:
     """The line as it is compared; empty for a blank one."""
-    words = " ".join(WORD.findall(line.lower()))
-    return DIGIT.sub("0", words) if words else line.strip()
+    return " ".join(line.lower().split())
 
 
 def mark_of(value: str) -> int:
-    """SimHash of the distinct words: counted as often as they occur, the common words of a language would make long lines alike."""
-    return fingerprint(" ".join(set(value.split())).encode(), 1)
+    """SimHash of the distinct words: counted as often as they occur, the common words of a language would make long lines alike.
+
+    Digits count as 0 if lines that differ in them alone are similar; rows of a number table would crowd one bucket.
+    """
+    few = len(DIGIT.findall(value)) <= (1 - SIMILARITY) * len(value) + 1e-9
+    words = WORD.findall(DIGIT.sub("0", value) if few else value) or value.split()
+    return fingerprint(" ".join(set(words)).encode(), 1)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:

@@ -82,6 +82,18 @@ def test_odd_rows(make_docs, odd_rows):
     check(make_docs, rows + [(70, "\n\n"), (71, "---"), (72, " --- \n\nOne\r"), (73, "a\n" * 300)])
 
 
+def test_digits_and_signs_tell_lines_apart(make_docs):
+    chance = random.Random(4)
+    apart = ["12 34 56", "98 76 54", "a + b", "x * y", "2024-01-01 10:11:12 0001", "1999-12-31 23:59:58 7777", "f(1)", "[9]"]
+    apart += [" ".join(f"{chance.randrange(10 ** 6):06}" for _ in range(5)) for _ in range(200)]
+    near = ["The annual report of the company, page 12 of 30", "the annual report of the company: page 13 of 30",
+            "The  annual report of the company, page 14 of 30"]
+    rows = [(1, "\n".join(apart)), *enumerate(near, 2)]
+    check(make_docs, rows)
+    kept = {row.doc_id: row.text for row in lines.dedupe_lines(make_docs([(*row, "s") for row in rows])).collect()}
+    assert kept == {1: rows[0][1], 2: near[0], 3: "", 4: ""}
+
+
 def test_documents(spark, make_docs, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").where("doc_id < 60")
     check(make_docs, [(row.doc_id, row.text) for row in docs.collect()])
