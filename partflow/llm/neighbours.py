@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 SHARD_ROWS, QUERY_ROWS, LEAF = 8192, 4096, 64
 #: One is exact.
 FACTOR = 1.0
-#: Room for rounding where distances decide.
-SLACK = 1e-9
+#: Room for rounding where distances decide: sqrt(2 - 2 dot) of parallel vectors is up to about 4e-8.
+SLACK = 1e-7
 
 
 class VantageTree:

@@ -41,6 +41,17 @@ def test_documents_over_shards_and_blocks(spark, data):
     check(neighbours.nearest(rows, rows.where("vec_id % 50 = 0"), 5, shard_rows=40, query_rows=2).collect(), wanted)
 
 
+def test_scaled_copies_over_leaves():
+    for seed in range(30):
+        chance = np.random.default_rng(seed)
+        # Whole numbers, so that sums are exact in any order.
+        vectors = (chance.integers(1, 50, 24) * chance.integers(1, 1000, 200)[:, None]).astype(float)
+        ids = chance.permutation(200).astype(np.int64)
+        trees = [neighbours.VantageTree(vectors, ids, leaf) for leaf in (8, 200)]
+        (scores, found), (all_scores, all_found) = (tree.search(vectors[:40], ids[:40], 5) for tree in trees)
+        assert np.array_equal(found, all_found) and np.array_equal(scores, all_scores)
+
+
 def test_odd_rows(spark):
     chance = np.random.default_rng(3)
     rows = [(n, chance.normal(size=4).tolist()) for n in range(300)]
