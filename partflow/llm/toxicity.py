@@ -1,14 +1,14 @@
 """Toxicity by FTRL-proximal logistic regression over hashed words, word pairs and skip-grams.
 
-Learning takes a bounded sample of labelled rows (the rows of smallest seeded hash, at most MAX_LABELS),
-goes through it EPOCHS times in one task, and leaves a sparse table of weights: every coordinate has a rate
+Learning takes a bounded sample of labelled texts (of at most MAX_LABELS labelled doc_ids the distinct texts of
+smallest seeded hash, at most MAX_LABELS again), goes through it EPOCHS times in one task, and leaves a sparse table of weights: every coordinate has a rate
 of its own, and L1 keeps most of them at zero. The bias is outside L1, starts from the smoothed share of label 1
 and is never above zero, so that a text without a learned word is not toxic. Scoring broadcasts the weights (at most 2 ** BITS of them)
 and reads every whole text once, in Arrow batches, without a shuffle.
 
 Defined results: NULL counts as empty; an empty text scores as the bias alone; labels without doc_id or
-toxic are not learned from; of several labels of a doc_id the larger counts, and of several documents under a
-labelled doc_id all are learned from; a score above one half is predicted toxic: one half is no evidence, so with
+toxic are not learned from; of several labels of a doc_id the larger counts, and of several texts under a
+labelled doc_id each is learned from once, as far as the sample goes; a score above one half is predicted toxic: one half is no evidence, so with
 no labels every score is 0.5 and nothing is predicted toxic, nor is a text without a learned word under any labels; rows that repeat a doc_id are scored each; ``keep_clean`` keeps all columns of ``docs``.
 """
 
@@ -20,13 +20,14 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from partflow.llm.common import text_tag
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Weights: a table of 2 ** 20 doubles, 8 MB on each executor.
 BITS = 20
-#: Labelled documents learned from. Their texts pass through one task, a batch at a time.
+#: Labelled doc_ids and distinct texts learned from. The features of the texts are held in one task.
 MAX_LABELS, EPOCHS = 20_000, 3
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 1.0
 SEED, FOLDS = "toxic-1", 5
@@ -82,13 +83,18 @@ def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELS) -> DataFrame:
-    """text and label of at most ``limit`` labelled doc_ids outside the held-out fold, in a seeded order."""
+    """Distinct texts and labels, at most ``limit``, of at most ``limit`` labelled doc_ids outside the held-out fold."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("label")))
     order = F.xxhash64(F.concat(F.lit(SEED), F.col("doc_id").cast("string")))
     sample = known.withColumn("place", order).orderBy("place", "doc_id").limit(limit)
+    tagged = docs.select("doc_id", text_tag(F.col("text")).alias("tag"), "text")
     # At most ``limit`` small rows: bounded, whatever the size of the tables.
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("place", "doc_id", "text", "label")
+    texts = tagged.select("doc_id", "tag").join(F.broadcast(sample), "doc_id").distinct()
+    seeded = F.xxhash64(F.lit(SEED), "doc_id", "tag")
+    chosen = texts.withColumn("seeded", seeded).orderBy("seeded", "doc_id", "tag").limit(limit).drop("seeded")
+    return tagged.join(F.broadcast(chosen), ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select(
+        "place", "doc_id", "text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELS, epochs: int = EPOCHS, bits: int = BITS) -> DataFrame:

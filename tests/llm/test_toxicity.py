@@ -52,6 +52,15 @@ def test_without_evidence_nothing_is_toxic(spark, make_docs):
         assert kept >= ({doc_id for doc_id, _, _ in rows} if len(labels) <= 3 else {100, 101, 102})
 
 
+def test_learning_rows_are_bounded(spark, make_docs):
+    docs = make_docs([(1, f"text {n % 30}", "s") for n in range(90)] + [(n, "one", "s") for n in range(2, 9)])
+    labels = spark.createDataFrame([(n, 0, n % 2) for n in range(1, 9)], "doc_id long, quality int, toxic int")
+    every = [tuple(row) for row in toxicity.learning_rows(docs, labels).collect()]
+    assert len(every) == len(set(every)) >= 30
+    some = {tuple(row) for row in toxicity.learning_rows(docs, labels, 10).collect()}
+    assert len(some) == 10 and some <= set(every)
+
+
 def test_weights_are_sparse_and_repeat(spark, data):
     docs, labels = (spark.read.parquet(f"{data}/{name}.parquet") for name in ("documents", "labels"))
     first, second = (sorted(map(tuple, toxicity.fit(docs, labels).collect())) for _ in range(2))
