@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from partflow.llm import chat, decontamination, lines, mixing, neighbours, passages, private, simhash, tokens, toxicity
+from partflow.llm import (
+    chat, decontamination, lines, mixing, neighbours, passages, private, simhash, token_files, tokens, toxicity)
 from partflow.llm.common import table
 from partflow.llm.sql import TWINS
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,10 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search_fiftieths(table(spark, folder, "embeddings"))
 
 
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.digest_tokens(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_passages": op8_passages,
     "op9_toxicity": op9_toxicity,
     "op10_neighbours": op10_neighbours,
+    "op13_token_files": op13_token_files,
 }
 
 
