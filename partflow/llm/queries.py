@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from partflow.llm import (
-    chat, decontamination, lines, mixing, neighbours, passages, private, simhash, token_files, tokens, toxicity)
+    chat, decontamination, lines, mixing, neighbours, passages, private, simhash, token_files, tokens, toxicity,
+    vector_codes)
 from partflow.llm.common import table
 from partflow.llm.sql import TWINS
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,10 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search_fiftieths(table(spark, folder, "embeddings"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.digest_codes(table(spark, folder, "embeddings"))
+
+
 def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digest_tokens(table(spark, folder, "documents"))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_passages": op8_passages,
     "op9_toxicity": op9_toxicity,
     "op10_neighbours": op10_neighbours,
+    "op11_vector_codes": op11_vector_codes,
     "op13_token_files": op13_token_files,
 }
 

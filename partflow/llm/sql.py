@@ -123,4 +123,43 @@ SELECT query_id, CAST(nth AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id, query ORDER BY score DESC, vec_id) AS nth FROM scored) WHERE nth <= 5
 """
 
-TWINS: dict[str, str] = {"op1_mixing": MIXING, "op2_decontamination": DECONTAMINATION, "op7_chat": CHAT, "op10_neighbours": NEIGHBOURS}
+FLOORED = """
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"""
+
+
+def assigned(book: str) -> str:
+    """Every part with its nearest entry of a codebook: the smallest of distance times 64 plus index."""
+    return f"""(
+  SELECT row_no, p, any_value(piece) AS piece, min(64 * away + entry) AS best FROM (
+    SELECT k.row_no, k.p, k.piece, b.entry,
+           list_sum(list_transform(range(1, len(k.piece) + 1), lambda i: (k.piece[i] - b.piece[i]) * (k.piece[i] - b.piece[i]))) AS away
+    FROM pieces k JOIN {book} b USING (p)) GROUP BY row_no, p)"""
+
+
+def moved(book: str) -> str:
+    """The codebook after a round: floors of the members' means, component by component."""
+    return f"""(
+  WITH members AS (SELECT p, best % 64 AS entry, piece, unnest(range(1, len(piece) + 1)) AS place FROM {assigned(book)}),
+  means AS (SELECT p, entry, place, CAST((s - ((s % c) + c) % c) // c AS BIGINT) AS mean FROM (
+    SELECT p, entry, place, CAST(sum(piece[place]) AS BIGINT) AS s, count(*) AS c FROM members GROUP BY p, entry, place))
+  SELECT p, entry, coalesce(m.piece, b.piece) AS piece FROM {book} b
+  LEFT JOIN (SELECT p, entry, list(mean ORDER BY place) AS piece FROM means GROUP BY p, entry) m USING (p, entry))"""
+
+
+VECTOR_CODES = f"""
+WITH kept AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS row_no FROM ({FLOORED})),
+pieces AS MATERIALIZED (SELECT row_no, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS piece
+                        FROM (SELECT row_no, v, unnest(range(16)) AS p FROM kept)),
+book0 AS MATERIALIZED (SELECT p, row_no AS entry, piece FROM pieces WHERE row_no < 64),
+book1 AS MATERIALIZED {moved("book0")},
+book2 AS MATERIALIZED {moved("book1")},
+coded AS MATERIALIZED (SELECT row_no, string_agg(printf('%02x', best % 64), '' ORDER BY p) AS code, CAST(sum(best // 64) AS BIGINT) AS error
+          FROM {assigned("book2")} GROUP BY row_no)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(piece, ','), ',' ORDER BY p, entry)) FROM book2) AS codebooks_sha256
+FROM coded JOIN kept USING (row_no)
+"""
+
+TWINS: dict[str, str] = {"op1_mixing": MIXING, "op2_decontamination": DECONTAMINATION, "op7_chat": CHAT, "op10_neighbours": NEIGHBOURS,
+                         "op11_vector_codes": VECTOR_CODES}
