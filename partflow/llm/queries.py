@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from partflow.llm import (
-    chat, decontamination, lines, mixing, neighbours, passages, private, simhash, token_files, tokens, toxicity,
+    chat, decontamination, hard_negatives, lines, mixing, neighbours, passages, private, simhash, token_files, tokens, toxicity,
     vector_codes)
 from partflow.llm.common import table
 from partflow.llm.sql import TWINS
@@ -61,6 +61,10 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.digest_codes(table(spark, folder, "embeddings"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine_fiftieths(table(spark, folder, "embeddings"))
+
+
 def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digest_tokens(table(spark, folder, "documents"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_neighbours": op10_neighbours,
     "op11_vector_codes": op11_vector_codes,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_token_files": op13_token_files,
 }
 

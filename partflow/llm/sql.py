@@ -161,5 +161,21 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM coded JOIN kept USING (row_no)
 """
 
+HARD_NEGATIVES = f"""
+WITH kept AS (SELECT DISTINCT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, v
+              FROM ({FLOORED}) WHERE vec_id IS NOT NULL AND label IS NOT NULL),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, a.v AS anchor, c.vec_id, c.label,
+         CAST(coalesce(list_sum(list_transform(range(1, least(len(a.v), len(c.v)) + 1), lambda i: a.v[i] * c.v[i])), 0) AS BIGINT) AS score
+  FROM kept a JOIN kept c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (SELECT anchor_id, own, anchor, vec_id AS positive_id, score AS positive_score, nth FROM (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id, own, anchor ORDER BY score DESC, vec_id) AS nth FROM scored WHERE label = own) WHERE nth <= 5)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score FROM (
+  SELECT p.*, s.vec_id, s.score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.own, p.anchor, p.nth ORDER BY s.score DESC, s.vec_id) AS place
+  FROM positives p JOIN scored s USING (anchor_id, own, anchor)
+  WHERE s.label <> p.own AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score) WHERE place <= 3
+"""
+
 TWINS: dict[str, str] = {"op1_mixing": MIXING, "op2_decontamination": DECONTAMINATION, "op7_chat": CHAT, "op10_neighbours": NEIGHBOURS,
-                         "op11_vector_codes": VECTOR_CODES}
+                         "op11_vector_codes": VECTOR_CODES, "op12_hard_negatives": HARD_NEGATIVES}
