@@ -1,16 +1,16 @@
 """Token ids of documents in files: frequency-ranked ids in bytes of variable number.
 
-Two passes over the texts. The first counts every id and gives the most frequent one rank 0. The second sorts the
-documents by doc_id into shards (range partitions), encodes them again, and writes each shard as Parquet rows of one
-block each: per rank as many data bytes as it needs (one to four), and apart from them the control bytes, two bits a
-rank. Encoding twice costs less than moving the ids of a text, which are larger than the text itself. A block
-holds whole documents, up to BLOCK_IDS ids or one document. Reading back, a table over the 256 control bytes
-says which of the 16 bytes of four ranks are there; one masked assignment fills them in, and the table of ranks, which
-is stored with the files, gives the ids.
-
-White space never stands inside a token of this vocabulary, so a text's ids are those of its words. A task hands the
-library each word once (at most KNOWN of them are kept, then it starts anew) and gathers the ids of texts in
-slices of SLICE_BYTES, so memory grows with the longest text only.
+The documents are sorted by doc_id into shards (range partitions) and encoded once; the ids are kept in the shared
+folder as they are, while they are counted. The most frequent id gets rank 0. Each shard is then written as
+Parquet rows of one block each: per rank as many data bytes as it needs (one to four), and apart from them the control
+bytes, two bits a rank. A block holds whole documents, up to BLOCK_IDS ids or one document. Reading back, a table over the
+256 control bytes says which of the 16 bytes of four ranks are there; one masked assignment fills them in, and
+the table of ranks, which is stored with the files, gives the ids.
+
+White space never stands inside a token of this vocabulary, nor does a piece go on from an ASCII letter to punctuation
+or back, so a text's ids are those of its parts. A task hands the library each part once (at most KNOWN of them are kept,
+then it starts anew) and gathers the ids of texts in slices of SLICE_BYTES, so memory grows with the longest text only.
+Parts of plain letters need no normalising beyond lower case and no splitting: they go to the library's model at once.
 
 Defined results: a NULL text counts as empty, and an empty text has the end id alone; doc_id may be NULL (first) or repeated
 (then by a hash of the text, so that reruns agree); repeated rows are documents of their own; other columns
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,50 +36,85 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 VOCABULARY, END = "word_bpe_49k.json", 1
-#: Words whose ids a task keeps, some 200 bytes each.
+#: Parts of texts whose ids a task keeps, some 200 bytes each.
 KNOWN = 500_000
 SLICE_BYTES, BLOCK_IDS = 4_000_000, 1_000_000
-#: A shard has about SHARD_IDS ids; beyond MAX_SHARDS shards grow instead.
-SHARD_IDS, MAX_SHARDS = 4_000_000, 20_000
+#: A shard has about SHARD_BYTES of text; beyond MAX_SHARDS shards grow instead.
+SHARD_BYTES, MAX_SHARDS = 16_000_000, 20_000
+#: Where a letter and punctuation meet. Apostrophes may begin a piece with letters, and bars belong to special strings.
+LETTER_SIGN, SIGN_LETTER = r"([A-Za-z])([!-/:-@\[-`{}~])", r"([!-&(-/:-@\[-`{}~])([A-Za-z])"
+#: Letters below U+0250 that are composed and have one lower-case letter each.
+PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017f]+$"
+# How byte-level vocabularies spell bytes: printable ones as themselves, the others by 256 and on.
+OWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+SPELLED = {byte: chr(256 + nth) for nth, byte in enumerate(byte for byte in range(256) if byte not in OWN)}
 
 
 class WordEncoder:
-    """Ids of texts under one vocabulary file, each distinct word encoded once."""
+    """Ids of texts under one vocabulary file, each distinct part encoded once."""
 
     def __init__(self, path: str, known: int = KNOWN) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.known = known
         self.clear()
 
     def clear(self) -> None:
         self.places: dict[str, int] = {}
-        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.table = np.zeros(0, np.int32)
 
-    def look_up(self, words: list[str]) -> np.ndarray:
-        """Places of distinct words in ``first`` and ``count``."""
+    def ids_of(self, parts: pa.Array) -> list[list[int]]:
+        """The library's ids of every part."""
+        plain = pc.match_substring_regex(parts, PLAIN)
+        found: list = [None] * len(parts)
+        letters = pc.utf8_lower(parts.filter(plain)).to_pylist()
+        plain = plain.to_numpy(zero_copy_only=False)
+        tokenize = self.model.tokenize
+        for place, word in zip(np.flatnonzero(plain).tolist(), letters, strict=True):
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(SPELLED)
+            found[place] = [token.id for token in tokenize(word)]
+        others = np.flatnonzero(~plain)
+        encoded = self.tokenizer.encode_batch_fast(parts.take(pa.array(others)).to_pylist(), add_special_tokens=False)
+        for place, encoding in zip(others.tolist(), encoded, strict=True):
+            found[place] = encoding.ids
+        return found
+
+    def look_up(self, parts: pa.Array) -> np.ndarray:
+        """Places of distinct parts in ``first`` and ``count``."""
         if len(self.places) > self.known:
             self.clear()
-        missing = [word for word in words if word not in self.places]
-        if missing:
-            found = [encoding.ids for encoding in self.tokenizer.encode_batch(missing, add_special_tokens=False)]
-            count = np.fromiter(map(len, found), np.int64, len(found))
-            first = len(self.table) + np.cumsum(count) - count
-            self.places.update(zip(missing, range(len(self.first), len(self.first) + len(missing)), strict=True))
-            self.first, self.count = np.append(self.first, first), np.append(self.count, count)
-            self.table = np.append(self.table, np.fromiter((i for ids in found for i in ids), np.int32, int(count.sum())))
-        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        listed, places = parts.to_pylist(), self.places
+        at = np.fromiter((places.get(part, -1) for part in listed), np.int64, len(listed))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            found = self.ids_of(parts.take(pa.array(missing)))
+            count = np.fromiter(map(len, found), np.int32, len(found))
+            at[missing] = np.arange(len(self.first), len(self.first) + len(missing))
+            places.update((listed[place], where) for place, where in zip(missing.tolist(), at[missing].tolist(), strict=True))
+            self.first = np.append(self.first, len(self.table) + np.cumsum(count, dtype=np.int32) - count)
+            self.count = np.append(self.count, count)
+            self.table = np.append(self.table, np.fromiter(chain.from_iterable(found), np.int32, int(count.sum())))
+        return at
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one text after the other, and the number of ids of each."""
-        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        parted = pc.replace_substring_regex(pc.replace_substring_regex(pc.fill_null(texts, ""), LETTER_SIGN, r"\1 \2"), SIGN_LETTER, r"\1 \2")
+        words = pc.ascii_split_whitespace(parted)
         coded = words.flatten().dictionary_encode()
-        places = self.look_up(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        places = self.look_up(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
         first, count = self.first[places], self.count[places]
-        ends = np.cumsum(count)
-        ids = self.table[np.repeat(first - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.cumsum(count, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        # Steps of one within a part, and to the next part's first id between them.
+        steps = np.ones(total, np.int32)
+        there = np.flatnonzero(count)
+        heads = ends[there] - count[there]
+        steps[heads] = np.diff(first[there], prepend=0) - np.append(0, count[there][:-1]) + (np.arange(len(there)) > 0)
+        ids = self.table[np.cumsum(steps, dtype=np.int32)] if total else np.zeros(0, np.int32)
         upto = np.append(0, ends)[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return ids, np.diff(upto)
 
@@ -121,69 +157,83 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1).view("<u4")[:n]
 
 
-def count_ids(docs: DataFrame, path: str, end: int = END) -> DataFrame:
+def raw_blocks(docs: DataFrame, path: str, end: int, shard_bytes: int, block_ids: int) -> DataFrame:
+    """Blocks of ids in ascending doc_id: shard, block, first (ids of the shard before it), doc_ids, n_ids, ids."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = min(max(1, -(-size // shard_bytes)), MAX_SHARDS)
+    keys = ["doc_id", "tag", "row"]
+    ordered = docs.select("doc_id", text_tag(F.col("text")).alias("tag"), F.monotonically_increasing_id().alias("row"), "text")
+    ordered = ordered.repartitionByRange(shards, *keys).sortWithinPartitions(*keys).select("doc_id", "text")
+    kind = pa.uint16() if Tokenizer.from_file(path).get_vocab_size() <= 2 ** 16 else pa.uint32()
+    schema = T.StructType([
+        T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("first", T.LongType()),
+        T.StructField("doc_ids", T.ArrayType(docs.schema["doc_id"].dataType)), T.StructField("n_ids", T.ArrayType(T.LongType())),
+        T.StructField("width", T.IntegerType()), T.StructField("ids", T.BinaryType())])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, shard, block, first = encoder(path), TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            for part in slices(batch, 1):
+                ids, count = words.encode(part.column(1))
+                ids = np.insert(ids.astype(kind.to_pandas_dtype()), np.cumsum(count), end)
+                count = count + 1
+                upto = np.append(0, np.cumsum(count))
+                at = 0
+                while at < len(count):
+                    to = max(at + 1, int(np.searchsorted(upto, upto[at] + block_ids, side="right")) - 1)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([first], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array([0, to - at], pa.int32()), part.column(0).slice(at, to - at)),
+                        pa.array([count[at:to]], pa.list_(pa.int64())), pa.array([kind.bit_width // 8], pa.int32()),
+                        pa.array([ids[upto[at]:upto[to]].tobytes()], pa.binary())], schema.names)
+                    block, first, at = block + 1, first + int(upto[to] - upto[at]), to
+
+    return ordered.mapInArrow(write, schema)
+
+
+def ids_in(raw: pa.RecordBatch, row: int) -> np.ndarray:
+    return np.frombuffer(raw.column("ids")[row].as_buffer(), f"<u{raw.column('width')[row].as_py()}")
+
+
+def count_ids(raw: DataFrame) -> DataFrame:
     """id, n: how often every id occurs, the end of every document included."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path)
-        total = np.zeros(words.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            for part in slices(batch, 0):
-                ids, _ = words.encode(part.column(0))
-                total += np.bincount(ids, minlength=len(total))
-                total[end] += len(part)
-        seen = np.nonzero(total)[0]
+            for row in range(len(batch)):
+                found = np.bincount(ids_in(batch, row), minlength=len(total))
+                found[:len(total)] += total
+                total = found
+        seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
-    return docs.select("text").mapInArrow(scan, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return raw.select("width", "ids").mapInArrow(scan, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end: int = END, path: str | None = None,
-                 shard_ids: int = SHARD_IDS, block_ids: int = BLOCK_IDS) -> None:
+                 shard_bytes: int = SHARD_BYTES, block_ids: int = BLOCK_IDS) -> None:
     """Writes ``folder/ranks`` (rank, id, n) and ``folder/blocks``. ``path`` names another copy of the vocabulary file."""
     spark = docs.sparkSession
-    path = path or public_tokenizers.path(vocabulary)
+    kept = scratch_path(spark, "token-ids")
+    blocks = raw_blocks(docs, path or public_tokenizers.path(vocabulary), end, shard_bytes, block_ids)
+    blocks.write.option("compression", "zstd").parquet(kept)
+    raw = spark.read.schema(blocks.schema).parquet(kept)
     # No more rows than the vocabulary has ids.
-    found = sorted(((-row.n, row.id) for row in count_ids(docs, path, end).collect()))
+    found = sorted((-row.n, row.id) for row in count_ids(raw).collect())
     spark.createDataFrame([(rank, i, -n) for rank, (n, i) in enumerate(found)], "rank long, id long, n long").coalesce(1).write.parquet(
         f"{folder}/ranks")
     rank_of = np.zeros(max((i for _, i in found), default=0) + 1, np.uint32)
     rank_of[[i for _, i in found]] = np.arange(len(found))
-    shards = min(max(1, -sum(n for n, _ in found) // shard_ids), MAX_SHARDS)
-    keys = ["doc_id", "tag", "row"]
-    ordered = docs.select("doc_id", text_tag(F.col("text")).alias("tag"), F.monotonically_increasing_id().alias("row"), "text")
-    ordered = ordered.repartitionByRange(shards, *keys).sortWithinPartitions(*keys).select("doc_id", "text")
-    id_type = T.ArrayType(docs.schema["doc_id"].dataType)
-    schema = T.StructType([
-        T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("first", T.LongType()),
-        T.StructField("doc_ids", id_type), T.StructField("n_ids", T.ArrayType(T.LongType())),
-        T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())])
-
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-        """doc_ids, ranks with the ends, and their number, of whole documents."""
-        words = encoder(path)
-        for batch in batches:
-            for part in slices(batch, 1):
-                ids, count = words.encode(part.column(1))
-                ranks = np.insert(rank_of[ids], np.cumsum(count), rank_of[end])
-                yield part.column(0), ranks, count + 1
+    schema = T.StructType([*blocks.schema.fields[:5], T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, block, first = TaskContext.get().partitionId(), 0, 0
-        for doc_ids, ranks, count in pieces(batches):
-            upto = np.append(0, np.cumsum(count))
-            at = 0
-            while at < len(count):
-                to = max(at + 1, int(np.searchsorted(upto, upto[at] + block_ids, side="right")) - 1)
-                control, data = pack(ranks[upto[at]:upto[to]])
-                row = [[shard], [block], [first], None, [count[at:to]], [control], [data]]
-                listed = pa.ListArray.from_arrays(pa.array([0, to - at], pa.int32()), doc_ids.slice(at, to - at))
-                types = [pa.int32(), pa.int32(), pa.int64(), None, pa.list_(pa.int64()), pa.binary(), pa.binary()]
+        for batch in batches:
+            for row in range(len(batch)):
+                packed = pack(rank_of[ids_in(batch, row)])
                 yield pa.RecordBatch.from_arrays(
-                    [listed if kind is None else pa.array(value, kind) for value, kind in zip(row, types, strict=True)], schema.names)
-                block, first, at = block + 1, first + int(upto[to] - upto[at]), to
+                    [*(batch.column(k).slice(row, 1) for k in range(5)), *(pa.array([part], pa.binary()) for part in packed)], schema.names)
 
-    # The bytes are packed already: snappy would find nothing in them.
-    ordered.mapInArrow(write, schema).write.option("compression", "none").parquet(f"{folder}/blocks")
+    raw.mapInArrow(write, schema).write.option("compression", "zstd").parquet(f"{folder}/blocks")
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:

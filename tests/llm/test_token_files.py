@@ -12,7 +12,8 @@ from partflow.session import scratch_path
 from tokenizers import Tokenizer
 
 ODD = ["", "İIi ñ", "a<|endoftext|>b <|startoftext|>", "'s 'll it's", "²³ ½ 12", "x\x1cy\x85z\xa0w", "日本語 テスト ①", "ΟΔΟΣ ΟΔΟΣ.", "é Å",
-       "a_b__c!!", "<|ENDOFTEXT|>", "😀 👍🏽", "ﬁ İ̇", "a" * 3000, "<|endoftext|><|endoftext|>", " ́a \ńb", "\t x \r\n"]
+       "a_b__c!!", "<|ENDOFTEXT|>", "😀 👍🏽", "ﬁ İ̇", "a" * 3000, "<|endoftext|><|endoftext|>", " ́a \ńb", "\t x \r\n", "a.b.c(d)'s it's,\"'ve",
+       "x|>y<|endoftext|>,z.<|endoftext|>a", "Größe ÀÉÎ Ǆ ǅ ŉ Łódź ſ ĳ a,\u0301b e,", "A.\u0301B e'\u0301s don't.'t (x)[y]{z}~w_v`u@t"]
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +23,7 @@ def library():
 
 def test_odd_texts(library):
     chance = random.Random(5)
-    texts = ODD + ["".join(chance.choice("ab'sSt 12²½é\x1cΣ日①<|_!İ́ \n") for _ in range(20)) for _ in range(2000)]
+    texts = ODD + ["".join(chance.choice("ab'sSt 12²½é\x1cΣ日①<|_!İ́ \n.,(Éßŉ") for _ in range(20)) for _ in range(2000)]
     words = token_files.WordEncoder(public_tokenizers.path(token_files.VOCABULARY), known=50)
     wanted = [row.ids for row in library.encode_batch(texts, add_special_tokens=False)]
     for step in (1, 7, len(texts)):
@@ -61,7 +62,7 @@ def test_documents_over_shards_and_blocks(spark, data, library):
     wanted = brute([(row.doc_id, row.text) for row in docs.orderBy("doc_id").collect()], library)
     assert sorted(map(tuple, token_files.digest_tokens(docs).collect())) == wanted
     folder = scratch_path(spark, "tokens")
-    token_files.write_tokens(docs.repartition(3, "source"), folder, shard_ids=5000, block_ids=300)
+    token_files.write_tokens(docs.repartition(3, "source"), folder, shard_bytes=20_000, block_ids=300)
     assert spark.read.parquet(f"{folder}/blocks").select("shard").distinct().count() > 5
     read = sorted(token_files.read_tokens(spark, folder).collect())
     assert [(row.doc_id, row.start, row.n_tokens, zlib.crc32(row.ids)) for row in read] == wanted
