@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partflow.operators.state import dedupe_latest
 from partflow.plans import inventory
 from partflow.registry.base import Family
 from partflow.registry.fixtures import ANCHOR, Inputs
 from partflow.session import scratch_path
 from partflow.sinks import export
 from partflow.sinks.tables import BatchFolder, TableFolder
-from partflow.sources.readers import read_lines_stream, read_tabular_strings
-from partflow.streaming.ingest import run_available, upsert_batches
+from partflow.sources.readers import read_lines, read_lines_stream, read_tabular_strings
+from partflow.streaming.ingest import manifest_folder, paths_of, run_available, stream_versions, upsert_batches
 
 QUERIES = Family()
 
@@ -47,6 +50,75 @@ def stream_lines(inputs: Inputs) -> DataFrame:
     return state.read().select("value", F.col("_source_file_name").isNotNull().alias("com_arquivo"))
 
 
+_STEPS = "CASE WHEN event_id % 7 < 3 THEN 0 WHEN event_id % 7 < 5 THEN 1 ELSE 2 END"
+
+
+@QUERIES.query(f"""
+    SELECT user_id, event_id, ts, event_type, value FROM (SELECT *, {_STEPS} AS passo FROM events) WHERE passo > 0
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY passo DESC, event_id DESC) = 1""")
+def load_modes(inputs: Inputs) -> DataFrame:
+    """One keyed state: an incremental batch, a refresh, an incremental batch, then all three replayed in another order."""
+    spark = inputs.spark
+    state = BatchFolder(spark, scratch_path(spark, "load_modes"), ["user_id"], ["event_id"])
+    rows = inputs.sql(f"SELECT user_id, event_id, ts, event_type, value, {_STEPS} AS passo FROM events")
+    load = upsert_batches(state, ["event_id"], refresh=[1])
+    for step in (0, 1, 2, 1, 2, 0):
+        load(rows.where(F.col("passo") == step).drop("passo"), step)
+    if (state.batches(), state.refreshes()) != ([0, 1, 2], [1]):
+        raise ValueError("a replayed batch should stand where it stood")
+    return state.read()
+
+
+def _named_text(rows: DataFrame, folder: str, name: str) -> None:
+    """One text file under a given name, in place of what has it."""
+    spark, part = rows.sparkSession, scratch_path(rows.sparkSession, "part")
+    rows.coalesce(1).write.text(part)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    written = next(s.getPath() for s in fs.listStatus(path(part)) if s.getPath().getName().startswith("part-"))
+    fs.mkdirs(path(folder))
+    fs.delete(path(folder, name), False)
+    fs.rename(written, path(folder, name))
+
+
+@QUERIES.query("""
+    SELECT chave, valor, arquivo, CAST(lote AS BIGINT) AS lote FROM (
+      SELECT concat('u', user_id) AS chave, event_type AS valor, CASE WHEN user_id % 2 = 0 THEN 'a.txt' ELSE 'b.txt' END AS arquivo,
+        CASE WHEN user_id % 2 = 0 THEN 1 ELSE 0 END AS lote
+      FROM events WHERE user_id % 2 = 1 OR event_id % 3 = 0
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
+      UNION ALL
+      SELECT concat('u', user_id), event_type, 'a.txt', 0 FROM events
+      WHERE user_id % 2 = 0 AND user_id NOT IN (SELECT user_id FROM events WHERE event_id % 3 = 0)
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)""")
+def stream_resent(inputs: Inputs) -> DataFrame:
+    """Two files as a stream; one is sent again under its name between two runs, and its second content wins by key."""
+    spark, root = inputs.spark, scratch_path(inputs.spark, "stream_resent")
+    rows = dedupe_latest(inputs.table("events").select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"])
+    again = dedupe_latest(inputs.table("events").where("event_id % 3 = 0").select("user_id", "event_id", "event_type"),
+                          ["user_id"], ["event_id"])
+    state = BatchFolder(spark, f"{root}/state", ["chave"])
+    manifest = manifest_folder(spark, root)
+
+    def load(versions: DataFrame, batch_id: int) -> None:
+        parts = F.split("value", ";")
+        state.write_batch(read_lines(spark, paths_of(versions)).select(
+            parts[0].alias("chave"), parts[1].alias("valor"), F.col("_source_file_name").alias("arquivo"),
+            F.lit(batch_id).cast("long").alias("lote")), batch_id)
+
+    def send(df: DataFrame, name: str) -> None:
+        _named_text(df.select(F.concat_ws(";", F.concat(F.lit("u"), "user_id"), "event_type").alias("value")), f"{root}/in", name)
+
+    send(rows.where("user_id % 2 = 0"), "a.txt")
+    send(rows.where("user_id % 2 = 1"), "b.txt")
+    stream_versions(spark, f"{root}/in", root, manifest, load)
+    time.sleep(1.1)  # file systems may keep whole seconds
+    send(again.where("user_id % 2 = 0"), "a.txt")
+    for _ in range(2):
+        stream_versions(spark, f"{root}/in", root, manifest, load)
+    return state.read()
+
+
 @QUERIES.query("""
     SELECT material, CAST(sum(quantidade) AS DECIMAL(38,3)) AS quantidade, count(*) AS linhas FROM (
       SELECT material, quantidade FROM fx_sales UNION ALL

@@ -24,6 +24,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a folder to a place where nothing, or an older state of the same, may stand."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(path) for path in (source, target))
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(new, True)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the complete folders below a path."""
     jvm = spark._jvm
@@ -116,54 +126,84 @@ class TableFolder:
 
 
 class BatchFolder:
-    """Keyed state fed by numbered batches: ``root/batch=<n>`` and compacted ``root/upto=<n>``.
+    """Keyed state fed by numbered batches: ``root/batch=<n>``, whole ones ``root/refresh=<n>``, compacted ``root/upto=<n>``.
 
     A batch is written to its own folder, so a replayed batch overwrites itself and has
-    no second effect. The cost of a batch does not depend on the size of the state.
+    no second effect. The cost of a batch does not depend on the size of the state. Of a key's rows the one of the
+    latest batch counts, within a batch the greatest by ``order``, then by content.
+
+    A refresh opens a generation: readers see its rows and those of later batches, and nothing from before. Older
+    batches that are replayed after it change nothing, and a refresh that has not ended is not seen.
+
+    Rows that have to be checked as they are stored are written aside (``stage``), read back by the checks
+    (``staged``) and moved into place (``publish``): the input is read once, and a failed check leaves nothing.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str]):
-        self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str] = ()):
+        self.spark, self.root, self.keys, self.order = spark, root.rstrip("/"), list(keys), list(order)
 
     def batches(self) -> list[int]:
-        return numbered(self.spark, self.root, "batch=")
+        return sorted({*numbered(self.spark, self.root, "batch="), *self.refreshes()})
+
+    def refreshes(self) -> list[int]:
+        return numbered(self.spark, self.root, "refresh=")
 
     def compacted(self) -> int | None:
         done = numbered(self.spark, self.root, "upto=")
         return done[-1] if done else None
 
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
-
-    def read(self) -> DataFrame | None:
-        """Latest row per key; None before the first batch."""
-        base = self.compacted()
-        newer = [b for b in self.batches() if base is None or b > base]
-        recent = self._recent(newer)
-        if base is None:
+    def _place(self, batch_id: int, refresh: bool) -> str:
+        """Where a batch goes. A batch keeps the mode it was completed in, and one that is compacted stays so."""
+        compacted = self.compacted()
+        if compacted is not None and batch_id <= compacted:
+            raise ValueError(f"batch {batch_id} is compacted")
+        mode, other = ("refresh", "batch") if refresh else ("batch", "refresh")
+        if batch_id in numbered(self.spark, self.root, f"{other}="):
+            raise ValueError(f"batch {batch_id} is stored as {other}")
+        return f"{self.root}/{mode}={batch_id}"
+
+    def write_batch(self, df: DataFrame, batch_id: int, refresh: bool = False) -> None:
+        df.write.mode("overwrite").parquet(self._place(batch_id, refresh))
+
+    def stage(self, df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/_staged/{batch_id}")
+
+    def staged(self, batch_id: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/_staged/{batch_id}")
+
+    def publish(self, batch_id: int, refresh: bool = False) -> None:
+        move_folder(self.spark, f"{self.root}/_staged/{batch_id}", self._place(batch_id, refresh))
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """Latest row per key; None before the first batch. ``before`` leaves out that batch and later ones."""
+        compacted, parts = self._parts(before)
+        recent = dedupe_latest(union_all(parts), self.keys, ["batch", *self.order]).drop("batch") if parts else None
+        if compacted is None:
             return recent
-        old = self.spark.read.parquet(f"{self.root}/upto={base}")
-        return old if recent is None else upsert(old, recent, self.keys)
+        return compacted if recent is None else upsert(compacted, recent, self.keys)
 
     def rows(self) -> DataFrame | None:
-        """All stored rows, older ones of a key included: enough to tell what has arrived, without a shuffle."""
-        base = self.compacted()
-        newer = [b for b in self.batches() if base is None or b > base]
-        parts = [self.spark.read.parquet(f"{self.root}/upto={base}")] if base is not None else []
-        parts += [self.spark.read.parquet(f"{self.root}/batch={b}") for b in newer]
-        return union_all(parts) if parts else None
+        """All stored rows of the generation, older ones of a key included: enough to tell what has arrived, without a shuffle."""
+        compacted, parts = self._parts(None)
+        found = ([compacted] if compacted is not None else []) + [part.drop("batch") for part in parts]
+        return union_all(found) if found else None
 
     def pending(self) -> int:
         """Batches that a read has to resolve."""
         base = self.compacted()
         return sum(base is None or b > base for b in self.batches())
 
-    def _recent(self, batches: Sequence[int]) -> DataFrame | None:
-        if not batches:
-            return None
-        paths = [f"{self.root}/batch={b}" for b in batches]
-        rows = self.spark.read.option("basePath", self.root).parquet(*paths)
-        return dedupe_latest(rows, self.keys, ["batch"]).drop("batch")
+    def _parts(self, before: int | None) -> tuple[DataFrame | None, list[DataFrame]]:
+        """The compacted rows a read starts from, if any, and the rows of every later batch with its number."""
+        known = {mode: [n for n in numbered(self.spark, self.root, f"{mode}=") if before is None or n < before]
+                 for mode in ("batch", "refresh", "upto")}
+        upto, refresh = max(known["upto"], default=-1), max(known["refresh"], default=-1)
+        start = max(upto, refresh)
+        folders = [(n, f"{self.root}/batch={n}") for n in known["batch"] if n > start]
+        if refresh > upto:
+            folders.insert(0, (refresh, f"{self.root}/refresh={refresh}"))
+        compacted = self.spark.read.parquet(f"{self.root}/upto={upto}") if upto >= max(refresh, 0) else None
+        return compacted, [self.spark.read.parquet(path).withColumn("batch", F.lit(n)) for n, path in folders]
 
     def compact(self) -> None:
         """Settles all batches so far into one folder that later reads start from."""

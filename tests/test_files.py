@@ -74,8 +74,8 @@ def test_failed_gate_writes_nothing(spark, tmp_path, now):
     write(folder, "salesorder_raw_2026-10_0200_2W.txt", [line(1, "05.10.2026", "0200")])
     with pytest.raises(Exception, match="file_missing"):
         ingest.ingest_sales(spark, str(folder), root, "L1", "me", now)
-    state = BatchFolder(spark, f"{root}/raw_sales_order", ["numero_ov", "item"])
-    assert state.read() is None
+    state = ingest.sales_state(spark, root)
+    assert state.read() is None and state.batches() == []
     write(folder, "salesorder_raw_2026-10_0500_4W.txt", [line(2, "05.10.2026", "0500")])
     assert ingest.ingest_sales(spark, str(folder), root, "L2", "me", now).read().count() == 2
 
@@ -86,22 +86,107 @@ def test_missing_org_may_be_loaded_already(spark, tmp_path, now):
     ingest.ingest_sales(spark, str(folder), root, "L1", "me", now)
     late = tmp_path / "late"
     write(late, "salesorder_raw_2026-10_0200_2W.txt", [line(9, "07.10.2026", "0200")])
-    loaded = BatchFolder(spark, f"{root}/raw_sales_order", ["numero_ov", "item"]).read()
+    loaded = ingest.sales_state(spark, root).read()
     assert ingest.preflight(spark, str(late), None, loaded)
     with pytest.raises(GateError, match="file_missing"):
         ingest.preflight(spark, str(late), None, None)
 
 
-def test_resent_file_is_taken_again(spark, tmp_path, now):
+def quantities(spark, root):
+    return {float(r.quantidade) for r in ingest.sales_state(spark, root).read().collect()}
+
+
+@pytest.mark.parametrize("load", [ingest.ingest_sales, ingest.ingest_new_files])
+def test_resent_file_is_taken_again(spark, tmp_path, now, load):
     folder, root = tmp_path / "in", str(tmp_path / "out")
     old = time.time() - 1000
     month_files(folder, at=old)
-    assert len(ingest.ingest_new_files(spark, str(folder), root, "L1", "me", now)) == 2
-    assert ingest.ingest_new_files(spark, str(folder), root, "L2", "me", now) == []
+    load(spark, str(folder), root, "L1", "me", now)
+    load(spark, str(folder), root, "L2", "me", now)
+    assert ingest.sales_state(spark, root).batches() == [0] and quantities(spark, root) == {1.0}
     month_files(folder, at=old + 500, qty="7,000")
-    assert len(ingest.ingest_new_files(spark, str(folder), root, "L3", "me", now)) == 2
-    rows = BatchFolder(spark, f"{root}/raw_sales_order", ["numero_ov", "item"]).read().collect()
-    assert {float(r.quantidade) for r in rows} == {7.0} and len(rows) == 2
+    load(spark, str(folder), root, "L3", "me", now)
+    assert quantities(spark, root) == {7.0} and ingest.sales_state(spark, root).read().count() == 2
+    # Sent again with an older content and time: nothing happens.
+    month_files(folder, at=old + 100, qty="3,000")
+    load(spark, str(folder), root, "L4", "me", now)
+    assert quantities(spark, root) == {7.0}
+
+
+def test_failed_batch_takes_the_mended_file(spark, tmp_path, now):
+    folder, root = tmp_path / "in", str(tmp_path / "out")
+    old = time.time() - 1000
+    month_files(folder, at=old)
+    good = (folder / "salesorder_raw_2026-10_0500_4W.txt").read_text()
+    write(folder, "salesorder_raw_2026-10_0500_4W.txt", [line(1, "05.11.2026", "0500")], old)
+    for _ in range(2):
+        with pytest.raises(Exception, match="file_period"):
+            ingest.ingest_sales(spark, str(folder), root, "L1", "me", now)
+        assert ingest.sales_state(spark, root).read() is None
+    write(folder, "salesorder_raw_2026-10_0500_4W.txt", good.splitlines(), old + 10)
+    state = ingest.ingest_sales(spark, str(folder), root, "L2", "me", now)
+    assert state.batches() == [0] and state.read().count() == 2
+    with pytest.raises(GateError, match="file_empty"):
+        write(folder, "salesorder_raw_2026-11_0200_2W.txt", [""])
+        ingest.ingest_sales(spark, str(folder), root, "L3", "me", now, check_first=True)
+    assert state.read().count() == 2
+
+
+def test_refresh_opens_a_generation(spark, tmp_path, now):
+    folder, root = tmp_path / "in", str(tmp_path / "out")
+    old = time.time() - 1000
+    month_files(folder, at=old)
+    ingest.ingest_sales(spark, str(folder), root, "L1", "me", now)
+    write(folder, "salesorder_raw_2026-11_0200_2W.txt", [line(5, "05.11.2026", "0200")], old + 1)
+    # Rows in place do not stand in for the other organisation: they are about to go.
+    with pytest.raises(Exception, match="file_missing"):
+        ingest.ingest_sales(spark, str(folder), root, "L2", "me", now, mode="PERIOD_REFRESH")
+    write(folder, "salesorder_raw_2026-11_0500_4W.txt", [line(6, "05.11.2026", "0500")], old + 1)
+    state = ingest.ingest_sales(spark, str(folder), root, "L2", "me", now, mode="PERIOD_REFRESH")
+    assert sorted(r.numero_ov for r in state.read().collect()) == [5, 6] and state.refreshes() == [1]
+    assert {r._load_type for r in state.read().collect()} == {"PERIOD_REFRESH"}
+    month_files(folder, "2026-12", at=old + 2)
+    ingest.ingest_sales(spark, str(folder), root, "L3", "me", now)
+    assert sorted(r.numero_ov for r in state.read().collect()) == [1, 1, 5, 6]
+    assert state.rows().count() == 4 and state.pending() == 3
+    state.compact()
+    assert state.read().count() == 4 and state.pending() == 0
+    with pytest.raises(ValueError, match="mode"):
+        ingest.ingest_sales(spark, str(folder), str(tmp_path / "x"), "L4", "me", now, mode="ALL")
+
+
+def test_batch_generations(spark, tmp_path):
+    state = BatchFolder(spark, str(tmp_path / "s"), ["k"], ["t"])
+
+    def rows(*pairs):
+        return spark.createDataFrame([(k, t, f"{k}-{t}") for k, t in pairs], "k int, t int, v string")
+
+    def found():
+        return sorted(r.v for r in state.read().collect())
+
+    state.write_batch(rows((1, 1), (1, 9), (2, 1)), 0)
+    assert found() == ["1-9", "2-1"]
+    state.stage(rows((3, 1)), 1)
+    assert found() == ["1-9", "2-1"] and state.batches() == [0]
+    state.publish(1, refresh=True)
+    state.write_batch(rows((3, 0), (4, 1)), 2)
+    assert found() == ["3-0", "4-1"]
+    for again in (0, 2):  # replays, one from before the refresh
+        state.write_batch(rows((3, 0), (4, 1)) if again else rows((1, 1), (1, 9), (2, 1)), again)
+        assert found() == ["3-0", "4-1"]
+    state.stage(rows((3, 1)), 1)
+    state.publish(1, refresh=True)
+    assert found() == ["3-0", "4-1"]
+    assert sorted(r.v for r in state.read(before=2).collect()) == ["3-1"] and state.read(before=0) is None
+    with pytest.raises(ValueError, match="stored as refresh"):
+        state.write_batch(rows((5, 1)), 1)
+    state.compact()
+    with pytest.raises(ValueError, match="compacted"):
+        state.write_batch(rows((5, 1)), 2)
+    state.write_batch(rows((4, 0)).withColumn("extra", F.lit(1)), 3)
+    assert found() == ["3-0", "4-0"]
+    state.write_batch(rows((7, 7)), 4, refresh=True)
+    assert found() == ["7-7"]
 
 
 @pytest.mark.parametrize("name, lines, rule", [
