@@ -108,6 +108,22 @@ def _resummed(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
     return sums.groupBy(*keys, "mes").agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
+#: Keys of the partial sums: those of the area lookup and of the views.
+SUM_KEYS = ("org_vendas", "canal_dist", "tipo_ov", "setor_ativ", "emissor_da_ordem", "material")
+CUBE_KEYS = ("org_vendas", "canal_dist", "tipo_ov", "centro_original", "material")
+CUSTOMER_KEYS = ("org_vendas", "canal_dist", "tipo_ov", "emissor_da_ordem", "material")
+
+
+def partial_sums(sales: DataFrame) -> DataFrame:
+    """Monthly sums of sales rows from which every view of a closing can be summed; sums of parts of the sales add up."""
+    return _monthly(sales, SUM_KEYS)
+
+
+def cube_of_sums(sums: DataFrame, chain: DataFrame, area: DataFrame) -> DataFrame:
+    """The demand cube from partial sums."""
+    return enrich_chain(_resummed(enrich_area(sums, area), CUBE_KEYS), chain)
+
+
 def demand_cube(sales: DataFrame, chain: DataFrame, area: DataFrame, anchor: date,
                 months: int = 60) -> DataFrame:
     """Monthly sums that every demand view is read from.
@@ -117,11 +133,7 @@ def demand_cube(sales: DataFrame, chain: DataFrame, area: DataFrame, anchor: dat
     the anchor's month are not part of a closing. Measures: ``quantidade``, ``linhas``
     (rows with a quantity), ``registros`` (rows).
     """
-    window = up_to_month(sales, anchor, months)
-    keys = ["org_vendas", "canal_dist", "tipo_ov", "centro_original", "material"]
-    per_customer = _monthly(window, [
-        "org_vendas", "canal_dist", "tipo_ov", "setor_ativ", "emissor_da_ordem", "material"])
-    return enrich_chain(_resummed(enrich_area(per_customer, area), keys), chain)
+    return cube_of_sums(partial_sums(up_to_month(sales, anchor, months)), chain, area)
 
 
 def customer_cube(sales: DataFrame, chain: DataFrame, anchor: date, months: int = 12,
@@ -130,5 +142,11 @@ def customer_cube(sales: DataFrame, chain: DataFrame, anchor: date, months: int
     window = up_to_month(sales, anchor, months)
     if only_type is not None:
         window = window.where(F.col("tipo_ov") == only_type)
-    return enrich_chain(_monthly(window, [
-        "org_vendas", "canal_dist", "tipo_ov", "emissor_da_ordem", "material"]), chain)
+    return enrich_chain(_monthly(window, CUSTOMER_KEYS), chain)
+
+
+def customer_cube_of_sums(sums: DataFrame, chain: DataFrame, only_type: str | None = None) -> DataFrame:
+    """The customer cube from partial sums."""
+    if only_type is not None:
+        sums = sums.where(F.col("tipo_ov") == only_type)
+    return enrich_chain(_resummed(sums, CUSTOMER_KEYS), chain)

@@ -12,8 +12,10 @@ from partflow.functions.dates import label_of, last_months, shift_month
 from partflow.operators.aggregate import max_of
 from partflow.operators.project import latest_cycle
 from partflow.plans import customers, demand, enrich, materials
+from partflow.plans.monthly import MonthSums, month_parts
 from partflow.registry.base import Family
 from partflow.registry.fixtures import ANCHOR, Inputs
+from partflow.session import scratch_path
 
 QUERIES = Family()
 
@@ -98,6 +100,26 @@ for _name, _key in {
     _register_view(_name, DEMAND_VIEWS[_key])
 
 
+@QUERIES.query(view_sql(DEMAND_VIEWS["fechada"]).replace("ox_sales", "ox_sales_keyed"))
+def demand_closed_late(inputs: Inputs) -> DataFrame:
+    """The closed demand from stored monthly sums after a late batch, which corrects quantities and dates of two months."""
+    spark, root, c = inputs.spark, scratch_path(inputs.spark, "closing"), Closing(inputs)
+    sales = month_parts(spark, f"{root}/sales")
+    sums = MonthSums(spark, f"{root}/sums", sales)
+    late = (F.col("numero_ov") % 3 == 0) & F.col("data").between("2001-04-01", "2001-05-31")
+    first = c.sales.withColumns({
+        "quantidade": F.when(late, F.col("quantidade") * 2).otherwise(F.col("quantidade")),
+        "data": F.when(late, F.date_add("data", 40)).otherwise(F.col("data"))})
+    sales.refresh(first, 0)
+    sums.update()
+    sales.upsert(c.sales.where(late), 1)
+    changed = sums.update()
+    if not {date(2001, 4, 1)} <= {*changed} <= {date(2001, month, 1) for month in (4, 5, 6, 7)}:
+        raise ValueError(f"other months than those of the batch were summed: {changed}")
+    cube = enrich.cube_of_sums(sums.read(sums.anchor(), 60), c.chain, c.area)
+    return demand.demand_view(cube, "fechada", sums.anchor()).drop("org_vendas")
+
+
 @QUERIES.query("SELECT * FROM ox_base")
 def demand_base(inputs: Inputs) -> DataFrame:
     return Closing(inputs).base()

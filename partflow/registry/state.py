@@ -14,6 +14,8 @@ from partflow.plans import history
 from partflow.registry.base import Family
 from partflow.registry.fixtures import Inputs
 from partflow.registry.scalars import _REPAIRED
+from partflow.session import scratch_path
+from partflow.sinks.parts import KeyedParts
 
 QUERIES = Family()
 
@@ -37,7 +39,7 @@ def sales_keyed(inputs: Inputs, where: str = "") -> DataFrame:
     return inputs.sql(_SALES_KEYED.format(where=where))
 
 
-@QUERIES.query("""
+_UPSERTED = """
     SELECT b.numero_ov, b.item, b.data, b.material, b.quantidade * 2 AS quantidade
     FROM (SELECT numero_ov, item, max(data) AS data, max(material) AS material, max(quantidade) AS quantidade
       FROM fx_sales WHERE data >= DATE '2001-01-01' GROUP BY numero_ov, item) b
@@ -46,7 +48,10 @@ def sales_keyed(inputs: Inputs, where: str = "") -> DataFrame:
     FROM (SELECT numero_ov, item, max(data) AS data, max(material) AS material, max(quantidade) AS quantidade
       FROM fx_sales WHERE data < DATE '2001-04-01' GROUP BY numero_ov, item) o
     WHERE NOT EXISTS (SELECT 1 FROM fx_sales b WHERE b.data >= DATE '2001-01-01' AND b.numero_ov = o.numero_ov
-      AND b.item = o.item)""")
+      AND b.item = o.item)"""
+
+
+@QUERIES.query(_UPSERTED)
 def upsert(inputs: Inputs) -> DataFrame:
     old = sales_keyed(inputs, "WHERE data < DATE '2001-04-01'")
     batch = sales_keyed(inputs, "WHERE data >= DATE '2001-01-01'")
@@ -54,6 +59,21 @@ def upsert(inputs: Inputs) -> DataFrame:
     return state.upsert(old, batch, ["numero_ov", "item"])
 
 
+@QUERIES.query(_UPSERTED)
+def upsert_parts(inputs: Inputs) -> DataFrame:
+    """The same batch on state stored by ranges of order numbers, where only the ranges it touches are written; it is replayed."""
+    old = sales_keyed(inputs, "WHERE data < DATE '2001-04-01'")
+    batch = sales_keyed(inputs, "WHERE data >= DATE '2001-01-01'")
+    batch = batch.withColumn("quantidade", (F.col("quantidade") * 2).cast("decimal(18,3)"))
+    schema = "numero_ov bigint, item bigint, data date, material string, quantidade decimal(18,3), faixa bigint"
+    stored = KeyedParts(inputs.spark, scratch_path(inputs.spark, "upsert_parts"), ["numero_ov", "item"], "faixa",
+                        F.expr("numero_ov div 500"), schema)
+    stored.refresh(old, 0)
+    for _ in range(2):
+        stored.upsert(batch, 1)
+    return stored.read().drop("faixa")
+
+
 @QUERIES.query("""
     SELECT mes, org_vendas, numero_ov, item, quantidade FROM (SELECT CAST(date_trunc('month', data) AS DATE) AS mes,
       org_vendas, numero_ov, item, quantidade FROM fx_sales) o

@@ -15,7 +15,13 @@ def locale_number(c: str) -> str:
     )
 
 
+SALES_COLUMNS = ("data", "tipo_ov", "org_vendas", "canal_dist", "setor_ativ", "centro", "emissor_da_ordem", "material", "quantidade")
+
 TWIN_VIEWS: dict[str, str] = {
+    # One row per order item: the greatest by its columns, from left to right.
+    "ox_keyed": f"""
+        SELECT * FROM fx_sales QUALIFY row_number() OVER (
+          PARTITION BY numero_ov, item ORDER BY {", ".join(f"{c} DESC NULLS LAST" for c in SALES_COLUMNS)}) = 1""",
     "ox_area": """
         SELECT ltrim(cliente, '0') AS cliente, orgv AS orgv, cdst AS cdst, sa AS sa,
           CASE WHEN cen IS NULL OR trim(cen) = '' THEN CASE orgv WHEN '0200' THEN '0203' WHEN '0500' THEN '0503' END
@@ -46,6 +52,16 @@ TWIN_VIEWS: dict[str, str] = {
           AND s.canal_dist = a.cdst AND s.setor_ativ = a.sa
         LEFT JOIN ox_customer k ON CAST(s.emissor_da_ordem AS VARCHAR) = k.cliente
         WHERE s.data >= (SELECT m - INTERVAL 59 MONTH FROM ox_anchor)""",
+    "ox_sales_keyed": """
+        SELECT s.*, coalesce(c.item_principal_cadeia, s.material) AS item_principal_cadeia,
+          a.cen AS centro_original, k.razao_social, k.estado, k.pais,
+          CAST(date_trunc('month', s.data) AS DATE) AS mes
+        FROM ox_keyed s
+        LEFT JOIN ox_chain c ON s.material = c.material AND s.org_vendas = c.empresa
+        LEFT JOIN ox_area a ON CAST(s.emissor_da_ordem AS VARCHAR) = a.cliente AND s.org_vendas = a.orgv
+          AND s.canal_dist = a.cdst AND s.setor_ativ = a.sa
+        LEFT JOIN ox_customer k ON CAST(s.emissor_da_ordem AS VARCHAR) = k.cliente
+        WHERE s.data >= (SELECT m - INTERVAL 59 MONTH FROM ox_anchor)""",
     "ox_base": """
         SELECT CAST(numero_ov AS VARCHAR) AS numero_ordem_venda, CAST(item AS VARCHAR) AS item_ordem_venda,
           data AS data_ordem, tipo_ov AS tipo_ordem_venda, org_vendas AS organizacao_vendas,

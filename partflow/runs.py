@@ -12,6 +12,7 @@ from partflow.config import BOTH, DEMAND_VIEWS, MOTORCYCLES, SEGMENTS
 from partflow.operators.aggregate import max_of, union_all
 from partflow.operators.quality import enforce, gate_duplicates, gate_reference_date
 from partflow.plans import demand, enrich, forecast, history, inventory, materials, supersession
+from partflow.plans.monthly import MonthSums
 from partflow.sinks.export import export_csv, export_sheets
 from partflow.sinks.tables import HistoryFolder, TableFolder, publish_segments
 
@@ -29,8 +30,31 @@ def run_closing(spark: SparkSession, root: str, sales: DataFrame, chain: DataFra
     enforce(gate_duplicates(chain, ["empresa", "material"]),
             gate_duplicates(area, list(enrich.AREA_KEYS.values())))
     anchor = anchor or max_of(sales, "data")
+    urgent = DEMAND_VIEWS["zpug_cliente"]
+    return publish_closing(
+        spark, root, enrich.demand_cube(sales, chain, area, anchor),
+        enrich.customer_cube(sales, chain, anchor, urgent.months, urgent.only_type), anchor, mode, orgs)
+
+
+def run_closing_of_sums(spark: SparkSession, root: str, sums: MonthSums, chain: DataFrame, area: DataFrame,
+                        mode: str = "multi_tabela", anchor: date | None = None,
+                        orgs: Sequence[str] = BOTH) -> list[str]:
+    """The same closing from stored monthly sums: only months with changed sales are summed anew."""
+    enforce(gate_duplicates(chain, ["empresa", "material"]),
+            gate_duplicates(area, list(enrich.AREA_KEYS.values())))
+    sums.update()
+    anchor = anchor or sums.anchor()
+    urgent = DEMAND_VIEWS["zpug_cliente"]
+    return publish_closing(
+        spark, root, enrich.cube_of_sums(sums.read(anchor, max(v.months for v in DEMAND_VIEWS.values())), chain, area),
+        enrich.customer_cube_of_sums(sums.read(anchor, urgent.months), chain, urgent.only_type), anchor, mode, orgs)
+
+
+def publish_closing(spark: SparkSession, root: str, cube: DataFrame, customers: DataFrame, anchor: date,
+                    mode: str, orgs: Sequence[str]) -> list[str]:
+    """Stores the cube and writes the tables of all views."""
     sums = TableFolder(spark, f"{root}/_cube")
-    sums.replace(enrich.demand_cube(sales, chain, area, anchor))
+    sums.replace(cube)
     cube = sums.read()
     views = [v for v in DEMAND_VIEWS.values() if not v.by_customer]
     measures = TableFolder(spark, f"{root}/_measures", {"grain": "string"})
@@ -47,7 +71,6 @@ def run_closing(spark: SparkSession, root: str, sales: DataFrame, chain: DataFra
             ranked = rows.where(F.col("org_vendas") == MOTORCYCLES)
             publish("linha_abc", demand.abc_curve(ranked, anchor), [MOTORCYCLES])
     urgent = DEMAND_VIEWS["zpug_cliente"]
-    customers = enrich.customer_cube(sales, chain, anchor, urgent.months, urgent.only_type)
     publish(urgent.key, demand.urgent_by_customer(customers, anchor, orgs))
     shares = {org: demand.distribution(cube, org, anchor) for org in orgs}
     if mode == "tabela_unica":
