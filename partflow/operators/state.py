@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from partflow.functions.dates import shift_month
@@ -99,8 +99,12 @@ def scd2_changes(
     reference: date,
     hash_column: str = "row_hash",
     closed_audit: Mapping[str, Column] | None = None,
+    counted: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The untouched closed versions, and everything this snapshot keeps, ends or opens."""
+    """The untouched closed versions, and everything this snapshot keeps, ends or opens.
+
+    ``counted`` gets the numbers of unchanged, changed, missing and added versions once the second has been written.
+    """
     columns = history.columns
     end = F.lit(datetime(reference.year, reference.month, 1)).cast("timestamp")
     current = history.where("is_current").select(
@@ -108,6 +112,8 @@ def scd2_changes(
     rows = stage.select(
         *keys, F.struct(*[F.col(f"`{c}`") for c in columns]).alias("new"))
     met = current.join(rows, list(keys), "full")
+    if counted is not None:
+        met = met.observe(counted, *version_counts(F.col(f"old.{hash_column}"), F.col(f"new.{hash_column}")))
     same = F.coalesce(F.col(f"old.{hash_column}") == F.col(f"new.{hash_column}"), F.lit(False))
     final = {**(closed_audit or {}), "end_date": end, "is_current": F.lit(False)}
     ended = F.struct(*[final.get(c, F.col(f"old.`{c}`")).alias(c) for c in columns])
@@ -119,17 +125,18 @@ def scd2_changes(
     return history.where("NOT is_current"), touched
 
 
+def version_counts(old: Column, new: Column) -> list[Column]:
+    """Counts over pairs of an old and a new hash; a hash is NULL where its side has no row."""
+    return [F.count_if(old == new).alias("unchanged"), F.count_if(old != new).alias("changed"),
+            F.count_if(new.isNull()).alias("missing"), F.count_if(old.isNull()).alias("added")]
+
+
 def scd2_counts(history: DataFrame, stage: DataFrame, keys: Sequence[str],
                 hash_column: str = "row_hash") -> DataFrame:
     """How many versions one snapshot would keep, change, end and open, in one pass."""
     current = history.where("is_current").select(*keys, F.col(hash_column).alias("_old"))
     rows = stage.select(*keys, F.col(hash_column).alias("_new"))
-    return current.join(rows, list(keys), "full").agg(
-        F.count_if(F.col("_old") == F.col("_new")).alias("unchanged"),
-        F.count_if(F.col("_old") != F.col("_new")).alias("changed"),
-        F.count_if(F.col("_new").isNull()).alias("missing"),
-        F.count_if(F.col("_old").isNull()).alias("added"),
-    )
+    return current.join(rows, list(keys), "full").agg(*version_counts(F.col("_old"), F.col("_new")))
 
 
 def as_of(history: DataFrame, day: date | datetime | Column) -> DataFrame:
@@ -140,6 +147,36 @@ def as_of(history: DataFrame, day: date | datetime | Column) -> DataFrame:
         & (F.col("end_date").isNull() | (moment < F.col("end_date"))))
 
 
+def join_versions(facts: DataFrame, history: DataFrame, on: Mapping[str, str], day: str, columns: Sequence[str],
+                  unit: str = "year") -> DataFrame:
+    """Every fact with the version that was valid on its day; NULL where there was none. ``on`` maps fact to history columns.
+
+    A key's versions are cut at the years (``unit``) of the facts and gathered per key and year, in order of their start; a
+    fact meets the one row of its key and year and takes the last version that has started and not ended. So a fact is
+    never paired with all versions of its key, the gathered rows stay short, and facts of a hot key, which adaptive
+    execution splits, carry one year of versions. Of overlapping versions the later start counts.
+    """
+    cell = F.trunc(F.col(day), unit)
+    low, high = facts.agg(F.min(cell), F.max(cell)).first()
+    if low is None:
+        return facts.withColumns({c: F.lit(None).cast(history.schema[c].dataType) for c in columns})
+    first = F.greatest(F.trunc("start_date", unit), F.lit(low))
+    last = F.least(F.trunc(F.coalesce("end_date", F.lit(high).cast("timestamp")), unit), F.lit(high))
+    keys = {f"_key{n}": F.col(h) for n, h in enumerate(on.values())}
+    step = F.expr("interval 1 year" if unit == "year" else "interval 1 month")
+    cut = history.where(first <= last).select(
+        *[column.alias(name) for name, column in keys.items()], F.explode(F.sequence(first, last, step)).alias("_cell"),
+        F.struct("start_date", "end_date", *columns).alias("_version"))
+    gathered = cut.groupBy(*keys, "_cell").agg(F.sort_array(F.collect_list("_version")).alias("_versions"))
+    moment = F.col(day).cast("timestamp")
+    valid = F.filter("_versions", lambda v: (v["start_date"] <= moment) & (v["end_date"].isNull() | (v["end_date"] > moment)))
+    equal = F.col("_cell") == F.trunc(F.col(day), unit)
+    for name, fact in zip(keys, on, strict=True):
+        equal = equal & (F.col(fact) == F.col(name))
+    met = facts.join(gathered, equal, "left").withColumn("_valid", F.try_element_at(valid, F.lit(-1)))
+    return met.select(*facts.columns, *[F.col("_valid")[c].alias(c) for c in columns])
+
+
 def scd2_state(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Versions and current versions per key, first and last change."""
     return history.groupBy(*keys).agg(

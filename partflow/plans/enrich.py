@@ -72,20 +72,24 @@ def enrich_customer(rows: DataFrame, customer: DataFrame,
     return lookup_joins(rows, [customer_lookup(customer, columns)])
 
 
-def demand_base(sales: DataFrame, chain: DataFrame, area: DataFrame, customer: DataFrame,
+def demand_base(sales: DataFrame, chain: DataFrame, area: DataFrame | None, customer: DataFrame | None,
                 months: int = 60, anchor: date | None = None) -> DataFrame:
-    """The analytical base: one typed, labelled row per order item of the window."""
+    """The analytical base: one typed, labelled row per order item of the window.
+
+    Without the areas or the customers it lacks their columns, and their joins.
+    """
     rows = closed_month_window(sales, "data", months, anchor, half_open=True)
     rows = enrich_chain(rows, chain)
     # The customer key is part of the area key, so both lookups share one shuffle of the rows.
-    rows = lookup_joins(rows, [customer_lookup(customer), area_lookup(area)])
+    lookups = ([customer_lookup(customer)] if customer is not None else []) + ([area_lookup(area)] if area is not None else [])
+    rows = lookup_joins(rows, lookups)
     rows = rows.withColumns({
         "quantidade": trunc_int(F.col("quantidade")),
         "segmento": label(F.col("org_vendas"), SEGMENT_LABELS),
         "mercado": label(F.col("canal_dist"), MARKET_LABELS),
         "centro_nome": label(F.col("centro"), CENTER_LABELS),
     })
-    return apply_mapping(rows, BASE_MAPPING)
+    return apply_mapping(rows, {c: target for c, target in BASE_MAPPING.items() if c in rows.columns})
 
 
 def up_to_month(sales: DataFrame, anchor: date, months: int) -> DataFrame:

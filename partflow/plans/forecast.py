@@ -48,20 +48,21 @@ def forecast_refined(raw: DataFrame, chain: DataFrame, done: DataFrame | None =
                      lags: int = REFINED_LAGS) -> DataFrame:
     """Long forecast of the loads not taken over yet, with main items and clean labels.
 
-    Only the horizons that are kept are unpivoted, and the chain is looked up per wide
+    Only the horizons that are kept are unpivoted, and the chain is looked up and labels are cleaned per wide
     row, before the unpivot multiplies the rows. Zero quantities of type ``Enrich`` are
     dropped; a row for which that test is unknown is dropped too.
     """
     rows = unprocessed(raw, done, "_load_id", "_raw_load_id")
-    rows = enrich_chain(rows, chain, "main_material", "segment", "_principal")
-    ids = [*FORECAST_IDS, "_principal", "_load_id"]
+    rows = enrich_chain(rows, chain, "main_material", "segment", "_principal").withColumns({
+        "department": strip_market(F.col("department")), "_tag": class_tag(F.col("forecast_classification"))})
+    ids = [*FORECAST_IDS, "_principal", "_tag", "_load_id"]
     long = unpivot_horizon(rows, ids, HORIZON[:lags])
     no_enrich_zero = ~((F.col("forecast_type") == "Enrich") & (F.col("forecast_qty") == 0))
     return long.where(no_enrich_zero).select(
-        "forecast_cycle", strip_market(F.col("department")).alias("department"), "forecast_type",
+        "forecast_cycle", "department", "forecast_type",
         "segment", "market", F.col("main_material").alias("material"),
         F.col("_principal").alias("main_material"), "forecast_classification",
-        class_tag(F.col("forecast_classification")).alias("forecast_classification_tag"),
+        F.col("_tag").alias("forecast_classification_tag"),
         "lag", F.expr("add_months(forecast_cycle, lag)").alias("forecast_month"), "forecast_qty",
         F.col("_load_id").alias("_raw_load_id"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from partflow.config import (
@@ -17,7 +17,7 @@ from partflow.operators.project import consumer_view, in_domain
 from partflow.operators.quality import (
     GateError, enforce, gate_chronology, gate_columns, gate_divergence, gate_keys, gate_loaded,
 )
-from partflow.operators.state import open_versions, scd2_apply, scd2_changes, scd2_start
+from partflow.operators.state import open_versions, scd2_apply, scd2_changes, scd2_counts, scd2_start
 from partflow.sinks.tables import HistoryFolder
 
 
@@ -69,9 +69,12 @@ def load_history(history: DataFrame | None, master: DataFrame, reference: date,
 
 
 def load_history_folder(folder: HistoryFolder, master: DataFrame, reference: date,
-                        audit: Mapping[str, Column] | None = None) -> None:
+                        audit: Mapping[str, Column] | None = None) -> dict[str, int]:
     """Loads one snapshot into stored history; ended versions of earlier months are not read.
 
+    Returns how many versions are unchanged, changed, missing and added, counted while the snapshot is written. Where an
+    executor was lost on the way they may count rows twice; then, as the stored rows tell, they are counted again.
+
     The month of a load is its place in the folder, so a month that has only ended
     versions cannot be loaded twice either.
     """
@@ -80,10 +83,15 @@ def load_history_folder(folder: HistoryFolder, master: DataFrame, reference: dat
         raise GateError([("chronology", f"{reference:%Y-%m}", f"{done[-1]} is loaded")])
     current = folder.current()
     stage = checked_stage(current, master, reference, audit)
-    if current is not None:
-        stage = scd2_changes(current, stage, HISTORY_KEYS, reference,
-                             closed_audit=ended_audit(audit))[1]
-    folder.write(stage, reference)
+    if current is None:
+        return {"unchanged": 0, "changed": 0, "missing": 0, "added": folder.write(stage, reference)[0]}
+    counted = Observation("versions")
+    touched = scd2_changes(current, stage, HISTORY_KEYS, reference, closed_audit=ended_audit(audit), counted=counted)[1]
+    kept, ended = folder.write(touched, reference)
+    counts = counted.get
+    if (counts["unchanged"] + counts["changed"] + counts["added"], counts["changed"] + counts["missing"]) != (kept, ended):
+        counts = scd2_counts(current, stage, HISTORY_KEYS).first().asDict()
+    return counts
 
 
 def history_view(history: DataFrame) -> DataFrame:

@@ -16,10 +16,9 @@ from partflow.operators.aggregate import reaggregate, static_pivot, union_all
 from partflow.operators.joins import latest_only, lookup_join
 from partflow.operators.project import optional_eq
 
-# Purchased items of the cockpit, and items it always shows.
+# Purchased items of the cockpit.
 COCKPIT_ORIGIN = "1"
 COCKPIT_BUYERS = ("042", "043")
-COCKPIT_ITEMS = ("H0615KRMC00", "06121KVS305", "H0612KVS305", "H0615KWG000", "06121K62305")
 
 
 def report_center_adjusted(base: DataFrame, months: Sequence[date], org: str = MOTORCYCLES) -> DataFrame:
@@ -69,8 +68,8 @@ COCKPIT_KEYS = ("empresa", "origem", "descricao_origem", "grupo_de_compradores")
 
 
 def report_demand_origin(base: DataFrame, view: DataFrame, start: date | None, org: str = MOTORCYCLES,
-                         items: Sequence[str] = COCKPIT_ITEMS, dedup: bool = False) -> DataFrame:
-    """Demand by origin and buyer since a date (since ever when absent)."""
+                         *, items: Sequence[str], dedup: bool = False) -> DataFrame:
+    """Demand by origin and buyer since a date (since ever when absent); ``items`` are shown whatever their origin."""
     since = F.lit(True) if start is None else F.col("data_ordem") >= F.lit(start)
     sums = base.where(since & (F.col("organizacao_vendas") == org)).groupBy(
         "organizacao_vendas", "item_principal_cadeia").agg(F.sum("quantidade").alias("_q"))
@@ -81,8 +80,7 @@ def report_demand_origin(base: DataFrame, view: DataFrame, start: date | None, o
 
 
 def report_forecast_origin(refined: DataFrame, view: DataFrame, first: str | None, last: str | None,
-                           org: str = MOTORCYCLES, items: Sequence[str] = COCKPIT_ITEMS,
-                           dedup: bool = False) -> DataFrame:
+                           org: str = MOTORCYCLES, *, items: Sequence[str], dedup: bool = False) -> DataFrame:
     """Forecast of the latest cycle by origin and buyer; bad dates select nothing."""
     month = F.col("forecast_month")
     rows = latest_only(refined, "forecast_cycle").where(

@@ -33,6 +33,10 @@ class Closing:
     def cube(self, months: int = 60) -> DataFrame:
         return enrich.demand_cube(self.sales, self.chain, self.area, self.anchor, months)
 
+    def lean_base(self, months: int = 60) -> DataFrame:
+        """The base without customers and areas."""
+        return enrich.demand_base(self.sales, self.chain, None, None, months, self.anchor)
+
     def base(self, months: int = 60) -> DataFrame:
         return enrich.demand_base(self.sales, self.chain, self.area, self.customer, months, self.anchor)
 

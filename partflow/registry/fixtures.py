@@ -119,7 +119,7 @@ FIXTURES: dict[str, str] = {
             AS centro,
           CASE p_type WHEN 'PROMO' THEN 'ZXXX' ELSE 'ZHAW' END AS tipo_de_material,
           {", ".join(f"{_number_text(j)} AS {c}" for j, c in enumerate(INVENTORY_QUANTITIES))}
-        FROM (SELECT /*+ REPARTITION(p_partkey) */ * FROM part) p {{{{each c in 0, 1, 2}}}} WHERE c < 2 OR p_partkey % 9 = 0""",
+        FROM (SELECT /*+ REPARTITION(16, p_partkey) */ * FROM part) p {{{{each c in 0, 1, 2}}}} WHERE c < 2 OR p_partkey % 9 = 0""",
     "fx_bom": f"""
         SELECT CASE WHEN p_partkey % 2 = 0 THEN '0203' ELSE '0503' END AS centro,
           concat('M', CAST(p_partkey + 1 AS STRING), CASE WHEN (p_partkey + 1) % 17 = 0 THEN ' C' ELSE '' END)
@@ -144,7 +144,7 @@ FIXTURES: dict[str, str] = {
           {", ".join(_horizon_text(i) for i in range(36))},
           concat('forecast_', {_CYCLE}, '.csv') AS _source_file_name,
           concat('load-', CAST(k AS STRING)) AS _load_id
-        FROM (SELECT /*+ REPARTITION(p_partkey) */ * FROM part) p {_CYCLE_NUMBERS} {{{{each kind in 'Judgment', 'Enrich'}}}}""",
+        FROM (SELECT /*+ REPARTITION(16, p_partkey) */ * FROM part) p {_CYCLE_NUMBERS} {{{{each kind in 'Judgment', 'Enrich'}}}}""",
     "fx_lines": """
         SELECT CASE
           WHEN l_orderkey % 50 = 0 THEN '   '

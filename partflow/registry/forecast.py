@@ -13,6 +13,9 @@ from partflow.plans import forecast, materials
 from partflow.registry.base import Family
 from partflow.registry.demand import Closing
 from partflow.registry.fixtures import ANCHOR, CYCLES, Inputs
+from partflow.runs import run_forecast
+from partflow.session import scratch_path
+from partflow.sinks.tables import TableFolder
 
 QUERIES = Family()
 CYCLE = shift_month(ANCHOR, -3)
@@ -99,7 +102,7 @@ _ACCURACY = """
 
 @QUERIES.query(_ACCURACY)
 def forecast_accuracy(inputs: Inputs) -> DataFrame:
-    return forecast.forecast_accuracy(Forecasts(inputs).refined(), Closing(inputs).base())
+    return forecast.forecast_accuracy(Forecasts(inputs).refined(), Closing(inputs).lean_base())
 
 
 @QUERIES.query(f"""
@@ -109,7 +112,7 @@ def forecast_accuracy(inputs: Inputs) -> DataFrame:
     FROM ({_ACCURACY})""")
 def forecast_metrics(inputs: Inputs) -> DataFrame:
     return forecast.forecast_metrics(
-        forecast.forecast_accuracy(Forecasts(inputs).refined(), Closing(inputs).base()))
+        forecast.forecast_accuracy(Forecasts(inputs).refined(), Closing(inputs).lean_base()))
 
 
 _GROUPS = "SELECT forecast_cycle, segment, material, forecast_month, sum(forecast_qty) AS forecast_qty FROM ox_refined GROUP BY ALL"
@@ -159,3 +162,15 @@ def reconcile(inputs: Inputs) -> DataFrame:
 @QUERIES.query("SELECT CAST(lag AS INTEGER) AS lag, count(*) AS qtd_linhas, sum(forecast_qty) AS total_qty FROM ox_refined GROUP BY 1")
 def lag_profile(inputs: Inputs) -> DataFrame:
     return profile(Forecasts(inputs).refined())
+
+
+@QUERIES.query("SELECT *, CASE WHEN _raw_load_id IN ('load-0', 'load-1', 'load-2') THEN 'A' ELSE 'B' END AS _load_id FROM ox_refined")
+def forecast_loads(inputs: Inputs) -> DataFrame:
+    """The refined table after a run over three loads, one over all, and one that finds nothing new."""
+    f, root = Forecasts(inputs), scratch_path(inputs.spark, "forecast")
+    first = f.raw.where(F.col("_load_id").isin("load-0", "load-1", "load-2"))
+    now = F.lit("2001-09-01 00:00:00").cast("timestamp")
+    for raw, load_id in ((first, "A"), (f.raw, "B"), (f.raw, "C")):
+        run_forecast(inputs.spark, root, raw, f.chain, load_id, now, "me")
+    table = TableFolder(inputs.spark, f"{root}/refined_forecast_enriched", {"_raw_load_id": "string"}).read()
+    return table.select(*f.refined().columns, "_load_id")

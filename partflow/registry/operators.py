@@ -10,6 +10,7 @@ from partflow.operators import aggregate, joins, project, running
 from partflow.plans import customers, enrich, materials
 from partflow.registry.base import Family
 from partflow.registry.fixtures import ANCHOR, Inputs
+from partflow.session import scratch_path
 
 QUERIES = Family()
 
@@ -261,3 +262,18 @@ def reaggregate(inputs: Inputs) -> DataFrame:
     ones = inputs.view("fx_sales").withColumn("n", F.lit(1).cast("bigint"))
     wide = aggregate.static_pivot(ones, ["org_vendas", "material"], "canal_dist", ["01", "02"], "n")
     return aggregate.reaggregate(wide, ["org_vendas"], ["01", "02"])
+
+
+_COUNTED = ("numero_ov", "material", "emissor_da_ordem")
+
+
+@QUERIES.query(f"""SELECT {", ".join(f"count(DISTINCT {c}) AS {c}, true AS {c}_no_limite" for c in _COUNTED)} FROM fx_sales""")
+def distinct_over_loads(inputs: Inputs) -> DataFrame:
+    """Exact distinct counts, and whether those of the sketches, stored per load and united, are within their bound."""
+    sales = inputs.view("fx_sales").withColumn("carga", F.year("data"))
+    path = scratch_path(inputs.spark, "sketches")
+    aggregate.distinct_sketches(sales, ["carga"], _COUNTED).write.partitionBy("carga").parquet(path)
+    united = aggregate.united_counts(inputs.spark.read.parquet(path), [], _COUNTED).first()
+    exact = sales.agg(*[F.count_distinct(c).alias(c) for c in _COUNTED])
+    return exact.select(*[c for name in _COUNTED for c in (
+        F.col(name), (F.abs(F.col(name) - F.lit(united[name])) <= aggregate.SKETCH_BOUND * F.col(name)).alias(f"{name}_no_limite"))])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from partflow.functions.dates import label_of, last_months
 from partflow.plans import inventory, materials, reports
+from partflow.plans.report_functions import register_reports
 from partflow.registry.base import Family
 from partflow.registry.demand import Closing
 from partflow.registry.fixtures import ANCHOR, Inputs
@@ -48,7 +49,7 @@ _ORIGIN = """CASE cad.origem WHEN '1' THEN 'Fornecedor São Paulo' WHEN '2' THEN
     WHERE d.data_ordem >= DATE '2000-09-01' AND {_CHOSEN} GROUP BY 1, 2, 3, 4""")
 def report_demand_origin(inputs: Inputs) -> DataFrame:
     view = materials.material_view(inputs.view("fx_master"))
-    return reports.report_demand_origin(Closing(inputs).base(), view, date(2000, 9, 1), items=ITEMS)
+    return reports.report_demand_origin(Closing(inputs).lean_base(), view, date(2000, 9, 1), items=ITEMS)
 
 
 @QUERIES.query(f"""
@@ -60,7 +61,7 @@ def report_demand_origin(inputs: Inputs) -> DataFrame:
 def report_demand_origin_dedup(inputs: Inputs) -> DataFrame:
     view = materials.material_view(inputs.view("fx_master"))
     return reports.report_demand_origin(
-        Closing(inputs).base(), view, date(2000, 9, 1), items=ITEMS, dedup=True)
+        Closing(inputs).lean_base(), view, date(2000, 9, 1), items=ITEMS, dedup=True)
 
 
 @QUERIES.query(f"""
@@ -74,15 +75,77 @@ def report_forecast_origin(inputs: Inputs) -> DataFrame:
         Forecasts(inputs).refined(), view, "2001-06-01", "2001-12-01", items=ITEMS)
 
 
+def report_functions(inputs: Inputs) -> None:
+    """The SQL functions over the views of the given tables."""
+    Closing(inputs).lean_base().createOrReplaceTempView("demand_base")
+    materials.material_view(inputs.view("fx_master")).createOrReplaceTempView("material_view")
+    Forecasts(inputs).refined().createOrReplaceTempView("refined_forecast")
+    register_reports(inputs.spark)
+
+
+_DEMAND_ORIGIN = f"""
+    SELECT cad.empresa, cad.origem, {_ORIGIN}, cad.grupo_de_compradores, CAST(sum(d.quantidade) AS BIGINT) AS total_demanda
+    FROM ox_base d JOIN {{cad}} cad ON cad.empresa = d.organizacao_vendas AND cad.item_principal_cadeia = d.item_principal_cadeia
+    WHERE {{where}} GROUP BY 1, 2, 3, 4"""
+_ONCE = f"""(SELECT DISTINCT ON (empresa, item_principal_cadeia) * FROM ox_view cad WHERE {_CHOSEN}
+    ORDER BY empresa, item_principal_cadeia, origem, grupo_de_compradores NULLS FIRST)"""
+
+
+@QUERIES.query(_DEMAND_ORIGIN.format(cad=_ONCE, where="d.data_ordem >= DATE '2000-09-01'"))
+def sql_demand_origin(inputs: Inputs) -> DataFrame:
+    """The report as a SQL function with named arguments, every item counted once."""
+    report_functions(inputs)
+    return inputs.spark.sql(
+        "SELECT * FROM demand_by_origin(since => CAST(:since AS DATE), org => :org, items => :items, once => true)",
+        args={"since": "2000-09-01", "org": "0200", "items": F.array(*map(F.lit, ITEMS))})
+
+
+_BOUGHT = "cad.origem = '1' AND cad.grupo_de_compradores IN ('042', '043')"
+
+
+@QUERIES.query(_DEMAND_ORIGIN.format(cad="ox_view", where=_BOUGHT))
+def sql_demand_origin_all(inputs: Inputs) -> DataFrame:
+    """Without arguments: all organisations, all dates, purchased items only."""
+    report_functions(inputs)
+    return inputs.spark.sql("SELECT * FROM demand_by_origin()")
+
+
+@QUERIES.query(f"""
+    SELECT cad.empresa, cad.origem, {_ORIGIN}, cad.grupo_de_compradores, round(sum(f.forecast_qty), 0) AS total_forecast
+    FROM ox_refined f JOIN ox_view cad ON cad.empresa = f.segment AND cad.item_principal_cadeia = f.material
+    WHERE f.forecast_cycle = DATE '2001-04-01' AND f.forecast_month >= DATE '2001-06-01' AND {_CHOSEN} GROUP BY 1, 2, 3, 4""")
+def sql_forecast_origin(inputs: Inputs) -> DataFrame:
+    report_functions(inputs)
+    return inputs.spark.sql("""SELECT * FROM forecast_by_origin(
+        first => DATE '2001-06-01', org => '0200', items => :items, cycle => DATE '2001-04-01')""",
+                            args={"items": F.array(*map(F.lit, ITEMS))})
+
+
+@QUERIES.query("""
+    SELECT CAST(NULL AS DATE) AS cycle, CAST(date_trunc('month', data_ordem) AS DATE) AS mes, CAST(sum(quantidade) AS DOUBLE) AS valor
+    FROM ox_base WHERE item_principal_cadeia = 'M10' AND data_ordem < DATE '2001-08-01' GROUP BY 2
+    UNION ALL SELECT forecast_cycle, forecast_month, sum(forecast_qty) FROM ox_refined
+    WHERE main_material = 'M10' AND lag <= 11 AND forecast_cycle IN (DATE '2001-03-01', DATE '2001-05-01') GROUP BY 1, 2""")
+def sql_actual_and_forecast(inputs: Inputs) -> DataFrame:
+    report_functions(inputs)
+    return inputs.spark.sql("""SELECT * FROM actual_and_forecast(before => DATE '2001-08-01', item => :item,
+        cycles => array(DATE '2001-03-01', DATE '2001-05-01'))""", args={"item": "M10"})
+
+
 _STOCK_MONTHS = [date(2001, 7, 1), date(2001, 8, 1)]
 
 
 @QUERIES.query("""
-    SELECT item_principal_cadeia AS item_principal, CAST(0 AS DECIMAL(38,2)) AS "2001/07",
+    SELECT item_principal_cadeia AS item_principal,
+      CAST(coalesce(sum(estoque_bloqueado) FILTER (WHERE centro LIKE '%3'), 0) * 2 AS DECIMAL(38,2)) AS "2001/07",
       CAST(coalesce(sum(estoque_bloqueado), 0) AS DECIMAL(38,2)) AS "2001/08"
     FROM ox_inventory h JOIN ox_chain c ON h.material = c.material AND h.empresa = c.empresa GROUP BY 1""")
 def report_blocked_stock(inputs: Inputs) -> DataFrame:
     snapshot = inventory.inventory_rows(inputs.view("fx_stock"), ANCHOR)
+    # The month before: the centres that end in 3, with twice their blocked stock.
+    before = snapshot.where("centro LIKE '%3'").withColumns({
+        "reference_date": F.lit(_STOCK_MONTHS[0]), "estoque_bloqueado": (F.col("estoque_bloqueado") * 2).cast("decimal(18,2)")})
+    snapshot = snapshot.unionByName(before.select(*snapshot.columns))
     chain = materials.material_chain(inputs.view("fx_master"))
     report = reports.report_blocked_stock(snapshot, chain, _STOCK_MONTHS)
     return report.select("item_principal", *[
@@ -108,7 +171,7 @@ def series_sql(item: str | None) -> str:
 
 def series(inputs: Inputs, item: str | None) -> DataFrame:
     return reports.report_actual_vs_forecast(
-        Closing(inputs).base(), Forecasts(inputs).refined(), _CYCLES, date(1999, 10, 1),
+        Closing(inputs).lean_base(), Forecasts(inputs).refined(), _CYCLES, date(1999, 10, 1),
         date(2001, 8, 1), item)
 
 

@@ -16,6 +16,7 @@ from partflow.registry.fixtures import Inputs
 from partflow.registry.scalars import _REPAIRED
 from partflow.session import scratch_path
 from partflow.sinks.parts import KeyedParts
+from partflow.sinks.tables import HistoryFolder
 
 QUERIES = Family()
 
@@ -228,3 +229,33 @@ def decimal_migration_checks(inputs: Inputs) -> DataFrame:
         F.col("l_linenumber") == 6, F.lit(1e18) + F.col("l_quantity")).otherwise(
         F.col("l_extendedprice") * F.col("l_discount") / 8)
     return state.decimal_migration_checks(inputs.table("lineitem").select(value.alias("v")), "v")
+
+
+@QUERIES.query(f"""
+    SELECT s.numero_ov, s.item, s.data, h.a, h.b FROM
+      (SELECT numero_ov, item, data, CAST(emissor_da_ordem AS VARCHAR) AS cliente FROM fx_sales) s
+    LEFT JOIN ({_HISTORY}) h ON s.cliente = h.k AND s.data >= h.start_date AND (h.end_date IS NULL OR s.data < h.end_date)""")
+def sales_versions(inputs: Inputs) -> DataFrame:
+    """Every sales row with the version of its customer that was valid on its day."""
+    sales = inputs.view("fx_sales").select(
+        "numero_ov", "item", "data", F.col("emissor_da_ordem").cast("string").alias("cliente"))
+    return state.join_versions(sales, history_of(inputs), {"cliente": "k"}, "data", ["a", "b"]).drop("cliente")
+
+
+@QUERIES.query(f"""
+    SELECT * FROM (WITH o AS ({_STAGE}), s AS (SELECT * REPLACE (CASE WHEN material LIKE '%7' THEN 'nova' ELSE cadeia END AS cadeia) FROM ({_STAGE})
+      WHERE material NOT LIKE '%5')
+    SELECT count_if(o.material IS NOT NULL AND s.material IS NOT NULL AND o.cadeia IS NOT DISTINCT FROM s.cadeia) AS unchanged,
+      count_if(o.material IS NOT NULL AND s.material IS NOT NULL AND o.cadeia IS DISTINCT FROM s.cadeia) AS changed,
+      count_if(s.material IS NULL) AS missing, count_if(o.material IS NULL) AS added,
+      (SELECT count(*) FROM o) + count_if(o.material IS NULL OR (s.material IS NOT NULL AND o.cadeia IS DISTINCT FROM s.cadeia)) AS versions
+    FROM o FULL JOIN s ON o.empresa = s.empresa AND o.material = s.material)""")
+def history_counts(inputs: Inputs) -> DataFrame:
+    """The counts that the second load of a stored history returns from its writing pass, and the versions stored."""
+    master = inputs.view("fx_master")
+    folder = HistoryFolder(inputs.spark, scratch_path(inputs.spark, "history"))
+    history.load_history_folder(folder, master, date(2001, 7, 1))
+    second = master.where("material NOT LIKE '%5'").withColumn(
+        "cadeia", F.when(F.col("material").like("%7"), F.lit("nova")).otherwise(F.col("cadeia")))
+    counts = history.load_history_folder(folder, second, date(2001, 8, 1))
+    return folder.read().agg(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()], F.count(F.lit(1)).alias("versions"))

@@ -14,7 +14,7 @@ from partflow.operators.quality import enforce, gate_duplicates, gate_reference_
 from partflow.plans import demand, enrich, forecast, history, inventory, materials, supersession
 from partflow.plans.monthly import MonthSums
 from partflow.sinks.export import export_csv, export_sheets
-from partflow.sinks.tables import HistoryFolder, TableFolder, publish_segments
+from partflow.sinks.tables import NULL_PARTITION, HistoryFolder, TableFolder, publish_segments
 
 PREFIX = "refined_demand_"
 
@@ -122,9 +122,15 @@ def run_master(spark: SparkSession, root: str, master: DataFrame, bom: DataFrame
 
 def run_forecast(spark: SparkSession, root: str, raw: DataFrame, chain: DataFrame, load_id: str,
                  now: Column, user: str) -> None:
-    """Takes the loads of the raw forecast that are not refined yet into the refined table."""
-    table = TableFolder(spark, f"{root}/refined_forecast_enriched")
-    done = table.read() if table.exists() else None
-    refined = forecast.forecast_refined(raw, chain, done)
-    if not refined.isEmpty():
+    """Takes the loads of the raw forecast that are not refined yet into the refined table.
+
+    Its folders are named by load, so the finished loads are known without reading a row of it, and
+    the scan of the raw forecast leaves them out.
+    """
+    table = TableFolder(spark, f"{root}/refined_forecast_enriched", {"_raw_load_id": "string"})
+    finished = sorted(table.partitions("_raw_load_id"))
+    done = F.coalesce(F.col("_load_id").isin(finished), F.lit(NULL_PARTITION in finished))
+    new = raw.where(~done) if finished else raw
+    refined = forecast.forecast_refined(new, chain)
+    if not new.isEmpty():
         table.append(forecast.publish_refined(refined, load_id, now, user))

@@ -19,6 +19,10 @@ from partflow.operators.aggregate import union_all
 from partflow.operators.state import dedupe_latest, replace_scopes, upsert
 
 
+# Fixed value: what Spark calls the partition of NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
@@ -34,6 +38,12 @@ def move_folder(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the complete folders below a path."""
     jvm = spark._jvm
@@ -91,6 +101,18 @@ class TableFolder:
         typed = ", ".join(f"`{n}` {self.partition_by.get(n, t)}" for n, t in found.dtypes)
         return self.spark.read.schema(typed).parquet(path)
 
+    def partitions(self, column: str) -> set[str]:
+        """Values of the first partition column, from the names of the folders; no data is read."""
+        version = self.version()
+        if version is None:
+            return set()
+        if next(iter(self.partition_by), None) != column:
+            raise ValueError(f"{column} is not the first partition column")
+        names = [name for folder in (self.path(version), *(f"{self.root}/v{version}_add={n}" for n in self.appends(version)))
+                 for name in folder_names(self.spark, folder)]
+        unescape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        return {unescape(name.removeprefix(f"{column}=")) for name in names if name.startswith(f"{column}=")}
+
     def replace(self, df: DataFrame) -> None:
         """Whole table, any schema. The former version stays readable for running queries."""
         latest = self.version()
@@ -241,8 +263,8 @@ class HistoryFolder:
                   for m in numbered(self.spark, f"{self.root}/closed", "month=") if m in loaded]
         return current.unionByName(self.spark.read.parquet(*closed)) if closed else current
 
-    def write(self, touched: DataFrame, reference: date) -> None:
-        """Stores what a snapshot has kept, opened and ended."""
+    def write(self, touched: DataFrame, reference: date) -> tuple[int, int]:
+        """Stores what a snapshot has kept, opened and ended; returns how many are current and how many have ended."""
         month = f"month={reference:%Y%m}"
         rows = touched.persist()
         try:
@@ -250,6 +272,8 @@ class HistoryFolder:
             rows.where("is_current").write.mode("overwrite").parquet(f"{self.root}/current/{month}")
         finally:
             rows.unpersist()
+        # Counts of whole Parquet files come from their footers.
+        return tuple(self.spark.read.parquet(f"{self.root}/{kind}/{month}").count() for kind in ("current", "closed"))
 
 
 def publish_segments(
