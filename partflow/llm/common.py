@@ -50,6 +50,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before those that columns of ``df`` have."""
+    taken, found = {column.lower() for column in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def hex_digest(text: Column) -> Column:
     return F.sha2(text, 256)
 

@@ -13,7 +13,7 @@ item; rows that repeat a doc_id are rows of their own; an empty benchmark hits n
 
 from __future__ import annotations
 
-from partflow.llm.common import ascii_lower, hex_digest, let, split_words
+from partflow.llm.common import ascii_lower, hex_digest, let, split_words, unused
 from partflow.session import settle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,16 +116,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """``docs`` without contaminated documents, or with all documents and without the hit ``spans``."""
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
-    keyed = docs.withColumn("__text_key", F.md5("text"))
-    hits = find_hits(docs, benchmark, window).withColumnRenamed("text_key", "__text_key")
-    joined = keyed.join(hits.select("__text_key", F.col("hits").alias("__hits")), "__text_key", "left")
+    key, hits = unused(docs, "text_key", "hits")
+    keyed = docs.withColumn(key, F.md5("text"))
+    found = find_hits(docs, benchmark, window).select(F.col("text_key").alias(key), F.col("hits").alias(hits))
+    joined = keyed.join(found, key, "left")
     names = [F.col(f"`{name}`") for name in docs.columns]
     if remove == "spans":
-        joined = joined.withColumn("text", F.when(F.col("__hits").isNull(), F.col("text")).otherwise(
-            without_spans(F.col("text"), F.col("__hits"))))
+        joined = joined.withColumn("text", F.when(F.col(hits).isNull(), F.col("text")).otherwise(
+            without_spans(F.col("text"), F.col(hits))))
         return joined.select(*names)
     n_words = F.size(words_of(F.col("text")))
-    return joined.where(F.col("__hits").isNull() | (share * hit_words(F.col("__hits")) < n_words)).select(*names)
+    return joined.where(F.col(hits).isNull() | (share * hit_words(F.col(hits)) < n_words)).select(*names)
 
 
 def item_digest(item_ids: Column) -> Column:

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import pyarrow as pa
-from partflow.llm.common import let, same, stored, text_tag
+from partflow.llm.common import let, same, stored, text_tag, unused
 from partflow.llm.graph import components
 from partflow.llm.simhash import fingerprint
 from partflow.session import settle
@@ -196,20 +196,21 @@ def keep_lines(text: Column, places: Column) -> Column:
         F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places), lambda at: F.get(lines, at)), "\n"))
 
 
-def dedupe_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` without lines that occur, equal or nearly equal, before; ``__dropped`` tells how many went."""
-    gone = dropped_lines(docs).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), F.col("places").alias("__places"))
-    tagged = docs.withColumn("__own", text_tag(F.col("text")))
-    joined = tagged.join(gone, tagged["doc_id"].eqNullSafe(gone["__id"]) & (tagged["__own"] == gone["__tag"]), "left")
-    text = F.when(F.col("__places").isNull(), F.col("text")).otherwise(keep_lines(F.col("text"), F.col("__places")))
-    out = joined.withColumn("__text", text)
-    columns = [F.col("__text").alias("text") if name == "text" else F.length("__text").cast(docs.schema[name].dataType).alias(name)
+def dedupe_lines(docs: DataFrame, dropped: str | None = None) -> DataFrame:
+    """``docs`` without lines that occur, equal or nearly equal, before; a column named ``dropped`` tells how many went."""
+    own, owner, tag, places, text = unused(docs, "own", "owner", "tag", "places", "kept")
+    gone = dropped_lines(docs).select(F.col("doc_id").alias(owner), F.col("tag").alias(tag), F.col("places").alias(places))
+    tagged = docs.withColumn(own, text_tag(F.col("text")))
+    joined = tagged.join(gone, tagged["doc_id"].eqNullSafe(gone[owner]) & (tagged[own] == gone[tag]), "left").withColumn(
+        text, F.when(F.col(places).isNull(), F.col("text")).otherwise(keep_lines(F.col("text"), F.col(places))))
+    columns = [F.col(text).alias("text") if name == "text" else F.length(text).cast(docs.schema[name].dataType).alias(name)
                if name == "n_chars" else F.col(f"`{name}`") for name in docs.columns]
-    return out.select(*columns, F.when(F.col("__places").isNull(), 0).otherwise(F.size("__places")).cast("long").alias("__dropped"))
+    if dropped is not None:
+        columns.append(F.when(F.col(places).isNull(), 0).otherwise(F.size(places)).cast("long").alias(dropped))
+    return joined.select(*columns)
 
 
 def digest_lines(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, lines kept and dropped, digest of the text that stays."""
-    kept = dedupe_lines(docs.select("doc_id", "text"))
-    return kept.select("doc_id", F.col("__dropped").alias("n_dropped"), F.length("text").cast("long").alias("n_chars"),
-                       F.sha2("text", 256).alias("text_sha256"))
+    kept = dedupe_lines(docs.select("doc_id", "text"), "n_dropped")
+    return kept.select("doc_id", "n_dropped", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))

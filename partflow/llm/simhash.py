@@ -24,7 +24,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from partflow.llm.common import text_tag
+from partflow.llm.common import text_tag, unused
 from partflow.llm.graph import components
 from partflow.session import settle
 from pyspark.sql import Column, DataFrame
@@ -143,6 +143,7 @@ def keep_one(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first")
     # Within a fingerprint first: copies combine before they meet their component.
     heads = marks.groupBy("fingerprint").agg(first).join(rooted, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
-    chosen = heads.select(document_key(F.col("first.doc_id"), F.col("first.tag")).alias("__key"))
-    keyed = docs.withColumn("__key", document_key(F.col("doc_id"), text_tag(F.col("text"))))
-    return keyed.join(chosen, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    key, = unused(docs, "key")
+    chosen = heads.select(document_key(F.col("first.doc_id"), F.col("first.tag")).alias(key))
+    keyed = docs.withColumn(key, document_key(F.col("doc_id"), text_tag(F.col("text"))))
+    return keyed.join(chosen, key, "left_semi").dropDuplicates([key]).drop(key)

@@ -2,14 +2,15 @@
 
 Learning takes a bounded sample of labelled texts (of at most MAX_LABELS labelled doc_ids the distinct texts of
 smallest seeded hash, at most MAX_LABELS again), goes through it EPOCHS times in one task, and leaves a sparse table of weights: every coordinate has a rate
-of its own, and L1 keeps most of them at zero. The bias is outside L1, starts from the smoothed share of label 1
-and is never above zero, so that a text without a learned word is not toxic. Scoring broadcasts the weights (at most 2 ** BITS of them)
+of its own, and L1 keeps most of them at zero. The bias is outside L1 and starts from the share of label 1, smoothed to
+(1 + ones) / (3 + rows): below one half without labels. Scoring broadcasts the weights (at most 2 ** BITS of them)
 and reads every whole text once, in Arrow batches, without a shuffle.
 
 Defined results: NULL counts as empty; an empty text scores as the bias alone; labels without doc_id or
 toxic are not learned from; of several labels of a doc_id the larger counts, and of several texts under a
-labelled doc_id each is learned from once, as far as the sample goes; a score above one half is predicted toxic: one half is no evidence, so with
-no labels every score is 0.5 and nothing is predicted toxic, nor is a text without a learned word under any labels; rows that repeat a doc_id are scored each; ``keep_clean`` keeps all columns of ``docs``.
+labelled doc_id each is learned from once, as far as the sample goes; a score of one half or more is predicted toxic, so
+with no labels every score is 1/3 and nothing is, and where most labels are 1 a text without a learned word may be; rows that
+repeat a doc_id are scored each; ``keep_clean`` keeps all columns of ``docs`` and drops what is predicted toxic.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from partflow.llm.common import text_tag
+from partflow.llm.common import text_tag, unused
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,22 +52,22 @@ def features(text: str | None, bits: int = BITS) -> np.ndarray:
 class Ftrl:
     """FTRL-proximal: per-coordinate rates, weights kept at zero until their gradients outgrow L1.
 
-    With ``share``, the last weight is a bias: it starts from that share of label 1, without L1 and L2, and is at most zero.
+    With ``share``, the last weight is a bias: it starts from that share of label 1, without L1 and L2.
     """
 
     def __init__(self, size: int, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2,
                  share: float | None = None) -> None:
         self.z, self.n = np.zeros(size), np.zeros(size)
-        self.l1, self.l2, self.most = np.full(size, l1), np.full(size, l2), np.full(size, np.inf)
+        self.l1, self.l2 = np.full(size, l1), np.full(size, l2)
         self.alpha, self.beta = alpha, beta
         if share is not None:
-            self.l1[-1] = self.l2[-1] = self.most[-1] = 0.0
+            self.l1[-1] = self.l2[-1] = 0.0
             self.z[-1] = -np.log(share / (1 - share)) * beta / alpha
 
     def weights(self, at: np.ndarray | slice) -> np.ndarray:
         z, n = self.z[at], self.n[at]
         shrunk = np.sign(z) * np.maximum(np.abs(z) - self.l1[at], 0.0)
-        return np.minimum(-shrunk / ((self.beta + np.sqrt(n)) / self.alpha + self.l2[at]), self.most[at])
+        return -shrunk / ((self.beta + np.sqrt(n)) / self.alpha + self.l2[at])
 
     def learn(self, at: np.ndarray, label: int) -> None:
         weights = self.weights(at)
@@ -98,33 +99,35 @@ def learning_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELS) -
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELS, epochs: int = EPOCHS, bits: int = BITS) -> DataFrame:
-    """place and weight of every weight that is not zero; place 2 ** bits is the bias."""
+    """place and weight of every weight that is not zero, and of the bias (place 2 ** bits); no row without labels."""
     size = 1 << bits
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(np.append(features(text, bits), np.int32(size)), int(label)) for batch in batches
                 for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-        model = Ftrl(size + 1, share=(1 + sum(label > 0 for _, label in rows)) / (2 + len(rows)))
+        model = Ftrl(size + 1, share=(1 + sum(label > 0 for _, label in rows)) / (3 + len(rows)))
         for _ in range(epochs):
             for at, label in rows:
                 model.learn(at, label)
         weights = model.weights(slice(None))
-        kept = np.flatnonzero(weights)
+        kept = np.append(np.flatnonzero(weights[:-1]), size)
         yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(weights[kept])], ["place", "weight"])
 
     rows = learning_rows(docs, labels, limit).repartition(1).sortWithinPartitions("place", "doc_id", "text")
     return rows.select("text", "label").mapInArrow(learn, "place long, weight double")
 
 
-def score(docs: DataFrame, weights: DataFrame, bits: int = BITS) -> DataFrame:
-    """``docs`` and the column score: how likely label 1 is, from 0 to 1."""
+def score(docs: DataFrame, weights: DataFrame, name: str = "score", bits: int = BITS) -> DataFrame:
+    """``docs`` and a column of that name: how likely label 1 is, from 0 to 1."""
     table = np.zeros((1 << bits) + 1)
+    # Without labels the share of label 1 is smoothed to 1 / 3.
+    table[-1] = -np.log(2)
     # Bounded by the size of the table, and far smaller by L1.
     for row in weights.collect():
         table[row["place"]] = row["weight"]
     shared = docs.sparkSession.sparkContext.broadcast(table)
     place = docs.columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -137,12 +140,13 @@ def score(docs: DataFrame, weights: DataFrame, bits: int = BITS) -> DataFrame:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, score and predicted (1 from a score above one half)."""
+    """Per row of ``docs``: doc_id, held_out, score and predicted (1 from a score of one half)."""
     scored = score(docs.select("doc_id", "text"), fit(docs, labels))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
-                         (F.col("__score") > 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows predicted toxic."""
-    return score(docs, fit(docs, labels)).where(F.col("__score") <= 0.5).drop("__score")
+    name, = unused(docs, "score")
+    return score(docs, fit(docs, labels), name).where(F.col(name) < 0.5).drop(name)

@@ -3,11 +3,13 @@ from llm_texts import prose
 
 #: More columns than an operator asks for, some named like its own results.
 DOCS = ("doc_id long, text string, lang string, source string, n_chars long, size long, tag string, "
-        "fingerprint string, score double, words string")
+        "fingerprint string, score double, words string, own string, places string, kept string, hits string, key string, "
+        "text_key string, owner string, `__dropped` string, `__own` string, `__key` string, `_score` double")
 
 
 def document_rows(rows):
-    return [(doc_id, text, "en", source, len(text) if text is not None else None, 7, "t", "f", 0.5, "w")
+    return [(doc_id, text, "en", source, len(text) if text is not None else None, 7, "t", "f", 0.5, "w", "o", "p", "k", "h",
+             "key", "tk", "ow", "d", "oo", "kk", 0.25)
             for doc_id, text, source in rows]
 
 

@@ -7,7 +7,7 @@ from partflow.llm import queries
 from partflow.session import scratch_path
 
 OPERATORS = {"op1_mixing", "op2_decontamination", "op3_simhash", "op4_private", "op5_lines", "op6_tokens", "op7_chat",
-             "op8_passages", "op9_toxicity", "op10_neighbours"}
+             "op8_passages", "op9_toxicity", "op10_neighbours", "op11_vector_codes", "op12_hard_negatives", "op13_token_files"}
 
 
 @pytest.fixture(scope="module")
