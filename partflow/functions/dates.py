@@ -35,6 +35,11 @@ def month_label(c: Column) -> Column:
     return F.date_format(c, "yyyy/MM")
 
 
+def day_label(c: Column) -> Column:
+    """``05/03/2020``."""
+    return F.date_format(c, "dd/MM/yyyy")
+
+
 def month_start(c: Column) -> Column:
     return F.trunc(c, "month")
 

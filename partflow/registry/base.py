@@ -12,7 +12,7 @@ from partflow.registry.fixtures import FIXTURES, Inputs, for_duckdb, with_views
 from partflow.registry.twins import TWIN_VIEWS
 
 FAMILIES = ("scalars", "demand", "state", "quality", "forecast", "supersession", "calendar",
-            "reports", "operators", "files")
+            "reports", "operators", "files", "evidence")
 
 
 @dataclass(frozen=True)

@@ -120,10 +120,10 @@ def stream_resent(inputs: Inputs) -> DataFrame:
 
 
 @QUERIES.query("""
-    SELECT material, CAST(sum(quantidade) AS DECIMAL(38,3)) AS quantidade, count(*) AS linhas FROM (
-      SELECT material, quantidade FROM fx_sales UNION ALL
-      SELECT material, quantidade FROM fx_sales WHERE tipo_ov = 'ZPUG' UNION ALL
-      SELECT material, quantidade FROM fx_sales WHERE tipo_ov = 'ZESP') GROUP BY 1""")
+    SELECT material, CAST(sum(quantidade) AS DECIMAL(38,3)) AS quantidade, count(*) AS linhas, sum(extra) AS extra FROM (
+      SELECT material, quantidade, NULL AS extra FROM fx_sales UNION ALL
+      SELECT material, quantidade, NULL FROM fx_sales WHERE tipo_ov = 'ZPUG' UNION ALL
+      SELECT material, quantidade, 1 FROM fx_sales WHERE tipo_ov = 'ZESP') GROUP BY 1""")
 def table_appends(inputs: Inputs) -> DataFrame:
     """A replaced table with two appends, the second with one more column."""
     table = TableFolder(inputs.spark, scratch_path(inputs.spark, "appends"))
@@ -132,7 +132,7 @@ def table_appends(inputs: Inputs) -> DataFrame:
     table.append(rows.where("tipo_ov = 'ZPUG'"))
     table.append(rows.where("tipo_ov = 'ZESP'").withColumn("extra", F.lit(1)))
     return table.read().groupBy("material").agg(
-        F.sum("quantidade").cast("decimal(38,3)").alias("quantidade"), F.count(F.lit(1)).alias("linhas"))
+        F.sum("quantidade").cast("decimal(38,3)").alias("quantidade"), F.count(F.lit(1)).alias("linhas"), F.sum("extra").alias("extra"))
 
 
 @QUERIES.query("""
@@ -170,11 +170,14 @@ def sheet_names(inputs: Inputs) -> DataFrame:
 
 
 _CELLS = """
-    SELECT event_id, CASE event_id % 5 WHEN 0 THEN concat('=', event_type) WHEN 1 THEN concat('-', props)
-      WHEN 2 THEN concat('@', event_type) WHEN 3 THEN concat(event_type, '=1') ELSE NULL END AS texto FROM events"""
+    SELECT event_id, CASE event_id % 9 WHEN 0 THEN concat('=', event_type) WHEN 1 THEN concat('-', props)
+      WHEN 2 THEN concat('@', event_type) WHEN 3 THEN concat('+', event_type) WHEN 4 THEN concat(chr(9), event_type)
+      WHEN 5 THEN concat(chr(13), event_type) WHEN 6 THEN concat(event_type, '=1') WHEN 7 THEN concat(event_type, chr(1), chr(31), 'x')
+      ELSE NULL END AS texto FROM events"""
 
 
-@QUERIES.query(f"SELECT event_id, CASE WHEN event_id % 5 < 3 THEN '''' || texto ELSE texto END AS texto FROM ({_CELLS})")
+@QUERIES.query(f"""SELECT event_id, CASE WHEN event_id % 9 < 6 THEN '''' || texto ELSE replace(replace(texto, chr(1), ''), chr(31), '') END AS texto
+    FROM ({_CELLS})""")
 def sanitize_cells(inputs: Inputs) -> DataFrame:
     return export.sanitize_cells(inputs.sql(_CELLS))
 

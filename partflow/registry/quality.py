@@ -12,7 +12,7 @@ from partflow.operators import quality
 from partflow.plans import inventory
 from partflow.registry.base import Family
 from partflow.registry.fixtures import ANCHOR, Inputs
-from partflow.registry.state import history_of
+from partflow.registry.state import _HISTORY, history_of
 from partflow.registry.twins import locale_number
 
 QUERIES = Family()
@@ -145,9 +145,9 @@ def gate_reference_date(inputs: Inputs) -> DataFrame:
     return quality.gate_reference_date(rows, "mes")
 
 
-@QUERIES.query("""
-    SELECT 'chronology' AS rule, '2001-07-01' AS subject, '2001-08-01' AS detail
-    FROM fx_snapshot_3 HAVING count(*) > 0""")
+@QUERIES.query(f"""
+    SELECT 'chronology' AS rule, '2001-07-01' AS subject, CAST(CAST(max(start_date) AS DATE) AS VARCHAR) AS detail
+    FROM ({_HISTORY}) WHERE is_current HAVING max(start_date) >= TIMESTAMP '2001-07-01'""")
 def gate_chronology(inputs: Inputs) -> DataFrame:
     return quality.gate_chronology(history_of(inputs), date(2001, 7, 1))
 
