@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PARTS, ENTRIES, ROUNDS = 16, 64, 2
-SHARD_ROWS, LEAF = 4096, 16
+SHARD_ROWS, LEAF = 4096, 32
 #: Keeps squared distances of up to 8192 components within 64 bits.
 LIMIT = 2 ** 23
 #: Labels up to this number are broadcast with their sums.
@@ -122,6 +122,11 @@ def spread(low: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(low - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def squared(apart: np.ndarray) -> np.ndarray:
+    """Squared lengths of rows."""
+    return np.einsum("nw,nw->n", apart, apart)
+
+
 def meet(forest: Forest, books: np.ndarray) -> Assigned:
     """The nearest entry of every point: both trees are taken down together."""
     ordered, order = plant(books, 1)
@@ -135,8 +140,8 @@ def meet(forest: Forest, books: np.ndarray) -> Assigned:
         sizes = np.diff(np.append(groups, len(part)))
         low, high = forest.box_low[part, node], forest.box_high[part, node]
         entry_low, entry_high = entries.box_low[part, other], entries.box_high[part, other]
-        least = (np.maximum(0, np.maximum(entry_low - high, low - entry_high)) ** 2).sum(axis=1)
-        most = (np.maximum(high - entry_low, entry_high - low) ** 2).sum(axis=1)
+        least = squared(np.maximum(0, np.maximum(entry_low - high, low - entry_high)))
+        most = squared(np.maximum(high - entry_low, entry_high - low))
         left = least <= np.repeat(np.minimum.reduceat(most, groups), sizes)
         group = np.repeat(np.arange(len(groups)), sizes)[left]
         part, node, other = part[left], node[left], other[left]
@@ -167,15 +172,26 @@ def meet(forest: Forest, books: np.ndarray) -> Assigned:
 
 
 def nearest_of(forest: Forest, books: np.ndarray, part: np.ndarray, node: np.ndarray, entry: np.ndarray) -> tuple:
-    """Points of leaves with the nearest of the leaves' own entries."""
-    size = forest.shape.high[node] - forest.shape.low[node]
-    point = spread(forest.shape.low[node], size)
-    part, entry = np.repeat(part, size), np.repeat(entry, size)
-    away = ((forest.points[part, point] - books[part, entry]) ** 2).sum(axis=1)
-    order = np.lexsort((entry, away, point, part))
-    part, point, entry = part[order], point[order], entry[order]
-    first = np.append(True, (part[1:] != part[:-1]) | (point[1:] != point[:-1]))
-    return part[first], point[first], entry[first]
+    """Points of leaves with the nearest of the leaves' own entries: one entry of every leaf at a time, in ascending order."""
+    order = np.lexsort((entry, node, part))
+    part, node, entry = part[order], node[order], entry[order]
+    heads = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (node[1:] != node[:-1])))
+    # Leaves with most entries first, so that those that still have one are in front.
+    counts = np.diff(np.append(heads, len(part)))
+    most = np.argsort(-counts, kind="stable")
+    heads, counts = heads[most], counts[most]
+    size = forest.shape.high[node[heads]] - forest.shape.low[node[heads]]
+    point, leaf = spread(forest.shape.low[node[heads]], size), np.repeat(np.arange(len(heads)), size)
+    ends, of_part = np.cumsum(size), part[heads][leaf]
+    places = forest.points[of_part, point]
+    best, chosen = np.full(len(point), np.iinfo(np.int64).max), np.zeros(len(point), np.int64)
+    for nth in range(counts[0]):
+        there = ends[np.searchsorted(-counts, -nth, side="left") - 1]
+        now = entry[heads[leaf[:there]] + nth]
+        away = squared(places[:there] - books[of_part[:there], now])
+        nearer = np.flatnonzero(away < best[:there])
+        best[nearer], chosen[nearer] = away[nearer], now[nearer]
+    return of_part, point, chosen
 
 
 def tally(forest: Forest, books: np.ndarray, counts: np.ndarray, totals: np.ndarray) -> None:
