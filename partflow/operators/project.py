@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from partflow.config import AUDIT_COLUMNS, LINEAGE_COLUMNS, SEGMENTS
+from partflow.config import AUDIT_COLUMNS, LINEAGE_COLUMNS
 from partflow.functions.codes import blank_to_null, is_blank
 from partflow.functions.dates import shift_month
 from partflow.functions.names import normalized_names
@@ -175,7 +175,3 @@ def head_by(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 def latest_cycle(df: DataFrame, day: str) -> DataFrame:
     """The month of the latest row, as a one-row result."""
     return df.agg(F.trunc(F.max(day), "month").alias("ciclo"))
-
-
-def known_org(column: str = "org_vendas") -> Column:
-    return F.col(column).isin(*SEGMENTS)

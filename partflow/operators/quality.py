@@ -379,7 +379,3 @@ def scope_count(df: DataFrame, batch: DataFrame, scopes: Sequence[str]) -> DataF
     found = scope_rows(null_safe_side(batch, scopes))
     inside = df.join(found, null_safe(df, found, scopes), "left_semi")
     return inside.groupBy(*scopes).agg(F.count(F.lit(1)).alias("rows"))
-
-
-def blank_count(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.agg(*[F.count_if(is_blank(F.col(c))).alias(c) for c in columns])

@@ -104,18 +104,6 @@ def report_blocked_stock(inventory: DataFrame, chain: DataFrame, months: Sequenc
     return reaggregate(wide, ["item_principal"], labels)
 
 
-def stack_series(series: Mapping[str, DataFrame], key: str, type_name: str = "double") -> DataFrame:
-    """Several series over one key as rows with one column per series, NULL elsewhere.
-
-    Every frame has the key and a column ``valor``.
-    """
-    parts = []
-    for name, df in series.items():
-        cells = [(F.col("valor") if n == name else F.lit(None)).cast(type_name).alias(n) for n in series]
-        parts.append(df.select(key, *cells))
-    return union_all(parts)
-
-
 def report_actual_vs_forecast(base: DataFrame, forecast: DataFrame, cycles: Mapping[str, date],
                               start: date, end: date, item: str | None = None) -> DataFrame:
     """Demand and the forecasts of some cycles as one long series by month.

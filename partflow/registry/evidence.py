@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partflow.config import SEGMENTS
+from partflow.config import HISTORY_KEYS, HISTORY_TRACKED, SEGMENTS
 from partflow.functions import dates
-from partflow.operators import project, quality
-from partflow.operators.aggregate import union_all
-from partflow.plans import forecast
+from partflow.operators import joins, project, quality
+from partflow.operators.aggregate import static_pivot, union_all
+from partflow.plans import forecast, history
 from partflow.registry.base import Family
 from partflow.registry.fixtures import Inputs
 from partflow.registry.forecast import Forecasts, prev_sql
+from partflow.registry.state import _STAGE
 from partflow.session import scratch_path
 from partflow.sinks import export
 from partflow.sinks.tables import TableFolder, child_folders, publish_segments
@@ -116,6 +119,50 @@ def promote_header(inputs: Inputs) -> DataFrame:
     return project.promote_header(rows, ["Cliente", "Segmento X", "Cód."])
 
 
+@QUERIES.query("""
+    SELECT tag, count(*) AS linhas FROM fx_sales JOIN (VALUES ('0200', 'HDA'), ('0500', 'HAB'), ('0700', 'XXX')) AS s(org, tag)
+      ON org_vendas = org GROUP BY 1""")
+def inline_lookup(inputs: Inputs) -> DataFrame:
+    """Sales counted under names that are given as inline rows."""
+    tags = readers.inline_rows(inputs.spark, [("0200", "HDA"), ("0500", "HAB"), ("0700", "XXX")], "org string, tag string")
+    return joins.lookup_join(inputs.view("fx_sales"), tags, {"org_vendas": "org"}, "inner").groupBy("tag").agg(
+        F.count(F.lit(1)).alias("linhas"))
+
+
+@QUERIES.query("SELECT p_partkey, TRY_CAST(CASE WHEN texto = '' THEN NULL ELSE texto END AS DOUBLE) AS texto FROM fx_numbers")
+def try_types(inputs: Inputs) -> DataFrame:
+    return project.try_types(inputs.view("fx_numbers"), {"texto": "double"})
+
+
+_TYPES = ("ZPUG", "ZESP", "ZNOR")
+
+
+@QUERIES.query("""
+    SELECT org_vendas, CAST(row_number() OVER (PARTITION BY org_vendas ORDER BY tipo_ov) AS INTEGER) AS posicao, tipo_ov AS coluna, n AS total
+    FROM (SELECT org_vendas, tipo_ov, count(*) AS n FROM fx_sales WHERE tipo_ov IS NOT NULL GROUP BY ALL)""")
+def ordered_columns(inputs: Inputs) -> DataFrame:
+    """The columns of a pivot behind its keys in the order of their names, each with its place and value."""
+    rows = inputs.view("fx_sales").where("tipo_ov IS NOT NULL").withColumn("um", F.lit(1).cast("long"))
+    wide = project.order_columns(static_pivot(rows, ["org_vendas"], "tipo_ov", _TYPES, "um"), ["org_vendas"])
+    cells = F.array(*[F.struct(F.lit(n).alias("posicao"), F.lit(c).alias("coluna"), F.col(f"`{c}`").alias("total"))
+                      for n, c in enumerate(wide.columns) if n])
+    return wide.select("org_vendas", F.explode(cells).alias("c")).select("org_vendas", "c.*")
+
+
+@QUERIES.query("SELECT * EXCLUDE (_raw_load_id) FROM ox_refined")
+def forecast_view(inputs: Inputs) -> DataFrame:
+    """The published forecast as its readers see it, without audit columns."""
+    now = F.lit("2001-09-01 00:00:00").cast("timestamp")
+    return forecast.forecast_view(forecast.publish_refined(Forecasts(inputs).refined(), "L1", now, "me"))
+
+
+@QUERIES.query(f"SELECT empresa, material, {', '.join(HISTORY_TRACKED)} FROM ({_STAGE})")
+def history_view(inputs: Inputs) -> DataFrame:
+    """The current versions of the material history as its readers see them."""
+    loaded = history.load_history(None, inputs.view("fx_master"), date(2001, 8, 1), {"_load_id": F.lit("carga-1")})
+    return history.history_view(loaded).where("is_current").select(*HISTORY_KEYS, *HISTORY_TRACKED)
+
+
 # --- functions -------------------------------------------------------------------------
 
 @QUERIES.query("SELECT event_id, ts - INTERVAL 3 HOUR AS local FROM events")

@@ -52,10 +52,6 @@ def read_tabular_strings(spark: SparkSession, paths: str | Sequence[str], header
     )
 
 
-def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
-
-
 def with_reference_date(df: DataFrame, file: str = "_source_file_name",
                         name: str = "reference_date") -> DataFrame:
     """First day of the month in the file name (``yyyy.MM``); NULL when it has none."""
