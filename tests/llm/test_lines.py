@@ -1,9 +1,11 @@
 """Line groups against all pairs of lines."""
 
 import random
+import re
 
 from llm_texts import prose
 from partflow.llm import lines
+from xxhash import xxh64_intdigest
 
 
 def edits(a, b):
@@ -16,6 +18,22 @@ def edits(a, b):
     return row[-1]
 
 
+def mark_of(value):
+    """SimHash of the distinct words, bit by bit."""
+    if sum(sign.isdecimal() for sign in value) <= 0.2 * len(value) + 1e-9:
+        value = re.sub(r"\d", "0", value)
+    words = set(re.findall(r"\w+", value) or value.split())
+    hashes = [xxh64_intdigest(word.encode(), 42) for word in words]
+    return sum(1 << bit for bit in range(64) if 2 * sum(number >> bit & 1 for number in hashes) > len(hashes))
+
+
+def candidates(a, b):
+    """Three of six blocks are equal, and at most eight bits differ."""
+    edges = [0, 10, 21, 32, 42, 53, 64]
+    blocks = sum(not (a ^ b) >> low & (1 << high - low) - 1 for low, high in zip(edges, edges[1:], strict=False))
+    return blocks >= 3 and (a ^ b).bit_count() <= 8
+
+
 def brute(rows):
     """What stays of every text, by (doc_id, text), and how many links there are."""
     values = {}
@@ -24,7 +42,7 @@ def brute(rows):
             if value := lines.normal(line):
                 values.setdefault(value, []).append((doc_id is None, doc_id, place, text))
     spelled = list(values)
-    marks = [lines.mark_of(value) & (1 << 64) - 1 for value in spelled]
+    marks = [mark_of(value) for value in spelled]
     parent, links = list(range(len(spelled))), 0
 
     def find(node):
@@ -35,7 +53,7 @@ def brute(rows):
     for a in range(len(spelled)):
         for b in range(a):
             longest = max(len(spelled[a]), len(spelled[b]))
-            if (marks[a] ^ marks[b]).bit_count() <= 3 and min(len(spelled[a]), len(spelled[b])) >= 0.8 * longest:
+            if candidates(marks[a], marks[b]) and min(len(spelled[a]), len(spelled[b])) >= 0.8 * longest:
                 if edits(spelled[a], spelled[b]) <= int(0.2 * longest + 1e-9):
                     parent[find(a)] = find(b)
                     links += 1
@@ -101,3 +119,17 @@ def test_documents(spark, make_docs, data):
 
 def test_empty_table(odd_docs):
     assert lines.dedupe_lines(odd_docs.where("false")).count() == 0
+
+
+def test_marks_of_few_and_many_words():
+    values = [prose(5, 40), prose(6, 3), "---", "1 2 3", " ".join(f"w{nth}" for nth in range(300)), prose(7, 700)]
+    found = lines.marks_of(values, lines.WordHashes())
+    assert [int(mark) & (1 << 64) - 1 for mark in found] == [mark_of(value) for value in values]
+
+
+def test_middle_keeps_the_distance():
+    chance = random.Random(9)
+    for _ in range(300):
+        a = "".join(chance.choice("ab") for _ in range(chance.randrange(12)))
+        b = "".join(chance.choice("ab") for _ in range(chance.randrange(12)))
+        assert edits(*lines.middle(a, b)) == edits(a, b)
