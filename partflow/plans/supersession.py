@@ -62,7 +62,7 @@ def supersession_rows(master: DataFrame, edges: DataFrame) -> DataFrame:
         .alias("item_principal_cadeia_material_sem_cgn"))
     final = lookup_join(
         named, edges, {"empresa": "empresa",
-                       "item_principal_cadeia_material_sem_cgn": "item_principal_cadeia_componente"})
+                       "item_principal_cadeia_material_sem_cgn": "item_principal_cadeia_componente"}, counted=False)
     return final.select(
         *KEYS, "material_sem_cgn", "item_principal_cadeia_material_sem_cgn",
         main_item(F.col("item_principal_cadeia_material_produzido"),

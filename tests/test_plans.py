@@ -81,6 +81,17 @@ def test_lookup_equals_plain_join(spark, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+def test_lookup_of_many_rows_from_a_small_file_is_not_broadcast(spark, tmp_path):
+    spark.createDataFrame([(1,)], "c int").write.parquet(f"{tmp_path}/area")
+    fact = spark.createDataFrame([(1, "a"), (7, "b"), (None, "c")], "k int, f string")
+    for rows, broadcast in ((joins.LOOKUP_ROWS, True), (joins.LOOKUP_ROWS + 1, False)):
+        dim = spark.read.parquet(f"{tmp_path}/area").select(
+            F.explode(F.sequence(F.col("c"), F.lit(rows))).alias("code")).withColumn("v", F.col("code") * 2)
+        joined = joins.lookup_join(fact, dim, {"k": "code"})
+        assert ("BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()) == broadcast
+        assert sorted(map(tuple, joined.select("f", "v").collect())) == [("a", 2), ("b", 14), ("c", None)]
+
+
 def test_null_keys_and_scopes(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4), ("b", 5)], "k string, v int")
     assert rows(aggregate.fan_out_rows(df, ["k"])) == rows(df.where("k is null or k = 'b'"))
