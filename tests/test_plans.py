@@ -330,6 +330,16 @@ def test_prev_slices(spark):
     assert slices["Forecast N-1 4W 2026-01"].count() == 0
 
 
+def test_wide_views_spread_with_their_rows(spark, data, monkeypatch):
+    from partflow.registry import fixtures
+
+    monkeypatch.setattr(fixtures, "SPREAD_ROWS", 5, raising=False)
+    inputs = Inputs(spark, data)
+    parts = -(-inputs.table("part").count() // 5)
+    assert parts > 16 and "hashpartitioning(p_partkey#" in (plan := inputs.view("fx_forecast")._jdf.queryExecution().executedPlan().toString())
+    assert f", {parts})" in plan
+
+
 # --- supersession ----------------------------------------------------------------------
 
 
