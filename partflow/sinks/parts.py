@@ -75,7 +75,7 @@ class PartFolder:
         live = sorted(set(newest.values()))
         found = self.spark.read.schema(f"{self.schema}, {VERSION} long").option("basePath", f"{self.root}/rows").parquet(
             *[f"{self.root}/rows/{VERSION}={n}" for n in live])
-        wanted = [(F.col(VERSION) == n) & among(self.part, [part for part, v in newest.items() if v == n]) for n in live]
+        wanted = [among(self.part, [part for part, v in newest.items() if v == n]) & (F.col(VERSION) == n) for n in live]
         return found.where(reduce(Column.__or__, wanted)).select(*typed.columns)
 
 
