@@ -35,14 +35,24 @@ def stream_upsert(inputs: Inputs) -> DataFrame:
     return state.read()
 
 
+#: A file of the stream holds some so many lines, so no task writes more as the table grows.
+LINES_A_FILE = 500_000
+
+
+def files_per_batch(lines: int) -> int:
+    """Files of each of three batches."""
+    return max(1, -(-lines // (3 * LINES_A_FILE)))
+
+
 @QUERIES.query("SELECT DISTINCT value, true AS com_arquivo FROM fx_lines WHERE trim(value) <> ''")
 def stream_lines(inputs: Inputs) -> DataFrame:
     """Text files as a stream of several batches with their lineage, and a second run that finds nothing new."""
     spark, root = inputs.spark, scratch_path(inputs.spark, "stream_lines")
-    inputs.view("fx_lines").repartition(3).write.option("lineSep", "\n").mode("overwrite").text(f"{root}/in")
+    a_batch = files_per_batch(inputs.table("lineitem").count())
+    inputs.view("fx_lines").repartition(3 * a_batch).write.option("lineSep", "\n").mode("overwrite").text(f"{root}/in")
     state = BatchFolder(spark, f"{root}/state", ["value"])
     for _ in range(2):
-        lines = read_lines_stream(spark, f"{root}/in", files_per_batch=1).where("trim(value) <> ''")
+        lines = read_lines_stream(spark, f"{root}/in", files_per_batch=a_batch).where("trim(value) <> ''")
         run_available(lines.select("value", "_source_file_name"), upsert_batches(state, ["_source_file_name"]), f"{root}/checkpoint")
     if len(state.batches()) < 2:
         raise ValueError("the stream should come in several batches")

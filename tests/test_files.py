@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from partflow.operators.quality import GateError, file_stats, sales_file_gates
 from partflow.plans import materials
 from partflow.plans.sales import parse_sales
+from partflow.registry import files
+from partflow.registry.fixtures import Inputs
 from partflow.sinks import export
 from partflow.sinks.tables import BatchFolder, TableFolder, annotate, publish_segments
 from partflow.sources import readers
@@ -295,3 +297,20 @@ def test_annotate(spark):
     assert not annotate(spark, "notes", "again", version="1")
     assert spark.catalog.getTable("notes").description == "it's a table"
     spark.sql("DROP TABLE notes")
+
+
+def test_stream_files_grow_with_the_lines(spark, data, monkeypatch):
+    monkeypatch.setattr(files, "LINES_A_FILE", 500)
+    seen = []
+
+    def read(session, path, files_per_batch):
+        seen.append((files_per_batch, session.read.text(path).inputFiles()))
+        return readers.read_lines_stream(session, path, files_per_batch=files_per_batch)
+
+    monkeypatch.setattr(files, "read_lines_stream", read)
+    inputs = Inputs(spark, data)
+    found = files.stream_lines(inputs)
+    lines = inputs.table("lineitem").count()
+    a_batch, paths = seen[0]
+    assert len(paths) == 3 * a_batch and (3 * a_batch - 3) * 500 < lines <= 3 * a_batch * 500
+    assert found.count() == inputs.view("fx_lines").where("trim(value) <> ''").distinct().count()
