@@ -15,13 +15,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.operators.aggregate import union_all
 from partflow.operators.joins import null_safe, null_safe_side
 from partflow.operators.state import dedupe_latest
 from partflow.session import settle
 from partflow.sinks.tables import numbered
 
-#: Keys up to this number are sent to every executor at once (a key takes some 50 bytes); more go in several rounds.
+#: Keys up to this number are sent to every executor (a key takes some 50 bytes); more are joined by a shuffle.
 BROADCAST_KEYS = 200_000
 #: The folders' own column; no column of a table may have this name.
 VERSION = "_version"
@@ -84,9 +83,8 @@ class KeyedParts:
 
     ``deal`` gives the part of a row. Where it follows from the keys (``by_key``), a batch touches the parts of its own
     rows; otherwise also those that hold an older row of its keys, which are looked up in the key columns alone, within the
-    batch's range of the first key. The keys of a batch are broadcast, so the old rows are not shuffled. A batch of more than
-    BROADCAST_KEYS goes in rounds, each against the parts its keys fall into; where the part does not follow from the
-    keys, or more than that fall into one part, the old rows of the parts that are rewritten move.
+    batch's range of the first key. The keys of a batch are broadcast, so the old rows are not shuffled. Of a batch that meets
+    more than BROADCAST_KEYS, no key goes through the driver: the old rows of the parts that are rewritten move, once.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], part: str, deal: Column, schema: str,
@@ -144,13 +142,8 @@ class KeyedParts:
         again = {row[0]: 0 for row in placed.select(part).distinct().collect()} | meet
         if not self.by_key:
             return self._without(list(again), placed, placed.count(), version)
-        rounds: list[dict] = [{}]
-        for value, n in sorted(again.items(), key=lambda item: item[1]):
-            if rounds[-1] and sum(rounds[-1].values()) + n > BROADCAST_KEYS:
-                rounds.append({})
-            rounds[-1][value] = n
-        return union_all([self._without(list(group), placed.where(among(part, list(group))), sum(group.values()), version)
-                          for group in rounds])
+        met = placed.where(among(part, list(meet))) if sum(meet.values()) <= BROADCAST_KEYS else placed
+        return self._without(list(again), met, sum(meet.values()), version)
 
     def _without(self, values: Sequence, keys: DataFrame, count: int, version: int) -> DataFrame:
         old, side = self.parts.read(values, version), null_safe_side(keys, self.keys)

@@ -88,6 +88,18 @@ def test_old_rows_stay_in_place(spark, tmp_path):
     assert sorted(store.parts.newest().items()) == [(n, 1 if n in (0, 2) else 0) for n in range(10)]
 
 
+def test_large_batch_reads_old_rows_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(parts, "BROADCAST_KEYS", 30)
+    store = KeyedParts(spark, str(tmp_path / "s"), ["k"], "p", F.expr("k div 100"), "k bigint, v bigint, p bigint")
+    store.refresh(spark.range(1000).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v")), 0)
+    batch = spark.range(0, 1200, 2).select(F.col("id").alias("k"), F.lit(2).cast("long").alias("v"))
+    placed = store._placed(batch)
+    plan = store.kept(placed, store._meetings(placed, 1), 1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    store.upsert(batch, 1)
+    assert {(r.k, r.v) for r in store.read().collect()} == {(k, 1) for k in range(1, 1000, 2)} | {(k, 2) for k in range(0, 1200, 2)}
+
+
 @pytest.fixture(scope="module")
 def closing(spark, data):
     return Closing(Inputs(spark, data))
