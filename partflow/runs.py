@@ -131,6 +131,6 @@ def run_forecast(spark: SparkSession, root: str, raw: DataFrame, chain: DataFram
     finished = sorted(table.partitions("_raw_load_id"))
     done = F.coalesce(F.col("_load_id").isin(finished), F.lit(NULL_PARTITION in finished))
     new = raw.where(~done) if finished else raw
-    refined = forecast.forecast_refined(new, chain)
+    refined = forecast.forecast_refined(new, chain, gathered=True)
     if not new.isEmpty():
-        table.append(forecast.publish_refined(refined, load_id, now, user))
+        table.append(forecast.publish_refined(refined, load_id, now, user), gathered=True)

@@ -113,19 +113,22 @@ class TableFolder:
         unescape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
         return {unescape(name.removeprefix(f"{column}=")) for name in names if name.startswith(f"{column}=")}
 
-    def replace(self, df: DataFrame) -> None:
+    def replace(self, df: DataFrame, gathered: bool = False) -> None:
         """Whole table, any schema. The former version stays readable for running queries."""
         latest = self.version()
-        self._write(df, self.path(0 if latest is None else latest + 1), "overwrite")
+        self._write(df, self.path(0 if latest is None else latest + 1), "overwrite", gathered)
 
-    def append(self, df: DataFrame) -> None:
-        """Adds rows; in an evolving table new columns are NULL in the older rows."""
+    def append(self, df: DataFrame, gathered: bool = False) -> None:
+        """Adds rows; in an evolving table new columns are NULL in the older rows.
+
+        ``gathered`` tells that the rows of a partition lie in few tasks already, and need not be moved.
+        """
         version = self.version()
         if version is None:
-            self.replace(df)
+            self.replace(df, gathered)
         else:
             added = self.appends(version)
-            self._write(df, f"{self.root}/v{version}_add={added[-1] + 1 if added else 0}", "overwrite")
+            self._write(df, f"{self.root}/v{version}_add={added[-1] + 1 if added else 0}", "overwrite", gathered)
 
     def replace_scopes(self, df: DataFrame) -> None:
         """Replaces only the partitions that occur in ``df``; the others are not read at all.
@@ -140,8 +143,8 @@ class TableFolder:
         else:
             self._write(df, self.path(version or 0), "overwrite", partitionOverwriteMode="dynamic")
 
-    def _write(self, df: DataFrame, path: str, mode: str, **options: str) -> None:
-        if self.partition_by:
+    def _write(self, df: DataFrame, path: str, mode: str, gathered: bool = False, **options: str) -> None:
+        if self.partition_by and not gathered:
             # Few files per partition; AQE splits a partition that is too large for one task.
             df = df.hint("rebalance", *[F.col(c) for c in self.partition_by])
         df.write.mode(mode).options(**options).partitionBy(*self.partition_by).parquet(path)

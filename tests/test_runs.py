@@ -94,3 +94,24 @@ def test_master_and_forecast_runs(spark, data, tmp_path):
     table = TableFolder(spark, f"{tmp_path}/refined_forecast_enriched").read()
     assert {r._load_id for r in table.select("_load_id").distinct().collect()} == {"A", "B"}
     assert table.count() == forecasts.refined().count()
+
+
+def test_forecast_run_moves_wide_rows(spark, data, tmp_path, monkeypatch):
+    found, plans = Forecasts(Inputs(spark, data)), []
+    write = TableFolder._write
+
+    def seen(self, df, *args, **options):
+        plans.append((df._jdf.queryExecution().executedPlan().toString(), args))
+        write(self, df, *args, **options)
+
+    monkeypatch.setattr(TableFolder, "_write", seen)
+    now = F.lit("2001-09-01 00:00:00").cast("timestamp")
+    runs.run_forecast(spark, str(tmp_path), found.raw, found.chain, "A", now, "me")
+    plan, (_, _, gathered) = plans[0]
+    # The shuffle lies below the unpivot, and the writer adds none.
+    assert plan.index("Generate explode") < plan.index("REBALANCE_PARTITIONS_BY_COL") and gathered
+    table = TableFolder(spark, f"{tmp_path}/refined_forecast_enriched", {"_raw_load_id": "string"}).read()
+    refined = found.refined()
+    stored = table.select(*refined.columns)
+    assert stored.count() == refined.count()
+    assert stored.exceptAll(refined).isEmpty()
