@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from partflow import runs
+from partflow.config import FORECAST_IDS, HORIZON, REFINED_LAGS
 from partflow.operators.quality import GateError, gate_scd2_state
-from partflow.plans import history, materials
+from partflow.plans import forecast, history, materials
 from partflow.registry.demand import Closing
 from partflow.registry.fixtures import Inputs
 from partflow.registry.forecast import Forecasts
@@ -96,22 +97,25 @@ def test_master_and_forecast_runs(spark, data, tmp_path):
     assert table.count() == forecasts.refined().count()
 
 
-def test_forecast_run_moves_wide_rows(spark, data, tmp_path, monkeypatch):
-    found, plans = Forecasts(Inputs(spark, data)), []
-    write = TableFolder._write
+def test_forecast_run_moves_wide_rows(spark, tmp_path, monkeypatch):
+    ids = ("2001-05-01", "Domestic - Parts", "Judgment", "0200", "Domestic")
+    names = [*FORECAST_IDS, *HORIZON, "_load_id"]
+    raw = spark.createDataFrame(
+        [(*ids, f"M{n}", "Supply", *[float(n + i) for i in range(len(HORIZON))], None if n % 5 == 0 else f"load-{n % 3}") for n in range(60)]
+        + [(*ids[:2], "Enrich", *ids[3:], "M0", None, *[0.0] * len(HORIZON), "load-1")] * 2, names)
+    raw = raw.withColumn("forecast_cycle", F.col("forecast_cycle").cast("date"))
+    chain = spark.createDataFrame([("0200", f"M{n}", f"M{n % 7}") for n in range(40)], "empresa string, material string, item_principal_cadeia string")
+    plans, write = [], TableFolder._write
 
     def seen(self, df, *args, **options):
         plans.append((df._jdf.queryExecution().executedPlan().toString(), args))
         write(self, df, *args, **options)
 
     monkeypatch.setattr(TableFolder, "_write", seen)
-    now = F.lit("2001-09-01 00:00:00").cast("timestamp")
-    runs.run_forecast(spark, str(tmp_path), found.raw, found.chain, "A", now, "me")
+    runs.run_forecast(spark, str(tmp_path), raw, chain, "A", F.lit("2001-09-01 00:00:00").cast("timestamp"), "me")
     plan, (_, _, gathered) = plans[0]
     # The shuffle lies below the unpivot, and the writer adds none.
     assert plan.index("Generate explode") < plan.index("REBALANCE_PARTITIONS_BY_COL") and gathered
-    table = TableFolder(spark, f"{tmp_path}/refined_forecast_enriched", {"_raw_load_id": "string"}).read()
-    refined = found.refined()
-    stored = table.select(*refined.columns)
-    assert stored.count() == refined.count()
-    assert stored.exceptAll(refined).isEmpty()
+    refined = forecast.forecast_refined(raw, chain)
+    stored = TableFolder(spark, f"{tmp_path}/refined_forecast_enriched", {"_raw_load_id": "string"}).read().select(*refined.columns)
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, refined.collect())) and refined.count() == 60 * REFINED_LAGS
