@@ -84,7 +84,8 @@ class KeyedParts:
     ``deal`` gives the part of a row. Where it follows from the keys (``by_key``), a batch touches the parts of its own
     rows; otherwise also those that hold an older row of its keys, which are looked up in the key columns alone, within the
     batch's range of the first key. The keys of a batch are broadcast, so the old rows are not shuffled. Of a batch that meets
-    more than BROADCAST_KEYS, no key goes through the driver: the old rows of the parts that are rewritten move, once.
+    more than BROADCAST_KEYS, no key goes through the driver: the old rows of the parts that are rewritten move, to their keys
+    and back to their parts.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], part: str, deal: Column, schema: str,
@@ -147,5 +148,8 @@ class KeyedParts:
 
     def _without(self, values: Sequence, keys: DataFrame, count: int, version: int) -> DataFrame:
         old, side = self.parts.read(values, version), null_safe_side(keys, self.keys)
-        side = F.broadcast(side) if count <= BROADCAST_KEYS else side
-        return old.join(side, null_safe(old, side, self.keys), "left_anti")
+        few = count <= BROADCAST_KEYS
+        side = F.broadcast(side) if few else side
+        kept = old.join(side, null_safe(old, side, self.keys), "left_anti")
+        # The shuffle deals the rows of every part to all tasks, each of which would write a file of it.
+        return kept if few else self._gathered(kept)
