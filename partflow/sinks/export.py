@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -20,6 +20,8 @@ from partflow.session import settle
 CONTROL_CHARACTERS = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]"
 FORMULA_START = "^[=+\\-@\\t\\r]"
 SHEET_NAME_FORBIDDEN = "[\\[\\]:*?/\\\\]"
+#: Letters of a name that a number of up to ten digits leaves as they are.
+STEM_LENGTH = SHEET_NAME_LENGTH - 11
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = False) -> None:
@@ -48,6 +50,11 @@ def safe_sheet_name(c: Column) -> Column:
     return F.when(name == "", F.lit(DEFAULT_SHEET)).otherwise(name)
 
 
+def name_stem(name: Column) -> Column:
+    """What a name shares with every name that is numbered from it: its first letters, without numbers at their end."""
+    return F.regexp_replace(F.substring(name, 1, STEM_LENGTH), r"(_[0-9]*)+\z", "")
+
+
 def safe_sheet_names(sheets: DataFrame) -> DataFrame:
     """A valid, unique name per (file, sheet), the total sheet first.
 
@@ -55,21 +62,23 @@ def safe_sheet_names(sheets: DataFrame) -> DataFrame:
     """
     pairs = sheets.select("file", "sheet").distinct().withColumn(
         "nome", safe_sheet_name(F.col("sheet")))
-    # One row per worksheet; a workbook has few of them.
-    book = pairs.groupBy("file").agg(F.sort_array(F.collect_list(F.struct(
-        F.coalesce(F.upper("sheet") != TOTAL_SHEET, F.lit(True)).alias("rest"), "sheet", "nome"))).alias("sheets"))
+    rest = F.coalesce(F.upper("sheet") != TOTAL_SHEET, F.lit(True))
+    # Only names of one stem can meet, so a group holds the sheets of a stem, not those of a workbook.
+    stems = pairs.groupBy("file", name_stem(F.col("nome")).alias("stem")).agg(F.sort_array(F.collect_list(F.struct(
+        rest.alias("rest"), "sheet", "nome"))).alias("sheets"))
 
     def free_name(taken: Column, name: Column) -> Column:
         numbered = F.transform(F.sequence(F.lit(2), F.size(taken) + 2), lambda n: F.concat(
             F.substr(name, F.lit(1), F.least(F.lit(SHEET_NAME_LENGTH - 3), F.lit(SHEET_NAME_LENGTH - 1) - F.length(n.cast("string")))), F.lit("_"), n.cast("string")))
-        free = F.filter(F.concat(F.array(name), numbered), lambda c: ~F.exists(taken, lambda t: t["nome"] == c))
-        return F.get(free, F.lit(0))
-
-    none = F.array().cast("array<struct<sheet:string,nome:string>>")
-    named = F.aggregate("sheets", none, lambda taken, row: F.concat(taken, F.array(F.struct(
-        row["sheet"].alias("sheet"), free_name(taken, row["nome"]).alias("nome")))))
-    return book.select("file", F.posexplode(named).alias("place", "row")).select(
-        "file", "row.sheet", "row.nome", (F.col("place") + 1).alias("posicao"))
+        return F.when(~F.array_contains(taken, name), name).otherwise(F.get(F.array_except(numbered, taken), F.lit(0)))
+
+    none = F.array().cast("array<string>")
+    names = F.aggregate("sheets", none, lambda taken, row: F.concat(taken, F.array(free_name(taken, row["nome"]))))
+    named = stems.select("file", F.explode(F.arrays_zip("sheets", names.alias("nomes"))).alias("row")).select(
+        "file", "row.sheets.rest", "row.sheets.sheet", F.col("row.nomes").alias("nome"))
+    # Places count over a workbook; its sheets are sorted, which spills if need be.
+    place = F.row_number().over(Window.partitionBy("file").orderBy("rest", "sheet"))
+    return named.select("file", "sheet", "nome", place.alias("posicao"))
 
 
 def row_limit(columns: int) -> int:

@@ -1,5 +1,6 @@
 """Domain rules on small hand-made inputs."""
 
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -130,6 +131,25 @@ def test_sheet_names_never_repeat(spark):
     assert sorted(r.posicao for r in names) == list(range(1, len(raw) + 1)) and min(names, key=lambda r: r.posicao).sheet == "ttl"
 
 
+def test_sheet_names_of_one_stem_only_meet(spark):
+    """Named by stem as one after the other in a workbook; a name and what is numbered from it have one stem."""
+    raw = ["a", "a:", "a*", "a-", "a-_2", "a-_2_2", "a-_", "b\n", "b_2\n", "b_2\n_2"] + [f"{stem}{n}" for stem in (
+        "x" * 40, "x" * 27 + "_", "x" * 18 + "_", "y:", "y_") for n in range(110)]
+    got = export.safe_sheet_names(spark.createDataFrame([("f", n) for n in raw], "file string, sheet string")).collect()
+    taken = set()
+    for row in sorted(got, key=lambda r: r.posicao):
+        name = free = re.sub(r"[\[\]:*?/\\]", "-", row.sheet).strip("'")[:31]
+        number = 2
+        while free in taken:
+            free, number = f"{name[:min(28, 30 - len(str(number)))]}_{number}", number + 1
+        taken.add(free)
+        assert row.nome == free
+    assert [r.sheet for r in sorted(got, key=lambda r: r.posicao)] == sorted(raw)
+    names = ["x" * 31, "x" * 28 + "_2", "x" * 27 + "_100", "ab", "ab_7", "x" * 21 + "_999999999"]
+    stems = spark.createDataFrame([(n,) for n in names], "n string").select(export.name_stem(F.col("n")))
+    assert [r[0] for r in stems.collect()] == ["x" * 20] * 3 + ["ab"] * 2 + ["x" * 20]
+
+
 def test_one_to_one_and_fan_out_split_the_rows(spark):
     df = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), ("c", None)], "k string, v int")
     one = aggregate.keep_one_to_one(df, ["k"])
