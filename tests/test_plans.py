@@ -150,6 +150,13 @@ def test_sheet_names_of_one_stem_only_meet(spark):
     assert [r[0] for r in stems.collect()] == ["x" * 20] * 3 + ["ab"] * 2 + ["x" * 20]
 
 
+def test_wide_stages_stay_below_the_compiled_size(spark, data):
+    """Queries hold the limit of HotSpot's compiler also in a session that others built."""
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    Inputs(spark, data)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
 def test_one_to_one_and_fan_out_split_the_rows(spark):
     df = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), ("c", None)], "k string, v int")
     one = aggregate.keep_one_to_one(df, ["k"])
