@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 
-from partflow.config import DEMAND_VIEWS, HISTORY_TRACKED, MOTORCYCLES
+from partflow.config import DEMAND_VIEWS, HISTORY_TRACKED, HORIZON, MOTORCYCLES
 from partflow.operators import aggregate, joins, project, quality, running, state
 from partflow.operators.quality import GateError, enforce, gate_chronology, gate_loaded
 from partflow.plans import calendar, demand, enrich, forecast, history, inventory, supersession
@@ -150,6 +150,21 @@ def test_sheet_names_of_one_stem_only_meet(spark):
     assert [r[0] for r in stems.collect()] == ["x" * 20] * 3 + ["ab"] * 2 + ["x" * 20]
 
 
+def test_latest_refined_cycle(spark):
+    """The cycle whose rows are all dropped does not count, nor does a missing one."""
+    horizons = {h: 0.0 for h in HORIZON}
+    rows = [{"forecast_cycle": date(2001, m, 1) if m else None, "forecast_type": kind, "_load_id": "L", "segment": "0200",
+             "main_material": "M", **{c: "x" for c in ("department", "market", "forecast_classification")}, **horizons}
+            for m, kind in ((0, "Judgment"), (3, "Judgment"), (4, "Judgment"), (5, "Enrich"), (6, None))]
+    text = ("department", "forecast_type", "segment", "market", "main_material", "forecast_classification", "_load_id")
+    schema = ", ".join(["forecast_cycle date", *[f"{c} string" for c in text], *[f"`{h}` double" for h in HORIZON]])
+    raw = spark.createDataFrame([tuple(r[c] for c in ("forecast_cycle", *text, *HORIZON)) for r in rows], schema)
+    chain = spark.createDataFrame([], "empresa string, material string, item_principal_cadeia string")
+    refined = forecast.forecast_refined(raw, chain)
+    assert forecast.latest_refined_cycle(refined, raw) == date(2001, 4, 1) == aggregate.max_of(refined, "forecast_cycle")
+    assert forecast.latest_refined_cycle(refined.limit(0), raw) is None
+
+
 def test_wide_stages_stay_below_the_compiled_size(spark, data):
     """Queries hold the limit of HotSpot's compiler also in a session that others built."""
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
