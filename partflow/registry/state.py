@@ -14,7 +14,7 @@ from partflow.plans import history
 from partflow.registry.base import Family
 from partflow.registry.fixtures import Inputs
 from partflow.registry.scalars import _REPAIRED
-from partflow.session import scratch_path
+from partflow.session import scratch_path, settle
 from partflow.sinks.parts import KeyedParts
 from partflow.sinks.tables import HistoryFolder
 
@@ -65,7 +65,8 @@ def upsert_parts(inputs: Inputs) -> DataFrame:
     """The same batch on state stored by ranges of order numbers, where only the ranges it touches are written; it is replayed."""
     old = sales_keyed(inputs, "WHERE data < DATE '2001-04-01'")
     batch = sales_keyed(inputs, "WHERE data >= DATE '2001-01-01'")
-    batch = batch.withColumn("quantidade", (F.col("quantidade") * 2).cast("decimal(18,3)"))
+    # The batch is replayed as it stands, not worked out anew.
+    batch = settle(batch.withColumn("quantidade", (F.col("quantidade") * 2).cast("decimal(18,3)")))
     schema = "numero_ov bigint, item bigint, data date, material string, quantidade decimal(18,3), faixa bigint"
     stored = KeyedParts(inputs.spark, scratch_path(inputs.spark, "upsert_parts"), ["numero_ov", "item"], "faixa",
                         F.expr("numero_ov div 500"), schema)

@@ -1,6 +1,8 @@
 """Tables in parts: every write replaces whole parts, and readers see the newest of each.
 
-A part is a partition folder, of a month or of a range or hash of keys. A write goes to a version of its own, with the list
+A part is a partition folder, of a month or of a range or hash of keys. A write of more than PART_FOLDERS parts packs them: its
+files hold many parts each, gathered and in order of the part, so that files grow in number with the rows and not with the parts.
+A write goes to a version of its own, with the list
 of the parts it replaces beside it; parts that are listed and have no rows are empty from then on. Nothing is moved or
 overwritten, so a reader that has started goes on, a failed write is not seen (its version has no success mark), and a
 repeated write of a version has no second effect. The lists hold one row per part and write; the driver holds
@@ -9,6 +11,7 @@ the newest version of each part, as it holds the partition folders of any table.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -18,10 +21,12 @@ from pyspark.sql import functions as F
 from partflow.operators.joins import null_safe, null_safe_side
 from partflow.operators.state import dedupe_latest
 from partflow.session import settle
-from partflow.sinks.tables import numbered
+from partflow.sinks.tables import drop_folder, mark_done, move_folder, numbered
 
 #: Keys up to this number are sent to every executor (a key takes some 50 bytes); more are joined by a shuffle.
 BROADCAST_KEYS = 200_000
+#: A write of up to so many parts gives each a folder; a folder costs a file, its opening and its move whatever it holds.
+PART_FOLDERS = 200
 #: The folders' own column; no column of a table may have this name.
 VERSION = "_version"
 
@@ -32,6 +37,12 @@ def among(column: str, values: Sequence) -> Column:
     return found | F.col(column).isNull() if None in values else found
 
 
+def newest_of(lists: Sequence) -> dict:
+    """The newest version of every part, from lists in order of the versions."""
+    start = max((v for v, whole, *_ in lists if whole), default=-1)
+    return {part: v for v, _, part, _ in lists if v >= start}
+
+
 class PartFolder:
     """``root/rows/_version=<n>/<part>=<value>`` and ``root/parts/_version=<n>``. ``schema`` names all columns, the part too."""
 
@@ -43,22 +54,49 @@ class PartFolder:
 
     def write(self, df: DataFrame, parts: DataFrame | Sequence, version: int, whole: bool = False) -> None:
         """Replaces the listed parts, or with ``whole`` the table, by the rows of ``df``."""
-        kind = dict(df.dtypes)[self.part]
-        if not isinstance(parts, DataFrame):
-            parts = self.spark.createDataFrame([(value,) for value in parts], f"`{self.part}` {kind}")
-        listed = parts.select(F.col(self.part).alias("part")).distinct().withColumn("whole", F.lit(whole))
-        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/parts/{VERSION}={version}")
-        df.write.mode("overwrite").partitionBy(self.part).parquet(f"{self.root}/rows/{VERSION}={version}")
+        if isinstance(parts, DataFrame):
+            parts = [row[0] for row in parts.select(self.part).distinct().collect()]
+        packed = len({*parts}) > PART_FOLDERS
+        self._list(parts, dict(df.dtypes)[self.part], version, whole, packed)
+        writer = self._in_order(df).write if packed else df.write.partitionBy(self.part)
+        writer.mode("overwrite").parquet(f"{self.root}/rows/{VERSION}={version}")
+
+    def replace(self, df: DataFrame, version: int) -> None:
+        """The table is the rows of ``df`` from now on. They are worked out once and kept aside until their parts are known."""
+        aside, target = f"{self.root}/aside/{VERSION}={version}", f"{self.root}/rows/{VERSION}={version}"
+        self._in_order(df).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(aside)
+        rows = self.spark.read.schema(df.schema).parquet(aside)
+        parts = [row[0] for row in rows.select(self.part).distinct().collect()]
+        if len(parts) <= PART_FOLDERS:
+            self.write(rows, parts, version, whole=True)
+            drop_folder(self.spark, aside)
+            return
+        drop_folder(self.spark, target)
+        self._list(parts, dict(df.dtypes)[self.part], version, True, True)
+        move_folder(self.spark, aside, target)
+        mark_done(self.spark, target)
+
+    def _in_order(self, df: DataFrame) -> DataFrame:
+        return df.sortWithinPartitions(self.part)
+
+    def _list(self, parts: Sequence, kind: str, version: int, whole: bool, packed: bool) -> None:
+        listed = self.spark.createDataFrame([(value,) for value in {*parts}], f"part {kind}")
+        listed.withColumns({"whole": F.lit(whole), "packed": F.lit(packed)}).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.root}/parts/{VERSION}={version}")
+
+    def _lists(self, before: int | None = None) -> list:
+        """Version, whole, part and packed of every listed part, in order of the versions."""
+        versions = [n for n in self.versions() if before is None or n < before]
+        if not versions:
+            return []
+        kind = self.spark.createDataFrame([], self.schema).schema[self.part].dataType.simpleString()
+        lists = self.spark.read.schema(f"part {kind}, whole boolean, packed boolean, {VERSION} long").option(
+            "basePath", f"{self.root}/parts").parquet(*[f"{self.root}/parts/{VERSION}={n}" for n in versions])
+        return sorted(lists.select(VERSION, "whole", "part", "packed").collect(), key=lambda row: row[0])
 
     def newest(self, before: int | None = None) -> dict:
         """The newest version of every part."""
-        versions = [n for n in self.versions() if before is None or n < before]
-        if not versions:
-            return {}
-        lists = self.spark.read.option("basePath", f"{self.root}/parts").parquet(*[f"{self.root}/parts/{VERSION}={n}" for n in versions])
-        rows = sorted(((row.v, row.whole, row.part) for row in lists.select(F.col(VERSION).alias("v"), "whole", "part").collect()), key=lambda row: row[0])
-        start = max((v for v, whole, _ in rows if whole), default=-1)
-        return {part: v for v, _, part in rows if v >= start}
+        return newest_of(self._lists(before))
 
     def changed(self, since: int) -> list:
         """Parts that versions after ``since`` replaced, or dropped with the whole table."""
@@ -66,16 +104,33 @@ class PartFolder:
         return [part for part in {**before, **now} if before.get(part) != now.get(part)]
 
     def read(self, parts: Sequence | None = None, before: int | None = None) -> DataFrame:
-        """The rows of some parts or of all; only their folders are read."""
-        newest = {part: v for part, v in self.newest(before).items() if parts is None or part in parts}
+        """The rows of some parts or of all; only their folders are read, and of packed parts what the files' bounds let in."""
+        lists, parts = self._lists(before), parts if parts is None else {*parts}
+        newest = {part: v for part, v in newest_of(lists).items() if parts is None or part in parts}
         typed = self.spark.createDataFrame([], self.schema)
         if not newest:
             return typed
-        live = sorted(set(newest.values()))
+        values, sizes = {}, Counter(v for v, *_ in lists)
+        for part, v in newest.items():
+            values.setdefault(v, []).append(part)
+        packed = {v for v, _, _, packed in lists if packed}
+        found = [self._unpacked({n: values[n] for n in sorted({*values} - packed)})] if {*values} - packed else []
+        found += [self._packed(n, values[n], sizes[n]) for n in sorted({*values} & packed)]
+        return reduce(DataFrame.unionByName, [rows.select(*typed.columns) for rows in found])
+
+    def _unpacked(self, values: dict) -> DataFrame:
         found = self.spark.read.schema(f"{self.schema}, {VERSION} long").option("basePath", f"{self.root}/rows").parquet(
-            *[f"{self.root}/rows/{VERSION}={n}" for n in live])
-        wanted = [among(self.part, [part for part, v in newest.items() if v == n]) & (F.col(VERSION) == n) for n in live]
-        return found.where(reduce(Column.__or__, wanted)).select(*typed.columns)
+            *[f"{self.root}/rows/{VERSION}={n}" for n in values])
+        return found.where(reduce(Column.__or__, [among(self.part, parts) & (F.col(VERSION) == n) for n, parts in values.items()]))
+
+    def _packed(self, version: int, parts: Sequence, size: int) -> DataFrame:
+        found = self.spark.read.schema(self.schema).parquet(f"{self.root}/rows/{VERSION}={version}")
+        if len(parts) == size:
+            return found
+        if len(parts) <= PART_FOLDERS:
+            return found.where(among(self.part, parts))
+        side = self.spark.createDataFrame([(value,) for value in parts], found.select(F.col(self.part).alias("_key0")).schema)
+        return found.join(F.broadcast(side), null_safe(found, side, [self.part]), "left_semi")
 
 
 class KeyedParts:
@@ -98,17 +153,15 @@ class KeyedParts:
 
     def refresh(self, batch: DataFrame, version: int) -> None:
         """The batch is the state from now on."""
-        placed = settle(self._placed(batch))
-        self.parts.write(self._gathered(placed), placed, version, whole=True)
+        self.parts.replace(self._gathered(self._placed(batch)), version)
 
     def upsert(self, batch: DataFrame, version: int) -> None:
         """Rows of the batch replace older rows of their keys."""
         placed = settle(self._placed(batch))
-        meet = self._meetings(placed, version)
-        kept, part = self.kept(placed, meet, version), self.parts.part
-        touched = placed.select(part).unionByName(self.spark.createDataFrame(
-            [(value,) for value in meet], f"`{part}` {dict(placed.dtypes)[part]}"))
-        self.parts.write(kept.unionByName(self._gathered(placed)), touched, version)
+        own = self._own(placed)
+        meet = self._meetings(placed, version, own)
+        kept = self.kept(placed, meet, version, own)
+        self.parts.write(kept.unionByName(self._gathered(placed)), [*(own | meet)], version)
 
     def _placed(self, batch: DataFrame) -> DataFrame:
         names = self.spark.createDataFrame([], self.parts.schema).schema
@@ -119,13 +172,16 @@ class KeyedParts:
         """Few files per part; AQE splits a part that is too large for one task."""
         return placed.hint("rebalance", F.col(self.parts.part))
 
-    def _meetings(self, placed: DataFrame, version: int) -> dict:
+    def _own(self, placed: DataFrame) -> dict:
+        """The parts of the batch's rows, with their number."""
+        return {row[0]: row.n for row in placed.groupBy(self.parts.part).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def _meetings(self, placed: DataFrame, version: int, own: dict | None = None) -> dict:
         """Old parts that hold rows of the batch's keys, with the number of these keys at most."""
-        part, newest = self.parts.part, self.parts.newest(version)
         if self.by_key:
-            counts = placed.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
-            return {row[0]: row.n for row in counts.collect() if row[0] in newest}
-        first = self.keys[0]
+            newest = self.parts.newest(version)
+            return {value: n for value, n in (self._own(placed) if own is None else own).items() if value in newest}
+        first, part = self.keys[0], self.parts.part
         low, high, rows, loose = placed.agg(
             F.min(first), F.max(first), F.count(F.lit(1)), F.count_if(F.col(first).isNull())).first()
         old = self.parts.read(before=version)
@@ -136,13 +192,13 @@ class KeyedParts:
         found = old.select(*self.keys, part).join(side, null_safe(old, side, self.keys), "left_semi")
         return {row[0]: min(row.n, rows) for row in found.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    def kept(self, placed: DataFrame, meet: dict, version: int) -> DataFrame:
+    def kept(self, placed: DataFrame, meet: dict, version: int, own: dict | None = None) -> DataFrame:
         """Old rows of the parts that are rewritten, without those of the batch's keys."""
-        part = self.parts.part
+        part, own = self.parts.part, self._own(placed) if own is None else own
         # Every part of the batch is rewritten as a whole, also where none of its keys are old.
-        again = {row[0]: 0 for row in placed.select(part).distinct().collect()} | meet
+        again = own | meet
         if not self.by_key:
-            return self._without(list(again), placed, placed.count(), version)
+            return self._without(list(again), placed, sum(own.values()), version)
         met = placed.where(among(part, list(meet))) if sum(meet.values()) <= BROADCAST_KEYS else placed
         return self._without(list(again), met, sum(meet.values()), version)
 

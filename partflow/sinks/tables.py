@@ -38,6 +38,17 @@ def move_folder(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def mark_done(spark: SparkSession, path: str) -> None:
+    """Sets the writer's success mark, which makes the folder complete to readers."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())

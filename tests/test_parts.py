@@ -102,6 +102,41 @@ def test_large_batch_reads_old_rows_once(spark, tmp_path, monkeypatch):
     assert {(r.k, r.v) for r in store.read().collect()} == {(k, 1) for k in range(1, 1000, 2)} | {(k, 2) for k in range(0, 1200, 2)}
 
 
+def test_many_parts_are_packed(spark, tmp_path, monkeypatch):
+    """Files grow in number with the rows, not with the parts; parts are replaced and read as folders of their own are."""
+    monkeypatch.setattr(parts, "PART_FOLDERS", 20)
+    monkeypatch.setattr(parts, "BROADCAST_KEYS", 30)
+    store = KeyedParts(spark, str(tmp_path / "s"), ["k"], "p", F.expr("k div 10"), "k bigint, v bigint, p bigint")
+
+    def rows(pairs):
+        return spark.createDataFrame(list(pairs.items()), "k bigint, v bigint")
+
+    def found(of=None):
+        return {r.k: r.v for r in store.read(of).collect()}
+
+    def files(version):
+        return [*(tmp_path / "s" / "rows" / f"_version={version}").rglob("part-*.parquet")]
+
+    first = {k: 1 for k in range(1000)} | {None: 1}
+    for _ in range(2):
+        store.refresh(rows(first), 0)
+        assert found() == first and len(store.parts.newest()) == 101 and len(files(0)) < 20
+    assert not (tmp_path / "s" / "aside" / "_version=0").exists()
+    few = {5: 2, 205: 2, None: 2, 5000: 2}
+    for _ in range(2):
+        store.upsert(rows(few), 1)  # four folders beside the packed parts
+        assert found() == first | few and len(files(1)) >= 4
+    assert found([0, 3, None]) == {k: v for k, v in (first | few).items() if k is None or k // 10 in (0, 3)}
+    many = {k: 3 for k in range(0, 1200, 4)}
+    for _ in range(2):
+        store.upsert(rows(many), 2)
+        assert found() == first | few | many and len(files(2)) < 40
+    assert found([119, 500, None]) == {1192: 3, 1196: 3, 5000: 2, None: 2}
+    assert {*store.parts.changed(1)} == {*range(120)}
+    store.refresh(rows(few), 3)
+    assert found() == few and not (tmp_path / "s" / "aside" / "_version=3").exists()
+
+
 @pytest.fixture(scope="module")
 def closing(spark, data):
     return Closing(Inputs(spark, data))
