@@ -193,6 +193,34 @@ def test_sheets_add_up_to_total(spark, data):
         assert row.t == row.s + row.u
 
 
+def test_views_move_the_cube_once(spark):
+    """Every grain and sheet is summed from one shuffle of the cube's own measures; grains that agree share a row."""
+    views = [DEMAND_VIEWS[key] for key in ("fechada", "fechada_sem_zesp", "aberta", "linha", "me")]
+    month, found = date(2001, 8, 1), {}
+    data = [("0200", "01", "ZNOR", "0203", "A", "A"), ("0200", "02", "ZESP", "0203", "A", "B"), ("0200", "01", None, None, "B", "B"),
+            ("0200", "01", "ZNOR", "0999", "B", "A"), ("0500", "02", "ZNOR", "0503", None, None), ("0500", "01", "ZNOR", "0203", "A", "C"),
+            ("0500", "01", "ZNOR", "0505", None, "A"), ("0999", "01", "ZNOR", "0203", "A", "A"), (None, "01", "ZNOR", "0203", "A", "A")]
+    cube = spark.createDataFrame(
+        [(*row, month, None if n == 2 else Decimal(1 << n), 2, 3) for n, row in enumerate(data)],
+        "org_vendas string, canal_dist string, tipo_ov string, centro_original string, item_principal_cadeia string, material string, "
+        "mes date, quantidade decimal(28,3), linhas long, registros long")
+    for r in cube.where("org_vendas IN ('0200', '0500')").collect():
+        centers = ("0203", "0209", "0232") if r.org_vendas == "0200" else ("0503", "0505")
+        for grain in ("item_principal_cadeia", "material"):
+            for sheet in ["TTL", *[c for c in centers if c == r.centro_original]]:
+                sums = found.setdefault((r.org_vendas, grain, sheet, r[grain], month), [None] * 10)
+                hits = (True, r.tipo_ov is not None and r.tipo_ov != "ZESP", True, True, r.canal_dist == "02")
+                for n, (view, hit) in enumerate(zip(views, hits, strict=True)):
+                    for at, value in ((2 * n, r.quantidade if view.measure == "sum" else r.linhas), (2 * n + 1, r.registros)):
+                        if hit and value is not None:
+                            sums[at] = (sums[at] or 0) + value
+    measures = demand.demand_measures(cube, views)
+    assert {tuple(r[:5]): list(r[5:]) for r in measures.collect()} == found and measures.count() == len(found)
+    plan = measures._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_sum" not in plan[plan.index("Exchange hashpartitioning"):]
+
+
 def test_lookup_fan_out_multiplies_sums(spark):
     """Summing before the join gives what summing after it gives, repeated lookup keys included.
 
